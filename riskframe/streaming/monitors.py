@@ -145,3 +145,23 @@ def drain_state_table(stream: DataFrame, mode: str = "complete") -> DataFrame:
 
     run_available(stream, store, mode)
     return spark.read.schema(stream.schema).parquet(last["path"])
+
+
+def reduce_batches(stream: DataFrame, by: list[str], aggs: dict) -> DataFrame:
+    """Fixed-size input batches reduced one at a time, then merged.
+
+    ``aggs`` maps a name to (partial aggregate, function merging the partials). Each micro-batch
+    (its size set by the reader's ``files_per_trigger``) leaves one small partial table behind;
+    nothing else is kept between batches, and a retried batch overwrites its own folder.
+    """
+    spark = stream.sparkSession
+    base = work_dir(spark, "stream-batches")
+    schema = stream.groupBy(*by).agg(*[p.alias(n) for n, (p, _) in aggs.items()]).schema
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        partial = batch.groupBy(*by).agg(*[p.alias(n) for n, (p, _) in aggs.items()])
+        partial.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
+
+    run_available(stream, store)
+    partials = spark.read.schema(schema).parquet(base)
+    return partials.groupBy(*by).agg(*[merge(F.col(n)).alias(n) for n, (_, merge) in aggs.items()])
