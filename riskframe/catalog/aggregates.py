@@ -61,7 +61,7 @@ def agg_group_size(t):
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(N().alias("n"))
 
 
-@query(f"SELECT lang, count(*) AS n_rows, count(quality) AS n_labelled, round(sum(n_chars), 2) AS chars FROM {LABELLED} GROUP BY 1")
+@query(f"SELECT lang, count(*) AS n_rows, count(quality) AS n_labelled, round(sum(n_chars)::DOUBLE, 2) AS chars FROM {LABELLED} GROUP BY 1")
 def agg_group_count_col(t):
     return labelled_documents(t).groupBy("lang").agg(
         N().alias("n_rows"), F.count("quality").alias("n_labelled"), r(F.sum("n_chars").cast("double"), 2).alias("chars")
@@ -279,19 +279,9 @@ def agg_error_band(t):
     return bands.join(med.select("c_mktsegment", r("med").alias("med")), "c_mktsegment")
 
 
-def poisson_bounds():
-    total, term, k, out = 0.0, 2.718281828459045**-1, 0, []
-    while 1.0 - total > 2.0**-33 and k < 14:
-        total += term
-        out.append(total)
-        k += 1
-        term /= k
-    return out
-
-
 @query(f"""WITH reps AS (SELECT c_mktsegment, c_acctbal AS v, rep, ('0x' || substr(md5(c_custkey || '|' || rep || '|11'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
           FROM customer, (SELECT unnest(range(200)) AS rep)),
-          w AS (SELECT *, {' + '.join(f"(u >= {b!r}::DOUBLE)::INT" for b in poisson_bounds())} AS w FROM reps),
+          w AS (SELECT *, {' + '.join(f"(u >= {b!r}::DOUBLE)::INT" for b in A.POISSON_1)} AS w FROM reps),
           m AS (SELECT c_mktsegment, rep, sum(v * w) / sum(w) AS m FROM w GROUP BY 1, 2)
           SELECT c_mktsegment, round(quantile_cont(m, 0.025), 4) AS ci_low, round(quantile_cont(m, 0.975), 4) AS ci_high FROM m GROUP BY 1""")
 def agg_error_ci(t):

@@ -118,12 +118,12 @@ def join_position(t):
     return out.select("pos", "c_custkey", "s_suppkey")
 
 
-@query("""SELECT c_custkey, rate_pct, months, round(c_acctbal * rate_pct / 100.0 / months, 6) AS installment
+@query("""SELECT c_custkey, rate_pct, months, round(c_acctbal * rate_pct / 100.0 / months, 9) AS installment
           FROM customer, (SELECT unnest([5, 10]) AS rate_pct), (SELECT unnest([12, 24, 36]) AS months)""")
 def cross_pairs(t):
     grid = C.expand_levels(t.customer.select("c_custkey", "c_acctbal"), rate_pct=[5, 10], months=[12, 24, 36])
     cost = F.col("c_acctbal") * F.col("rate_pct") / F.lit(100.0) / F.col("months")
-    return grid.select("c_custkey", "rate_pct", "months", r(cost).alias("installment"))
+    return grid.select("c_custkey", "rate_pct", "months", r(cost, 9).alias("installment"))
 
 
 @query("""WITH m AS (SELECT o_orderpriority AS l, avg(o_totalprice) AS s FROM orders GROUP BY 1)

@@ -24,10 +24,11 @@ def win_diff(t):
     return O.difference(rows, "value", ["ts", "event_id"], ["user_id"]).select("event_id", r("diff").alias("diff"))
 
 
-@query("SELECT o_orderkey, round(o_totalprice - avg(o_totalprice) OVER (PARTITION BY o_custkey), 4) AS dev FROM orders")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity - avg(l_quantity) OVER (PARTITION BY l_suppkey), 9) AS dev FROM lineitem")
 def win_group_mean_dev(t):
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return S.deviation_from_group(rows, "o_totalprice", ["o_custkey"]).select("o_orderkey", r("dev", 4).alias("dev"))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    rows = t.lineitem.select(*keys, "l_quantity")
+    return S.deviation_from_group(rows, "l_quantity", ["l_suppkey"]).select(*keys, r("dev", 9).alias("dev"))
 
 
 @query("""SELECT c_custkey, round((c_acctbal - m) / s, 6) AS z, round((c_acctbal - m) / sp, 6) AS z_pop, abs((c_acctbal - m) / s) > 1 AS outlier

@@ -14,15 +14,15 @@ def proj_select(t):
     return t.customer.select("c_custkey", "c_name")
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice / l_quantity, 6) AS unit_price,
-          round((l_tax + l_discount) / l_quantity, 6) AS load, round(l_extendedprice / (l_linenumber + 1), 6) AS per_line
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice / l_quantity, 9) AS unit_price,
+          round((l_tax + l_discount) / l_quantity, 9) AS load, round(l_extendedprice / (l_linenumber + 1), 9) AS per_line
           FROM lineitem""")
 def proj_ratio(t):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        r(M.ratio("l_extendedprice", "l_quantity")).alias("unit_price"),
-        r(M.ratio(F.col("l_tax") + F.col("l_discount"), "l_quantity")).alias("load"),
-        r(M.ratio("l_extendedprice", F.col("l_linenumber") + 1)).alias("per_line"),
+        r(M.ratio("l_extendedprice", "l_quantity"), 9).alias("unit_price"),
+        r(M.ratio(F.col("l_tax") + F.col("l_discount"), "l_quantity"), 9).alias("load"),
+        r(M.ratio("l_extendedprice", F.col("l_linenumber") + 1), 9).alias("per_line"),
     )
 
 

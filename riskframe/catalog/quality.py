@@ -101,12 +101,12 @@ def fill_missing_field(t):
 
 @query("SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1 AS is_dup FROM documents")
 def dup_flag(t):
-    return Q.flag_duplicates(t.documents.select("doc_id", "text"), ["text"], "doc_id").select("doc_id", "is_dup")
+    return Q.duplicate_flags(t.documents, ["text"], "doc_id").select("doc_id", "is_dup")
 
 
 @query("SELECT doc_id FROM (SELECT doc_id, count(*) OVER (PARTITION BY text) AS c FROM documents) WHERE c > 1")
 def dup_all_copies(t):
-    return Q.flag_duplicates(t.documents.select("doc_id", "text"), ["text"], "doc_id").filter("has_copies").select("doc_id")
+    return Q.duplicate_flags(t.documents, ["text"], "doc_id").filter("has_copies").select("doc_id")
 
 
 @query("SELECT DISTINCT l_returnflag, l_linestatus, l_tax, l_discount FROM lineitem")
@@ -146,10 +146,8 @@ def cast_nullable_int(t):
 @query("""SELECT c_custkey, c_mktsegment, (SELECT count(DISTINCT c_mktsegment) FROM customer c2
           WHERE c2.c_mktsegment < c1.c_mktsegment) AS code FROM customer c1""")
 def cast_category(t):
-    # the dictionary: one row per label, numbered in label order
-    labels = t.customer.select("c_mktsegment").distinct()
-    codes = labels.agg(F.array_sort(F.collect_list("c_mktsegment"))).scalar()
-    return t.customer.select("c_custkey", "c_mktsegment", (F.array_position(codes, F.col("c_mktsegment")) - 1).alias("code"))
+    codes = Q.category_codes(t.customer, "c_mktsegment")
+    return t.customer.join(codes, "c_mktsegment", "left").select("c_custkey", "c_mktsegment", "code")
 
 
 @query("""SELECT conv_id, turn, TRY_CAST(trim(regexp_extract(text, '[0-9]+')) AS BIGINT) AS num,

@@ -130,7 +130,7 @@ def bin_hist_fixed(t):
 
 @query("""WITH c AS (SELECT least(floor((c_acctbal + 1000) / 500), 21)::INT AS bin, count(*) AS cnt FROM customer
           WHERE c_acctbal BETWEEN -1000 AND 10000 GROUP BY 1)
-          SELECT g.bin::INT AS bin, -1000.0 + g.bin * 500.0 AS low, coalesce(cnt, 0) AS cnt
+          SELECT g.bin::INT AS bin, (-1000.0 + g.bin * 500.0)::DOUBLE AS low, coalesce(cnt, 0) AS cnt
           FROM (SELECT unnest(range(22)) AS bin) g LEFT JOIN c ON c.bin = g.bin""")
 def bin_hist_edges(t):
     return S.histogram(t.customer, "c_acctbal", 22, -1000, 500).select("bin", r("low").alias("low"), "cnt")

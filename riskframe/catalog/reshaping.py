@@ -64,7 +64,7 @@ def xtab_row_pct(t):
     return rounded(R.crosstab_share(t.orders, "o_orderpriority", "o_orderstatus", STATUS, 100.0), "o_orderpriority", STATUS)
 
 
-@query(" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, " + ("1.0::DOUBLE" if a == b else f"round(corr({a}, {b}), 6)") + " AS r FROM lineitem" for a in LINE for b in LINE))
+@query(" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, " + ("1.0::DOUBLE AS r" if a == b else f"round(corr({a}, {b}), 6) AS r FROM lineitem") for a in LINE for b in LINE))
 def resh_unpivot(t):
     return correlation_matrix(t.lineitem, LINE).select("a", "b", r("r").alias("r"))
 

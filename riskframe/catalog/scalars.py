@@ -291,7 +291,8 @@ def arr_distance(t):
     # the centre has one entry per dimension: a short vector, read back as a scalar
     cells = t.embeddings.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"))
     centre = cells.agg(F.array_sort(F.collect_list(F.struct("i", "m")))["m"]).scalar()
-    return t.embeddings.select("vec_id", r(A.distance("embedding", centre), 5).alias("dist"), r(A.norm("embedding"), 5).alias("norm"))
+    rows = t.embeddings.withColumn("centre", centre)
+    return rows.select("vec_id", r(A.distance("embedding", "centre"), 5).alias("dist"), r(A.norm("embedding"), 5).alias("norm"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity + l_extendedprice + l_discount + l_tax, 6) AS total FROM lineitem""")

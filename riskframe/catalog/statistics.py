@@ -45,9 +45,20 @@ def stat_corr_spearman(t):
     return S.spearman(t.lineitem, "l_quantity", "l_extendedprice").select(r("rho").alias("rho"), "n")
 
 
-@query(f"SELECT * FROM ({' UNION ALL '.join(pair_sql(a, b) for a, b in PAIRS)}) WHERE abs(r) > 0.5 ORDER BY abs(r) DESC")
+WIDE = ["quantity", "price", "net", "charge"]
+WIDE_SQL = """(SELECT l_quantity AS quantity, l_extendedprice AS price, l_extendedprice * (1 - l_discount) AS net,
+  l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge FROM lineitem)"""
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM {WIDE_SQL}" for i, a in enumerate(WIDE) for b in WIDE[i + 1 :]
+) + ") WHERE abs(r) > 0.7 ORDER BY abs(r) DESC")
 def stat_corr_pairs(t):
-    strong = S.correlation_pairs(t.lineitem, LINE).filter(F.abs("r") > 0.5)
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    wide = t.lineitem.select(
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"), net.alias("net"), (net * (1 + F.col("l_tax"))).alias("charge")
+    )
+    strong = S.correlation_pairs(wide, WIDE).filter(F.abs("r") > 0.7)
     return strong.select("a", "b", r("r").alias("r")).orderBy(F.abs("r").desc())
 
 
@@ -79,10 +90,10 @@ def stat_linfit_line(t):
 
 
 @query("""WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS m, regr_intercept(l_extendedprice, l_quantity) AS c FROM lineitem)
-          SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice - (m * l_quantity + c), 4) AS residual FROM lineitem, f""")
+          SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice - (m * l_quantity + c), 2) AS residual FROM lineitem, f""")
 def stat_residuals(t):
     out = S.residuals(t.lineitem, "l_quantity", "l_extendedprice")
-    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r("residual", 4).alias("residual"))
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r("residual", 2).alias("residual"))
 
 
 @query("""WITH c AS (SELECT avg(l_quantity) AS mx, avg(l_quantity * l_quantity) AS mq, avg(l_extendedprice) AS my FROM lineitem),
@@ -222,15 +233,15 @@ def risk_enrich(t):
 
 # ------------------------------------------------------------------ fraud
 def transactions(t):
-    """Events as transactions: amounts in hundreds, errors are foreign, before six is night."""
+    """Events as transactions: whole units as hundreds, errors are foreign, before six is night."""
     return t.events.select(
-        "event_id", "ts", F.col("user_id").alias("customer"), (F.col("value") * 100).alias("amount"),
+        "event_id", "ts", F.col("user_id").alias("customer"), (F.floor("value") * 100.0).alias("amount"),
         (F.col("event_type") == "error").alias("is_foreign"), (F.hour("ts") < 6).alias("is_night"),
     )
 
 
-FRAUD_SQL = """WITH x AS (SELECT event_id, ts, user_id AS customer, value * 100 AS amount, event_type = 'error' AS f, hour(ts) < 6 AS nt FROM events),
-  s AS (SELECT *, round(amount / 1000 + 2 * f::INT + nt::INT, 2) AS risk_score FROM x),
+FRAUD_SQL = """WITH x AS (SELECT event_id, ts, user_id AS customer, floor(value) * 100 AS amount, event_type = 'error' AS f, hour(ts) < 6 AS nt FROM events),
+  s AS (SELECT *, round_even(amount / 1000 + 2 * f::INT + nt::INT, 2) AS risk_score FROM x),
   d AS (SELECT *, CASE WHEN risk_score > 8 THEN 'Block' WHEN risk_score > 5 THEN 'Review' WHEN f AND amount > 1000 THEN 'Verify' ELSE 'Allow' END AS action FROM s) """
 
 
@@ -321,12 +332,12 @@ def risk_amortize(t):
     return risk.payoff_schedule(loans, "b", 0.06, "pay").select("s_suppkey", "n_months", "month", r("remaining", 4).alias("remaining"))
 
 
-@query("""SELECT o_orderkey, round(CASE o_orderstatus WHEN 'F' THEN o_totalprice * 1.08 / 24 WHEN 'O' THEN o_totalprice * 1.04 / 24 ELSE o_totalprice * 0.08 / 12 END, 4) AS payment,
+@query("""SELECT o_orderkey, round(CASE o_orderstatus WHEN 'F' THEN o_totalprice * 1.08 / 24 WHEN 'O' THEN o_totalprice * 1.04 / 24 ELSE o_totalprice * 0.08 / 12 END, 8) AS payment,
           greatest(floor(round(ln(500000 / o_totalprice) / ln(1.05), 9)) + 1, 0)::INT AS years_to_target FROM orders""")
 def risk_payment(t):
     product = F.when(F.col("o_orderstatus") == "F", "personal").when(F.col("o_orderstatus") == "O", "auto").otherwise("line")
     return t.orders.select(
-        "o_orderkey", r(risk.payment_by_product(product, "o_totalprice", 0.08, F.lit(24)), 4).alias("payment"),
+        "o_orderkey", r(risk.payment_by_product(product, "o_totalprice", 0.08, F.lit(24)), 8).alias("payment"),
         risk.periods_to_target("o_totalprice", 0.05, F.lit(500000.0)).alias("years_to_target"),
     )
 

@@ -6,16 +6,19 @@ from riskframe.catalog.registry import N, query, r
 from riskframe.catalog.statistics import FRAUD_SQL
 from riskframe.functions import udfs as U
 from riskframe.functions.recode import apply_batch, tiers
+from riskframe.session import work_dir
 from riskframe.streaming import monitors as M
 
 
 def event_stream(t):
-    return M.read_parquet_stream(t.spark, t.sf_dir, "events.parquet")
+    events = M.read_parquet_stream(t.spark, t.sf_dir, "events.parquet")
+    # watermarks need an instant, the files hold a wall-clock time
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def transaction_stream(t):
     return event_stream(t).select(
-        "event_id", "ts", F.col("user_id").alias("customer"), (F.col("value") * 100).alias("amount"),
+        "event_id", "ts", F.col("user_id").alias("customer"), (F.floor("value") * 100.0).alias("amount"),
         (F.col("event_type") == "error").alias("is_foreign"), (F.hour("ts") < 6).alias("is_night"),
     )
 
@@ -26,6 +29,13 @@ def stream_filter(t):
     return M.drain_to_table(M.keep_parsable(raw, "raw", F.col("value") > 20).select("event_id", "parsed"))
 
 
+@query("""SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events WHERE value > 50""")
+def stream_flag_sequence(t):
+    items = event_stream(t).select("user_id", "event_id", "ts", "value")
+    out = M.flag_sequence(items, F.col("value") > 50, "user_id", ["ts", "event_id"], work_dir(t.spark, "sequence"))
+    return out.select("user_id", "event_id", "seq")
+
+
 @query("SELECT user_id, round(sum(value), 4) AS total, count(*) AS n FROM events GROUP BY 1")
 def stream_running_total(t):
     out = M.drain_state_table(M.running_totals(event_stream(t), "user_id", "value"))

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.ordered import positions
-from riskframe.operators.profile import draw_key
+from riskframe.operators.profile import draw_below, draw_key, draw_threshold
 from riskframe.operators.quantiles import exact_quantiles
 
 
+def _poisson_distribution() -> list[float]:
+    """P(X <= k) of a Poisson(1) variable for k = 0, 1, ... up to the resolution of a draw."""
+    out, term, total = [], math.exp(-1), 0.0
+    while 1.0 - total > 2.0**-33:
+        total += term
+        out.append(total)
+        term /= len(out)
+    return out
+
+
+POISSON_1 = _poisson_distribution()
+
+
 def rate(condition: Column) -> Column:
     """Share of rows where the condition holds (null counts as missing)."""
     return F.avg(condition.cast("double"))
@@ -83,17 +97,14 @@ def bootstrap_ci(df: DataFrame, key: str, value: str, by: Sequence[str], replica
     rep = df.filter(F.col(value).isNotNull()).select(
         *by, key, value, F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("__rep")
     )
-    u = F.conv(F.substring(draw_key(seed, key, "__rep"), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    # inverse of the Poisson(1) distribution function, up to the 32-bit resolution of the draw
-    cumulative, term, k, bounds = 0.0, 2.718281828459045**-1, 0, []
-    while 1.0 - cumulative > 2.0**-33 and k < 14:
-        cumulative += term
-        bounds.append(cumulative)
-        k += 1
-        term /= k
-    weight = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= u))
+    # inverse of the Poisson(1) distribution function: the weight is the first bound above the draw
+    weight = F.lit(len(POISSON_1))
+    for k in reversed(range(len(POISSON_1))):
+        below = draw_below(F.col("__h"), F.lit(draw_threshold(POISSON_1[k])))
+        weight = F.when(below, k).otherwise(weight)
     means = (
-        rep.withColumn("__w", weight)
+        rep.withColumn("__h", draw_key(seed, key, "__rep"))
+        .withColumn("__w", weight)
         .groupBy(*by, "__rep")
         .agg((F.sum(F.col(value) * F.col("__w")) / F.sum("__w")).alias("__m"))
     )

@@ -65,7 +65,9 @@ def heavy_keys(df: DataFrame, on: Sequence[str], items: int = 64, tracked: int =
     return [r["item"] for r in top["t"] if r["count"] * 200 > top["n"]]
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32) -> DataFrame:
+def salted_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32, heavy: list[int] | None = None
+) -> DataFrame:
     """Join with the left side's heavy keys spread over ``salts`` partitions.
 
     Rows of heavy keys get a salt from their content (so a retried task repeats it); the few
@@ -75,7 +77,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("only joins driven by the left side can be salted")
-    heavy = heavy_keys(left, on)
+    heavy = heavy_keys(left, on) if heavy is None else heavy
     if not heavy:
         return left.join(right, list(on), how)
     is_heavy = F.xxhash64(*on).isin(heavy)

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 SLICE = "__slice"
 #: Sampled rows per slice; more gives evener slices.
 ROWS_PER_SLICE = 32
-#: Upper bound on slices; 1024 keeps the literal array and the carry tables small.
-MAX_SLICES = 1024
+#: Upper bound on slices: keeps the sample, the literal array and the carry tables small.
+MAX_SLICES = 4096
 
 
 def as_columns(keys: Sequence[str | Column]) -> list[Column]:
@@ -113,13 +113,17 @@ def with_carry(
     ``partials`` summarise one (group, slice); ``folds`` combine the summaries of earlier slices
     with a window of at most ``MAX_SLICES`` rows per group. The slice column stays on the result.
     """
-    sliced = with_slice(df, order, slices)
+    points = split_points(df, order, slices)
+    sliced = df.withColumn(SLICE, slice_of(df, order, points))
     keys = [*by, SLICE]
     totals = sliced.groupBy(*keys).agg(*[c.alias(n) for n, c in partials.items()])
     earlier = (
         Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = totals.select(*keys, *[folds[n](F.col(n), earlier).alias(n) for n in partials])
+    if not points:
+        # the whole table is smaller than the sample: one slice, nothing to carry
+        return sliced.withColumns({n: F.lit(None).cast(carry.schema[n].dataType) for n in partials})
     if not by:
         # at most MAX_SLICES rows by construction
         return sliced.join(F.broadcast(carry), SLICE, "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -98,9 +99,21 @@ def draw_key(seed: int, *keys) -> Column:
     return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts], F.lit(str(seed))))
 
 
-def uniform_draw(seed: int, *keys) -> Column:
-    """Uniform number in [0, 1) from the first 32 bits of ``draw_key``."""
-    return F.conv(F.substring(draw_key(seed, *keys), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+def draw_threshold(p) -> Column | str:
+    """Hex text t such that a 32-bit hex draw h satisfies ``h < t`` with probability ``p``.
+
+    Comparing text keeps the draw out of number conversion: this is the hot loop of resampling
+    and simulation. ``p`` is a number or a Column in [0, 1].
+    """
+    if isinstance(p, Column):
+        text = F.lower(F.lpad(F.hex(F.ceil(p * F.lit(4294967296.0))), 8, "0"))
+        return F.when(p >= 1, F.lit("g")).otherwise(text)
+    return "g" if p >= 1 else format(math.ceil(p * 4294967296.0), "08x")
+
+
+def draw_below(digest: Column, threshold, part: int = 0) -> Column:
+    """Whether the ``part``-th 32-bit slice of a digest lies below a ``draw_threshold``."""
+    return F.substring(digest, 1 + 8 * part, 8) < threshold
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -112,7 +125,7 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, key: str | None =
     """Fraction sample; with ``key`` it is stable under re-partitioning."""
     if key is None:
         return df.sample(fraction=fraction, seed=seed)
-    return df.filter(uniform_draw(seed, key) < fraction)
+    return df.filter(draw_below(draw_key(seed, key), F.lit(draw_threshold(fraction))))
 
 
 def value_counts(df: DataFrame, column: str, name: str = "cnt", dropna: bool = True) -> DataFrame:

@@ -8,33 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.numbers import close_to
+from riskframe.operators.joins import salted_join
+from riskframe.operators.ordered import positions
 
 
-def duplicate_groups(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Copies and first key per distinct combination of ``columns`` (combined map-side)."""
-    return df.groupBy(*columns).agg(
-        F.count(F.lit(1)).alias("copies"), F.min(key).alias("first_key")
-    )
+def fingerprint(columns: Sequence[str]) -> Column:
+    """SHA-256 over all columns, nulls included: a short stand-in for wide or long values."""
+    fields = F.struct(*[F.col(c) for c in columns])
+    return F.sha2(F.to_json(fields, {"ignoreNullFields": "false"}), 256)
 
 
-def flag_duplicates(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """``is_dup`` (second and later copies by key) and ``has_copies`` (any member of a group).
+def duplicate_flags(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """Key with ``is_dup`` (second and later copies by key) and ``has_copies`` (any copy).
 
-    Instead of a window over each combination, the groups are reduced first and joined back on
-    a hash of the combination: a combination that fills a third of the table is one row on one
-    side and is split by the adaptive skew join on the other.
+    Groups are reduced by fingerprint first, and only repeated fingerprints travel back, so long
+    texts are never shuffled. A combination that fills a third of the table is one row on the
+    reduced side and salted on the other.
     """
-    # only repeated combinations need to come back; the rest is unique by elimination
-    repeated = duplicate_groups(df, columns, key).filter("copies > 1")
-    right = repeated.select(*[F.col(c).alias(f"__{c}") for c in columns], "copies", "first_key")
-    cond = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns]
-    joined = df.join(right, cond, "left").drop(*[f"__{c}" for c in columns])
-    return joined.withColumns(
-        {
-            "is_dup": F.coalesce(F.col(key) != F.col("first_key"), F.lit(False)),
-            "has_copies": F.col("copies").isNotNull(),
-        }
-    ).drop("copies", "first_key")
+    marked = df.withColumn("__fp", fingerprint(columns))
+    repeated = (
+        marked.groupBy("__fp")
+        .agg(F.count(F.lit(1)).alias("__copies"), F.min(key).alias("__first"))
+        .filter("__copies > 1")
+    )
+    return salted_join(marked.select(key, "__fp"), repeated, ["__fp"], "left").select(
+        key,
+        F.coalesce(F.col(key) != F.col("__first"), F.lit(False)).alias("is_dup"),
+        F.col("__copies").isNotNull().alias("has_copies"),
+    )
 
 
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -78,6 +79,12 @@ def text_bool(x: str | Column) -> Column:
     return col == "True"
 
 
+def category_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
+    """Label and its 0-based ordinal in label order; join it to encode, or keep it as a dictionary."""
+    labels = df.select(column).distinct().filter(F.col(column).isNotNull())
+    return positions(labels, [column], name=name)
+
+
 def in_range(x: str | Column, low: float, high: float) -> Column:
     col = F.col(x) if isinstance(x, str) else x
     return col.between(low, high)

@@ -91,9 +91,10 @@ def _by_slices(
         .filter(F.size("__want") > 0)
         .select(*by, SLICE, "__lo", "n", "__want")
     )
-    # one row per (group, slice) that holds a wanted rank: at most 2 * len(probs) per group
+    # at most 2 * len(probs) rows per group hold a wanted rank; without groups that is a known size
+    narrowed = sliced.join(wanted if by else F.broadcast(wanted), [*by, SLICE])
     values = (
-        sliced.join(wanted, [*by, SLICE])
+        narrowed
         .groupBy(*by, SLICE, "__v")
         .agg(
             F.count(F.lit(1)).alias("__cnt"), F.first("__lo").alias("__lo"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.numbers import linear_score, round_half_even
 from riskframe.functions.recode import first_match, lookup
-from riskframe.operators.profile import draw_key
+from riskframe.operators.profile import draw_below, draw_key, draw_threshold
 from riskframe.operators.quantiles import exact_quantiles
 from riskframe.operators.stats import z_scores
 
@@ -72,7 +72,7 @@ def fraud_score(amount, is_foreign, is_night) -> Column:
         + F.when(_c(is_foreign), 2).otherwise(0)
         + F.when(_c(is_night), 1).otherwise(0)
     )
-    return F.round(raw, 2)
+    return round_half_even(raw, 2)
 
 
 def fraud_action(score, amount, is_foreign) -> Column:
@@ -145,22 +145,20 @@ def loss_trials(df: DataFrame, key: str, pd_col: str, exposure: str, trials: int
     """
     if trials % 4:
         raise ValueError("trials must be a multiple of 4 (one hash serves four draws)")
-    hashed = df.select(key, pd_col, exposure).withColumn(
-        "__block", F.explode(F.sequence(F.lit(0), F.lit(trials // 4 - 1)))
-    )
-    digest = hashed.withColumn("__h", draw_key(seed, key, "__block"))
-    draws = F.array(
+    at_risk = df.select(key, (F.col(exposure) * F.lit(lgd)).alias("__hit"), draw_threshold(F.col(pd_col)).alias("__t"))
+    blocks = at_risk.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(trials // 4 - 1))))
+    digest = blocks.withColumn("__h", draw_key(seed, key, "__block"))
+    # the four draws of a block are four conditional sums, so rows grow with blocks, not trials
+    sums = digest.groupBy("__block").agg(
         *[
-            F.struct(
-                (F.col("__block") * 4 + i).alias("trial"),
-                (F.conv(F.substring("__h", 1 + 8 * i, 8), 16, 10).cast("double") / F.lit(4294967296.0)).alias("u"),
-            )
+            F.sum(F.when(draw_below(F.col("__h"), F.col("__t"), i), F.col("__hit")).otherwise(0.0)).alias(f"l{i}")
             for i in range(4)
         ]
     )
-    cells = digest.select(pd_col, exposure, F.inline(draws))
-    loss = F.when(F.col("u") < F.col(pd_col), F.col(exposure) * F.lit(lgd)).otherwise(0.0)
-    return cells.groupBy("trial").agg(F.sum(loss).alias("loss"))
+    losses = F.array(
+        *[F.struct((F.col("__block") * 4 + i).alias("trial"), F.col(f"l{i}").alias("loss")) for i in range(4)]
+    )
+    return sums.select(F.inline(losses))
 
 
 def expected_loss_and_var(losses: DataFrame, level: float = 0.95) -> DataFrame:

@@ -7,14 +7,14 @@ are reproduced.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StructField, StructType
 
+from riskframe.operators.ordered import positions
 from riskframe.plans.risk import customer_summary, score_transactions
 from riskframe.session import work_dir
 
@@ -39,38 +39,33 @@ def running_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
     return stream.groupBy(key).agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"))
 
 
-class SequenceNumbers(StatefulProcessor):
-    """Numbers the items of each key 1, 2, 3, ... across micro-batches.
+def flag_sequence(stream: DataFrame, condition: Column, key: str, order: Sequence[str], base: str) -> DataFrame:
+    """Items that meet the condition, numbered 1, 2, 3, ... per key across micro-batches.
 
-    State is one counter per key, and items stream through in Arrow-sized pieces, so a hot key
-    costs time in one task but not memory.
+    Numbers within a batch come from the batch operator, which splits hot keys; the count per key
+    so far is a small table per batch id. Both are written under ``base`` and named by batch id, so
+    a retried batch overwrites its own output and a restarted stream picks up the last state.
     """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = self.count.get()[0] if self.count.exists() else 0
-        for pdf in rows:
-            out = pdf.assign(seq=range(seen + 1, seen + 1 + len(pdf)))
-            seen += len(pdf)
-            yield out
-        self.count.update((seen,))
-
-    def close(self) -> None:
-        pass
-
-
-def flag_sequence(stream: DataFrame, condition: Column, key: str, output_schema: str) -> DataFrame:
-    """Items that meet the condition with a running number per key (needs the RocksDB store)."""
-    return (
-        stream.filter(condition)
-        .groupBy(key)
-        .transformWithStateInPandas(
-            statefulProcessor=SequenceNumbers(), outputStructType=output_schema,
-            outputMode="append", timeMode="none",
-        )
-    )
+    spark = stream.sparkSession
+    flagged = stream.filter(condition)
+    counts_schema = StructType([flagged.schema[key], StructField("n", LongType())])
+
+    def number(batch: DataFrame, batch_id: int) -> None:
+        before = spark.createDataFrame([], counts_schema)
+        if batch_id > 0:
+            before = spark.read.schema(counts_schema).parquet(f"{base}/counts/batch={batch_id - 1}")
+        numbered = positions(batch, order, [key], "__pos").join(before, key, "left")
+        numbered.select(
+            *batch.columns, (F.coalesce("n", F.lit(0)) + F.col("__pos") + 1).alias("seq")
+        ).write.mode("overwrite").parquet(f"{base}/items/batch={batch_id}")
+        now = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        before.unionByName(now).groupBy(key).agg(F.sum("n").alias("n")).write.mode(
+            "overwrite"
+        ).parquet(f"{base}/counts/batch={batch_id}")
+
+    run_available(flagged, number)
+    schema = StructType([*flagged.schema.fields, StructField("seq", LongType())])
+    return spark.read.schema(schema).parquet(f"{base}/items")
 
 
 def fraud_monitor(stream: DataFrame) -> DataFrame:
