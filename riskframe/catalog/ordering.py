@@ -70,8 +70,10 @@ def win_share_over(t):
 def win_streak(t):
     rows = t.events.select("event_id", "user_id", "ts", "value")
     order, by = ["ts", "event_id"], ["user_id"]
-    flagged = O.longest_streak(rows, F.col("value") > 20, order, by, "longest_flagged")
-    rises = O.longest_streak(O.difference(rows, "value", order, by), F.col("diff") > 0, order, by, "longest_rise")
+    points = O.split_points(rows, [*by, *order])
+    flagged = O.longest_streak(rows, F.col("value") > 20, order, by, "longest_flagged", points=points)
+    changes = O.difference(rows, "value", order, by, points=points)
+    rises = O.longest_streak(changes, F.col("diff") > 0, order, by, "longest_rise", points=points)
     return flagged.join(rises, "user_id")
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.ordered import positions
-from riskframe.operators.profile import draw_below, draw_key, draw_threshold
-from riskframe.operators.quantiles import exact_quantiles
+from riskframe.operators.profile import draw_below, draw_key, draw_threshold, spread
 
 
 def _poisson_distribution() -> list[float]:
@@ -72,13 +71,13 @@ def arg_extreme(df: DataFrame, x: str, tiebreak: str, by: Sequence[str] = (), la
     return rows.groupBy(*by).agg(pick.alias("r")).select(*by, "r.*").select(*df.columns)
 
 
-def collect_chunks(df: DataFrame, by: Sequence[str], value: str, order: Sequence[str], size: int, slices: int | None = None) -> DataFrame:
+def collect_chunks(df: DataFrame, by: Sequence[str], value: str, order: Sequence[str], size: int, **cut) -> DataFrame:
     """Members of each group as ordered lists of at most ``size`` entries.
 
     A list per group would have to fit in one row; numbered chunks keep every member for groups
     of any size.
     """
-    numbered = positions(df, order, by, "__pos", slices)
+    numbered = positions(df, order, by, "__pos", **cut)
     entry = F.struct("__pos", value)
     return (
         numbered.withColumn("chunk", F.floor(F.col("__pos") / size))
@@ -94,9 +93,8 @@ def bootstrap_ci(df: DataFrame, key: str, value: str, by: Sequence[str], replica
     Each row draws one Poisson(1) weight per replicate from a hash of (row key, replicate), so the
     replicates are sums with map-side combining: the shuffle carries groups x replicates rows.
     """
-    rep = df.filter(F.col(value).isNotNull()).select(
-        *by, key, value, F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("__rep")
-    )
+    rows = spread(df.filter(F.col(value).isNotNull()).select(*by, key, value), key)
+    rep = rows.withColumn("__rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     # inverse of the Poisson(1) distribution function: the weight is the first bound above the draw
     weight = F.lit(len(POISSON_1))
     for k in reversed(range(len(POISSON_1))):
@@ -109,5 +107,8 @@ def bootstrap_ci(df: DataFrame, key: str, value: str, by: Sequence[str], replica
         .agg((F.sum(F.col(value) * F.col("__w")) / F.sum("__w")).alias("__m"))
     )
     tail = (1.0 - level) / 2
-    # at most ``replicates`` values per group
-    return exact_quantiles(means, "__m", {"ci_low": tail, "ci_high": 1 - tail}, by).drop("n")
+    # the quantile buffer holds one number per replicate
+    ends = F.percentile("__m", F.array(F.lit(tail), F.lit(1 - tail)))
+    return means.groupBy(*by).agg(ends.alias("__q")).select(
+        *by, F.get("__q", F.lit(0)).alias("ci_low"), F.get("__q", F.lit(1)).alias("ci_high")
+    )

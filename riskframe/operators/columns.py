@@ -22,12 +22,12 @@ def rename_all(df: DataFrame, fn) -> DataFrame:
     return df.toDF(*[fn(c) for c in df.columns])
 
 
-def take_positions(df: DataFrame, order: Sequence[str], wanted: Sequence[int], slices: int | None = None) -> DataFrame:
+def take_positions(df: DataFrame, order: Sequence[str], wanted: Sequence[int], **cut) -> DataFrame:
     """Rows at the listed positions, repeated as listed; ``slot`` is the place in the list.
 
     The list is part of the call, so the join side built from it has a known size.
     """
-    numbered = positions(df, order, slices=slices)
+    numbered = positions(df, order, **cut)
     spark = df.sparkSession
     slots = spark.range(1).select(
         F.posexplode(F.array(*[F.lit(int(w)).cast("long") for w in wanted])).alias("slot", "pos")
@@ -35,8 +35,8 @@ def take_positions(df: DataFrame, order: Sequence[str], wanted: Sequence[int], s
     return numbered.join(F.broadcast(slots), "pos")
 
 
-def every_kth(df: DataFrame, order: Sequence[str], k: int, slices: int | None = None) -> DataFrame:
-    return positions(df, order, slices=slices).filter(F.pmod("pos", F.lit(k)) == 0)
+def every_kth(df: DataFrame, order: Sequence[str], k: int, **cut) -> DataFrame:
+    return positions(df, order, **cut).filter(F.pmod("pos", F.lit(k)) == 0)
 
 
 def repeat_rows(df: DataFrame, times: int, name: str = "copy") -> DataFrame:
@@ -54,9 +54,9 @@ def expand_levels(df: DataFrame, **levels: Sequence) -> DataFrame:
     return df
 
 
-def fold_rows(df: DataFrame, order: Sequence[str], value: str, width: int, slices: int | None = None) -> DataFrame:
+def fold_rows(df: DataFrame, order: Sequence[str], value: str, width: int, **cut) -> DataFrame:
     """A column read row-wise into ``width`` columns c0..c{width-1}."""
-    pos = positions(df.select(*order, value), order, slices=slices)
+    pos = positions(df.select(*order, value), order, **cut)
     cells = pos.select(
         F.floor(F.col("pos") / width).alias("row"), F.pmod("pos", F.lit(width)).alias("col"), value
     )

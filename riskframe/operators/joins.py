@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.ordered import positions
 
+#: Measured keys up to which one-row-per-key statistics are broadcast (a few MB).
+BROADCAST_KEYS = 50_000
+
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
 
 
@@ -55,37 +58,37 @@ def match_counts(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
     )
 
 
-def heavy_keys(df: DataFrame, on: Sequence[str], items: int = 64, tracked: int = 4096) -> list[int]:
-    """Hashes of the most frequent join keys, from a bounded one-pass sketch.
+def key_profile(df: DataFrame, on: Sequence[str], items: int = 64, tracked: int = 4096) -> tuple[int, list[int]]:
+    """Approximate number of distinct keys, and hashes of the heavy ones, from one bounded pass.
 
-    Only a hint: a wrong guess changes how rows are spread, never the result.
+    A key counts as heavy from half a percent of the rows. Both are hints: a wrong guess changes
+    how rows are moved, never the result.
     """
-    hashed = F.xxhash64(*on).alias("h")
-    top = df.select(hashed).selectExpr(f"approx_top_k(h, {items}, {tracked}) AS t", "count(*) AS n").first()
-    return [r["item"] for r in top["t"] if r["count"] * 200 > top["n"]]
+    hashed = df.select(F.xxhash64(*on).alias("h"))
+    row = hashed.selectExpr(
+        "approx_count_distinct(h) AS d", f"approx_top_k(h, {items}, {tracked}) AS t", "count(*) AS n"
+    ).first()
+    return row["d"], [t["item"] for t in row["t"] or [] if t["count"] * 200 >= row["n"]]
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32, heavy: list[int] | None = None
-) -> DataFrame:
-    """Join with the left side's heavy keys spread over ``salts`` partitions.
+def group_join(rows: DataFrame, stats: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Attach per-key statistics (one row per key, derived from ``rows``) back to the rows.
 
-    Rows of heavy keys get a salt from their content (so a retried task repeats it); the few
-    right rows with those keys are copied once per salt. Other keys join as usual. For joins the
-    adaptive planner does not split (below its size threshold, or inside a larger shuffle-sharing
-    plan). Left rows should carry an id: rows equal in every column share a salt.
+    Few keys (measured): the statistics are broadcast. Many keys: only those of the heavy keys are,
+    at most 64 rows, and rows of the other keys, none of which is large, join as usual. No key's
+    rows are gathered either way.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError("only joins driven by the left side can be salted")
-    heavy = heavy_keys(left, on) if heavy is None else heavy
+    if how not in ("inner", "left"):
+        raise ValueError("statistics can be attached by an inner or a left join")
+    by = list(by)
+    keys, heavy = key_profile(rows, by)
+    if keys <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(stats), by, how)
     if not heavy:
-        return left.join(right, list(on), how)
-    is_heavy = F.xxhash64(*on).isin(heavy)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts))
-    l = left.withColumn("__salt", F.when(is_heavy, spread).otherwise(F.lit(0)).cast("int"))
-    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    r = right.withColumn("__salt", F.explode(copies))
-    return l.join(r, [*on, "__salt"], how).drop("__salt")
+        return rows.join(stats, by, how)
+    is_heavy = F.xxhash64(*by).isin(heavy)
+    split = rows.filter(is_heavy).join(F.broadcast(stats.filter(is_heavy)), by, how)
+    return split.unionByName(rows.filter(~is_heavy).join(stats.filter(~is_heavy), by, how))
 
 
 def average_sources(sources: Sequence[DataFrame], key: str, value: str, min_sources: int = 1) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.joins import salted_join
+from riskframe.operators.joins import group_join
 from riskframe.operators.ordered import forward_fill
 from riskframe.operators.profile import per_column
 from riskframe.operators.quantiles import median
@@ -60,7 +60,7 @@ def fill_group_median(df: DataFrame, column: str, by: str, **quantile_options) -
     """Impute with the median of the row's own group; rows without a group stay as they are."""
     medians = median(df, column, [by], "__median", **quantile_options)
     return (
-        salted_join(df, medians, [by], "left")
+        group_join(df, medians, [by], "left")
         .withColumn(column, F.coalesce(column, "__median"))
         .drop("__median")
     )

@@ -2,16 +2,20 @@
 
 A plain ``Window`` without ``partitionBy`` moves the table into one task, and one with
 ``partitionBy(key)`` moves each key into one task. Both break when the table, or a single key,
-holds terabytes. The operators here cut the order key into slices first:
-
-1. ``split_points`` draws a bounded uniform sample of the order key and keeps evenly spaced
-   tuples. They are baked into the plan as literals, so every branch (and every retried task)
-   sees the same slices.
-2. Each slice is summarised by one grouped aggregate, which combines map-side.
-3. The summaries (at most one row per key and slice) are folded in order into a carry.
-4. Rows are ordered only inside their own (key, slice) and the carry is added.
-
-The order key should be unique (append an id): then no slice can be dominated by ties.
+holds terabytes. So the operators here look first:
+
+1. ``split_points`` draws a bounded uniform sample of (key, order), sorted, and keeps evenly spaced
+   tuples. A key that owns several of them is hot: it alone would fill several tasks.
+2. Without hot keys the operator is the plain window per key.
+3. Hot keys (or the table, when there is no key) are cut at the split points into slices of similar
+   size. The points are literals in the plan, so every branch and every retried task sees the same
+   slices. Only these rows are summarised, one aggregate row per (hot key, slice), and the
+   summaries are folded in order into a carry: at most one row per split point, small enough to
+   broadcast by construction.
+4. Rows are ordered inside their own (key, slice) and the carry is added. This window is the only
+   shuffle of the rows.
+
+The order must be unique within a key (append an id): then ties cannot fill a slice.
 """
 
 from __future__ import annotations
@@ -44,7 +48,7 @@ def slice_count(df: DataFrame) -> int:
 
 
 def split_points(df: DataFrame, keys: Sequence[str | Column], slices: int | None = None) -> list:
-    """Ascending order-key tuples that cut ``df`` into slices of similar size.
+    """Ascending key tuples that cut ``df`` into slices of similar size.
 
     An empty list means the table has fewer rows than the sample, so one slice is enough.
     Only the sample (``slices * ROWS_PER_SLICE`` rows) reaches the driver.
@@ -64,39 +68,73 @@ def split_points(df: DataFrame, keys: Sequence[str | Column], slices: int | None
     return [p for i, p in enumerate(picked) if i == 0 or p != picked[i - 1]]
 
 
-def slice_of(df: DataFrame, keys: Sequence[str | Column], points: list) -> Column:
-    """Number of split points at or below the row's order key, by binary search."""
-    if not points:
-        return F.lit(0)
-    schema = df.select(order_struct(keys).alias("key")).schema["key"].dataType
-    literals = F.array(
-        *[
-            F.struct(
-                *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(p, schema.fields)]
-            )
-            for p in points
+class Slices:
+    """Where hot keys, or a whole table, are cut. ``points`` are sorted (by..., order...) tuples."""
+
+    def __init__(self, df: DataFrame, by: Sequence[str], order: Sequence[str | Column], points: list):
+        self.by, order = list(by), as_columns(order)
+        width = len(self.by)
+        owned: dict[tuple, list] = {}
+        for p in points:
+            owned.setdefault(tuple(p[:width]), []).append(tuple(p[width:]))
+        if by:
+            owned = {k: cuts for k, cuts in owned.items() if len(cuts) > 1}
+        if all(len({c[0] for c in cuts}) == len(cuts) for cuts in owned.values()):
+            # the leading order column alone tells the slices apart
+            order, owned = order[:1], {k: [c[:1] for c in cuts] for k, cuts in owned.items()}
+        self.order, self.cuts = order, owned
+        if owned:
+            fields = df.select(order_struct([*by, *order]).alias("key")).schema["key"].dataType.fields
+            self.by_types, self.order_types = [f.dataType for f in fields[:width]], [f.dataType for f in fields[width:]]
+
+    @staticmethod
+    def _literal(values: tuple, types: list) -> Column:
+        cells = [F.lit(v).cast(t) for v, t in zip(values, types)]
+        return cells[0] if len(cells) == 1 else order_struct(cells)
+
+    def _hot_number(self) -> Column:
+        """1-based number of the row's hot key, 0 or null for other keys."""
+        plain = len(self.by) == 1 and (None,) not in self.cuts
+        key = F.col(self.by[0]) if plain else order_struct(self.by)
+        # a composite key is never null itself, so null parts match
+        known = [
+            self._literal(k, self.by_types) if plain else order_struct([F.lit(v).cast(t) for v, t in zip(k, self.by_types)])
+            for k in self.cuts
         ]
-    )
-    steps = [1 << i for i in range(len(points).bit_length() - 1, -1, -1)]
-    key = order_struct(keys)
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda pos, step: F.when(F.get(literals, pos + step - 1) <= key, pos + step).otherwise(pos),
-    )
-
+        return F.array_position(F.array(*known), key)
+
+    def sliced(self) -> Column:
+        """Whether the row's key is cut at all."""
+        if not self.cuts:
+            return F.lit(False)
+        return self._hot_number() > 0 if self.by else F.lit(True)
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Add the slice: how many of its key's cuts lie at or below the row, by binary search."""
+        if not self.cuts:
+            return df.withColumn(SLICE, F.lit(0))
+        key = self.order[0] if len(self.order) == 1 else order_struct(self.order)
+        per_key = [F.array(*[self._literal(c, self.order_types) for c in cuts]) for cuts in self.cuts.values()]
+        longest = max(len(cuts) for cuts in self.cuts.values())
+        steps = F.array(*[F.lit(1 << i) for i in range(longest.bit_length() - 1, -1, -1)])
+
+        def search(args: Column) -> Column:
+            at_or_below = lambda pos, step: F.get(args["cuts"], pos + step - 1) <= args["key"]
+            number = F.aggregate(
+                steps, F.lit(0), lambda pos, step: F.when(at_or_below(pos, step), pos + step).otherwise(pos)
+            )
+            return F.when(args["cuts"].isNotNull(), number).otherwise(0)
 
-def with_slice(
-    df: DataFrame, keys: Sequence[str | Column], slices: int | None = None
-) -> DataFrame:
-    points = split_points(df, keys, slices)
-    return df.withColumn(SLICE, slice_of(df, keys, points))
+        cuts = F.get(F.array(*per_key), self._hot_number() - 1) if self.by else per_key[0]
+        # a one-element transform evaluates the arguments once per row instead of once per step
+        args = F.array(F.struct(cuts.alias("cuts"), key.alias("key")))
+        return df.withColumn(SLICE, F.get(F.transform(args, search), F.lit(0)))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join that also matches null keys; the right copies of the keys are dropped."""
     renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
-    cond = [left[c].eqNullSafe(renamed[f"__r_{c}"]) for c in on]
+    cond = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on]
     return left.join(renamed, cond, how).drop(*[f"__r_{c}" for c in on])
 
 
@@ -107,27 +145,30 @@ def with_carry(
     partials: dict[str, Column],
     folds: dict[str, Callable[[Column, object], Column]],
     slices: int | None = None,
+    points: list | None = None,
 ) -> DataFrame:
-    """Add, per row, ``partials`` folded over all earlier slices of the row's group.
+    """Add, per row, ``partials`` folded over all earlier slices of the row's key.
 
-    ``partials`` summarise one (group, slice); ``folds`` combine the summaries of earlier slices
-    with a window of at most ``MAX_SLICES`` rows per group. The slice column stays on the result.
+    ``partials`` summarise one (key, slice); ``folds`` combine the summaries of earlier slices; both
+    are null for keys that are not cut.
+    The slice column stays on the result. ``points`` takes split points drawn before: from the
+    source of a derived table, or shared by several operators over the same key and order.
     """
-    points = split_points(df, order, slices)
-    sliced = df.withColumn(SLICE, slice_of(df, order, points))
+    if points is None:
+        points = split_points(df, [*by, *order], slices)
+    cuts = Slices(df, by, order, points)
+    sliced = cuts.assign(df)
     keys = [*by, SLICE]
-    totals = sliced.groupBy(*keys).agg(*[c.alias(n) for n, c in partials.items()])
-    earlier = (
-        Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        sliced.filter(cuts.sliced()).groupBy(*keys).agg(*[c.alias(n) for n, c in partials.items()])
     )
+    earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, *[folds[n](F.col(n), earlier).alias(n) for n in partials])
-    if not points:
-        # the whole table is smaller than the sample: one slice, nothing to carry
+    if not cuts.cuts:
+        # no hot key, or a table smaller than the sample: nothing to carry
         return sliced.withColumns({n: F.lit(None).cast(carry.schema[n].dataType) for n in partials})
-    if not by:
-        # at most MAX_SLICES rows by construction
-        return sliced.join(F.broadcast(carry), SLICE, "left")
-    return null_safe_join(sliced, carry, keys)
+    # about one row per split point: bounded by MAX_SLICES, not by the data
+    return null_safe_join(sliced, F.broadcast(carry), keys)
 
 
 def local_window(by: Sequence[str], order: Sequence[str | Column]):
@@ -139,11 +180,11 @@ def positions(
     order: Sequence[str | Column],
     by: Sequence[str] = (),
     name: str = "pos",
-    slices: int | None = None,
+    **cut,
 ) -> DataFrame:
     """0-based row positions in ``order``, over the table or within each group."""
     carried = with_carry(
-        df, by, order, {"__before": F.count(F.lit(1))}, {"__before": lambda c, w: F.sum(c).over(w)}, slices
+        df, by, order, {"__before": F.count(F.lit(1))}, {"__before": lambda c, w: F.sum(c).over(w)}, **cut
     )
     rank = F.row_number().over(local_window(by, order))
     return carried.withColumn(
@@ -157,12 +198,12 @@ def running_sum(
     order: Sequence[str | Column],
     by: Sequence[str] = (),
     name: str = "running_sum",
-    slices: int | None = None,
+    **cut,
 ) -> DataFrame:
     """Cumulative sum in ``order``; nulls add nothing, as in a cumulative sum that skips them."""
     value = F.col(value) if isinstance(value, str) else value
     carried = with_carry(
-        df, by, order, {"__before": F.sum(value)}, {"__before": lambda c, w: F.sum(c).over(w)}, slices
+        df, by, order, {"__before": F.sum(value)}, {"__before": lambda c, w: F.sum(c).over(w)}, **cut
     )
     local = local_window(by, order).rowsBetween(Window.unboundedPreceding, 0)
     total = F.coalesce("__before", F.lit(0)) + F.coalesce(F.sum(value).over(local), F.lit(0))
@@ -175,14 +216,14 @@ def previous_value(
     order: Sequence[str | Column],
     by: Sequence[str] = (),
     name: str = "previous",
-    slices: int | None = None,
+    **cut,
 ) -> DataFrame:
     """The value of the preceding row (null on the first row of a group)."""
     carried = with_carry(
         df, by, order,
         {"__before": F.max_by(F.col(value), order_struct(order))},
         {"__before": lambda c, w: F.last(c).over(w)},
-        slices,
+        **cut,
     )
     local = local_window(by, order)
     first = F.row_number().over(local) == 1
@@ -197,10 +238,10 @@ def difference(
     order: Sequence[str | Column],
     by: Sequence[str] = (),
     name: str = "diff",
-    slices: int | None = None,
+    **cut,
 ) -> DataFrame:
     """Change against the preceding row."""
-    out = previous_value(df, value, order, by, "__prev", slices)
+    out = previous_value(df, value, order, by, "__prev", **cut)
     return out.withColumn(name, F.col(value) - F.col("__prev")).drop("__prev")
 
 
@@ -210,7 +251,7 @@ def forward_fill(
     order: Sequence[str | Column],
     by: Sequence[str] = (),
     name: str | None = None,
-    slices: int | None = None,
+    **cut,
 ) -> DataFrame:
     """Carry the last non-null value forward."""
     known = F.when(F.col(value).isNotNull(), order_struct(order))
@@ -218,7 +259,7 @@ def forward_fill(
         df, by, order,
         {"__before": F.max_by(F.col(value), known)},
         {"__before": lambda c, w: F.last(c, ignorenulls=True).over(w)},
-        slices,
+        **cut,
     )
     local = local_window(by, order).rowsBetween(Window.unboundedPreceding, 0)
     filled = F.coalesce(F.last(value, ignorenulls=True).over(local), F.col("__before"))
@@ -231,7 +272,7 @@ def longest_streak(
     order: Sequence[str | Column],
     by: Sequence[str] = (),
     name: str = "longest",
-    slices: int | None = None,
+    **cut,
 ) -> DataFrame:
     """Longest run of consecutive rows with ``flag`` true, per group.
 
@@ -240,25 +281,25 @@ def longest_streak(
     """
     flagged = df.select(*[c for c in df.columns], F.coalesce(flag, F.lit(False)).alias("__flag"))
     islands = running_sum(
-        flagged, F.when(F.col("__flag"), 0).otherwise(1), order, by, "__island", slices
+        flagged, F.when(F.col("__flag"), 0).otherwise(1), order, by, "__island", **cut
     )
     runs = islands.groupBy(*by, "__island").agg(F.count_if("__flag").alias("__run"))
     return runs.groupBy(*by).agg(F.max("__run").alias(name))
 
 
 def value_ranks(
-    df: DataFrame, value: str, by: Sequence[str] = (), slices: int | None = None
+    df: DataFrame, value: str, by: Sequence[str] = (), **cut
 ) -> DataFrame:
     """One row per distinct value: count, rows strictly below, rows at or below, and group size.
 
     Equal values are combined before anything is ordered, so ties cost one row each.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    ranked = running_sum(counts, "cnt", [value], by, "at_or_below", slices)
+    rows = df.filter(F.col(value).isNotNull())
+    if "points" not in cut:
+        # drawn from the rows, not from their counts: no aggregate runs for the sample
+        cut = {"points": split_points(rows, [*by, value], cut.get("slices"))}
+    counts = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
+    ranked = running_sum(counts, "cnt", [value], by, "at_or_below", **cut)
     sizes = counts.groupBy(*by).agg(F.sum("cnt").alias("n"))
     if by:
         ranked = null_safe_join(ranked, sizes, by, "inner")
@@ -267,9 +308,9 @@ def value_ranks(
     return ranked.withColumn("below", F.col("at_or_below") - F.col("cnt"))
 
 
-def ecdf(df: DataFrame, value: str, by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
+def ecdf(df: DataFrame, value: str, by: Sequence[str] = (), **cut) -> DataFrame:
     """Empirical distribution: share at or below, share above, and cumulative count per value."""
-    ranks = value_ranks(df, value, by, slices)
+    ranks = value_ranks(df, value, by, **cut)
     share = F.col("at_or_below") / F.col("n")
     return ranks.select(
         *by, value, share.alias("ecdf"), (F.lit(1.0) - share).alias("complement"),
@@ -278,20 +319,20 @@ def ecdf(df: DataFrame, value: str, by: Sequence[str] = (), slices: int | None =
 
 
 def average_ranks(
-    df: DataFrame, value: str, by: Sequence[str] = (), slices: int | None = None
+    df: DataFrame, value: str, by: Sequence[str] = (), **cut
 ) -> DataFrame:
     """1-based rank per distinct value, ties sharing their mean rank."""
-    ranks = value_ranks(df, value, by, slices)
+    ranks = value_ranks(df, value, by, **cut)
     return ranks.select(
         *by, value, "cnt", (F.col("below") + (F.col("cnt") + 1) / F.lit(2.0)).alias("avg_rank")
     )
 
 
 def folds(
-    df: DataFrame, order: Sequence[str | Column], k: int, name: str = "fold", slices: int | None = None
+    df: DataFrame, order: Sequence[str | Column], k: int, name: str = "fold", **cut
 ) -> DataFrame:
     """k consecutive parts of near-equal size (1..k); the first parts take the remainder."""
-    numbered = positions(df, order, name="__pos", slices=slices)
+    numbered = positions(df, order, name="__pos", **cut)
     n = df.agg(F.count(F.lit(1))).scalar()
     base, extra = F.floor(n / F.lit(k)), F.pmod(n, F.lit(k))
     cut = extra * (base + 1)
@@ -303,8 +344,8 @@ def folds(
 
 
 def batches(
-    df: DataFrame, order: Sequence[str | Column], size: int, name: str = "batch", slices: int | None = None
+    df: DataFrame, order: Sequence[str | Column], size: int, name: str = "batch", **cut
 ) -> DataFrame:
     """Number of the consecutive batch of ``size`` rows a row falls in (0-based)."""
-    numbered = positions(df, order, name="__pos", slices=slices)
+    numbered = positions(df, order, name="__pos", **cut)
     return numbered.withColumn(name, F.floor(F.col("__pos") / size)).drop("__pos")

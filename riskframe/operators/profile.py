@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from riskframe.operators.quantiles import exact_quantiles
+from riskframe.operators.quantiles import BUFFER_VALUES, exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -50,25 +51,48 @@ def non_null_counts(df: DataFrame) -> DataFrame:
     return per_column(df, F.count, value="non_null")
 
 
-def stack_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Numeric columns as (by..., column, value) rows; a map-side expansion, no shuffle."""
-    cast = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    return cast.unpivot(list(by), list(columns), "column", "value")
+def describe(
+    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (), buffer_values: int = BUFFER_VALUES, **cut
+) -> DataFrame:
+    """count, mean, std, min, quartiles, max per column (and group), one row per column.
 
-
-def describe(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (), **quantile_options) -> DataFrame:
-    """count, mean, std, min, quartiles, max per column (and group), one row per column."""
-    columns = list(columns or numeric_columns(df))
-    long = stack_columns(df, columns, by).filter(F.col("value").isNotNull())
+    One wide aggregate serves all moments and the quartiles of columns with few distinct values;
+    only the other columns take the sliced quantile path.
+    """
+    columns, by = list(columns or numeric_columns(df)), list(by)
+    rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    rows = rows.na.drop(subset=by) if by else rows
+    distinct = rows.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
+    few = [c for c in columns if distinct[c] <= buffer_values]
+    points = F.array(*[F.lit(p) for p in QUARTILES.values()])
+
+    def cell(c: str) -> Column:
+        quartiles = F.percentile(c, points) if c in few else F.lit(None).cast("array<double>")
+        return F.struct(
+            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+            F.min(c).alias("min"), F.max(c).alias("max"), quartiles.alias("__q"),
+        )
+
+    wide = rows.groupBy(*by).agg(*[cell(c).alias(c) for c in columns])
+    long = wide.select(*by, F.inline(F.array(*columns)))
     keys = [*by, "column"]
-    moments = long.groupBy(*keys).agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(long, "value", QUARTILES, keys, **quantile_options).drop("n")
-    return moments.join(quartiles, keys, "left").select(
-        *keys, "count", "mean", "std", "min", *QUARTILES, "max"
+    out = long.select(
+        *keys, "count", "mean", "std", "min",
+        *[F.get("__q", F.lit(i)).alias(name) for i, name in enumerate(QUARTILES)], "max",
     )
+    many = [c for c in columns if c not in few]
+    if not many:
+        return out
+    # one narrow, column-pruned quantile job per remaining column
+    parts = [
+        exact_quantiles(rows, c, QUARTILES, by, buffer_values=0, **cut).select(
+            *by, F.lit(c).alias("column"), *[F.col(q).alias(f"__{q}") for q in QUARTILES]
+        )
+        for c in many
+    ]
+    sliced = reduce(lambda a, b: a.unionByName(b), parts)
+    merged = {q: F.coalesce(q, f"__{q}") for q in QUARTILES}
+    return out.join(sliced, keys, "left").withColumns(merged).drop(*[f"__{q}" for q in QUARTILES])
 
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -93,6 +117,15 @@ def tail(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*[F.col(c).desc_nulls_first() for c in order]).limit(n).orderBy(*order)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Even out rows over all tasks before each is expanded a hundredfold.
+
+    The expansion, not the few narrow columns moved here, is the cost of such jobs, and a file
+    layout of a few large splits would leave it to a few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def draw_key(seed: int, *keys) -> Column:
     """Hash text of key and seed: a draw that stays the same under any partitioning."""
     parts = [F.col(k) if isinstance(k, str) else k for k in keys]

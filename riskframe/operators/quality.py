@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.numbers import close_to
-from riskframe.operators.joins import salted_join
+from riskframe.operators.joins import group_join
 from riskframe.operators.ordered import positions
 
 
@@ -23,7 +23,7 @@ def duplicate_flags(df: DataFrame, columns: Sequence[str], key: str) -> DataFram
 
     Groups are reduced by fingerprint first, and only repeated fingerprints travel back, so long
     texts are never shuffled. A combination that fills a third of the table is one row on the
-    reduced side and salted on the other.
+    reduced side, which is broadcast to the rows it belongs to.
     """
     marked = df.withColumn("__fp", fingerprint(columns))
     repeated = (
@@ -31,7 +31,7 @@ def duplicate_flags(df: DataFrame, columns: Sequence[str], key: str) -> DataFram
         .agg(F.count(F.lit(1)).alias("__copies"), F.min(key).alias("__first"))
         .filter("__copies > 1")
     )
-    return salted_join(marked.select(key, "__fp"), repeated, ["__fp"], "left").select(
+    return group_join(marked.select(key, "__fp"), repeated, ["__fp"], "left").select(
         key,
         F.coalesce(F.col(key) != F.col("__first"), F.lit(False)).alias("is_dup"),
         F.col("__copies").isNotNull().alias("has_copies"),

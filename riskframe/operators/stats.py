@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.bins import equal_width
-from riskframe.operators.joins import heavy_keys, salted_join
+from riskframe.operators.joins import group_join
 from riskframe.operators.ordered import average_ranks
 from riskframe.operators.quantiles import EXCLUSIVE, LINEAR, exact_quantiles
 
@@ -68,19 +68,6 @@ def histogram_2d(df: DataFrame, x: str, y: str, x_low: float, x_width: float, x_
     )
 
 
-def _with_group_stats(rows: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
-    """(by..., __x) rows with their group's statistics and a weight ``__cnt``.
-
-    Without a heavy group this is a plain join. With one, equal values are combined first, so that
-    neither a heavy group nor a heavy value within it ends up in one task.
-    """
-    heavy = heavy_keys(rows, by)
-    if not heavy:
-        return rows.withColumn("__cnt", F.lit(1)).join(stats, by)
-    counted = rows.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__cnt"))
-    return salted_join(counted, stats, by, heavy=heavy)
-
-
 # ------------------------------------------------------------------ box summaries
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whis: float = 1.5, **quantile_options) -> DataFrame:
     """Quartiles, whiskers (extreme data within ``whis`` IQRs) and outlier count per group."""
@@ -94,17 +81,17 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whis: float = 1
         }
     )
     if by:
-        tagged = _with_group_stats(rows, bounds, by)
+        tagged = group_join(rows, bounds, by)
     else:
         b = bounds.agg(F.first(F.struct(*bounds.columns))).scalar()
-        tagged = rows.select("__x", F.lit(1).alias("__cnt"), *[b[c].alias(c) for c in bounds.columns])
+        tagged = rows.select("__x", *[b[c].alias(c) for c in bounds.columns])
     inside = F.col("__x").between(F.col("__lo"), F.col("__hi"))
     return tagged.groupBy(*by).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("med").alias("med"),
         F.first("q3").alias("q3"),
         F.min(F.when(inside, F.col("__x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("__x"))).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(F.col("__cnt"))).alias("n_outliers"),
+        F.count_if(~inside).alias("n_outliers"),
     )
 
 
@@ -263,15 +250,15 @@ def kde(df: DataFrame, value: str, by: Sequence[str] = (), points: int = 200, bi
         .filter("h > 0")
     )
     if by:
-        tagged = _with_group_stats(rows, stats.select(*by, "lo", "hi"), by)
+        tagged = group_join(rows, stats.select(*by, "lo", "hi"), by)
     else:
         b = stats.agg(F.first(F.struct("lo", "hi"))).scalar()
-        tagged = rows.select("__x", F.lit(1).alias("__cnt"), b["lo"].alias("lo"), b["hi"].alias("hi"))
+        tagged = rows.select("__x", b["lo"].alias("lo"), b["hi"].alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     binned = (
         tagged.withColumn("bin", equal_width("__x", F.col("lo"), width, bins))
         .groupBy(*by, "bin")
-        .agg(F.sum("__cnt").alias("cnt"))
+        .agg(F.count(F.lit(1)).alias("cnt"))
     )
     if by:
         # one stats row per group meets at most ``bins`` rows per group
@@ -306,7 +293,7 @@ def z_scores(df: DataFrame, columns: Sequence[str], population: bool = False, su
 def deviation_from_group(df: DataFrame, value: str, by: Sequence[str], name: str = "dev") -> DataFrame:
     """Value minus the mean of its group: an aggregate joined back, so no group sits in one task."""
     means = df.groupBy(*by).agg(F.avg(value).alias("__m"))
-    return salted_join(df, means, by, "left").withColumn(name, F.col(value) - F.col("__m")).drop("__m")
+    return group_join(df, means, by, "left").withColumn(name, F.col(value) - F.col("__m")).drop("__m")
 
 
 def stronger_predictor(df: DataFrame, a: str, b: str, target: str) -> DataFrame:

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.numbers import linear_score, round_half_even
 from riskframe.functions.recode import first_match, lookup
-from riskframe.operators.profile import draw_below, draw_key, draw_threshold
-from riskframe.operators.quantiles import exact_quantiles
+from riskframe.operators.profile import draw_below, draw_key, draw_threshold, spread
 from riskframe.operators.stats import z_scores
 
 # Tier cuts, default probabilities, score weights, loss given default.
@@ -146,7 +145,7 @@ def loss_trials(df: DataFrame, key: str, pd_col: str, exposure: str, trials: int
     if trials % 4:
         raise ValueError("trials must be a multiple of 4 (one hash serves four draws)")
     at_risk = df.select(key, (F.col(exposure) * F.lit(lgd)).alias("__hit"), draw_threshold(F.col(pd_col)).alias("__t"))
-    blocks = at_risk.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(trials // 4 - 1))))
+    blocks = spread(at_risk, key).withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(trials // 4 - 1))))
     digest = blocks.withColumn("__h", draw_key(seed, key, "__block"))
     # the four draws of a block are four conditional sums, so rows grow with blocks, not trials
     sums = digest.groupBy("__block").agg(
@@ -162,11 +161,14 @@ def loss_trials(df: DataFrame, key: str, pd_col: str, exposure: str, trials: int
 
 
 def expected_loss_and_var(losses: DataFrame, level: float = 0.95) -> DataFrame:
-    """One row: mean loss and the ``level`` quantile over trials."""
-    q = exact_quantiles(losses, "loss", {"var": level}).select("var").scalar()
+    """One row: mean loss and the ``level`` quantile over trials.
+
+    One aggregate, so the simulation runs once; the quantile buffer holds one number per trial.
+    """
     return losses.agg(
-        F.count(F.lit(1)).alias("n_trials"), F.avg("loss").alias("expected_loss")
-    ).withColumn("var_95", q)
+        F.count(F.lit(1)).alias("n_trials"), F.avg("loss").alias("expected_loss"),
+        F.percentile("loss", F.lit(level)).alias("var_95"),
+    )
 
 
 # ------------------------------------------------------------------ amortisation

@@ -39,7 +39,8 @@ def by_id(df, col):
 
 def test_split_points_cut_a_hot_value(table):
     df, pdf = table
-    sliced = O.with_slice(df, ["t", "id"], SLICES)
+    cuts = O.Slices(df, [], ["t", "id"], O.split_points(df, ["t", "id"], SLICES))
+    sliced = cuts.assign(df)
     sizes = sliced.groupBy(O.SLICE).count().toPandas()["count"]
     assert len(sizes) == SLICES
     assert sizes.max() < 3 * len(pdf) / SLICES
