@@ -6,6 +6,7 @@ from riskframe.catalog.registry import iso, query
 from riskframe.operators.profile import key_is_unique
 from riskframe.session import work_dir
 from riskframe.sources import files as io
+from riskframe.sources import records
 
 CUSTOMER = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -82,6 +83,17 @@ def scan_lines(t):
     return io.read_lines(t.spark, path).select(F.col("value").alias("line"))
 
 
+@query("""SELECT c_mktsegment AS segment, count(*) AS n, round(sum(c_acctbal), 2) AS balance, NULL AS remark
+          FROM customer GROUP BY 1""")
+def from_records(t):
+    # the report rows (one per segment) as plain Python records, and back as a table
+    report = t.customer.groupBy(F.col("c_mktsegment").alias("segment")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance")
+    )
+    rows = [r.asDict() for r in report.collect()]
+    return records.from_records(t.spark, rows, "segment string, n long, balance double, remark string")
+
+
 @query("SELECT event_id, json_extract(props, '$.k')::INT AS k FROM events")
 def scan_json(t):
     return io.parse_json(t.events, "props", "k int").select("event_id", "rec.k")

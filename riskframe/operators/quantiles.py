@@ -27,7 +27,7 @@ from riskframe.operators.ordered import (
 )
 
 #: Distinct values up to which the built-in ``percentile`` buffer is accepted.
-BUFFER_VALUES = 100_000
+BUFFER_VALUES = 200_000
 
 #: Slices to cut a column into at least; all but those holding a wanted rank are skipped.
 MIN_SLICES = 64
