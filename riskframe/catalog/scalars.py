@@ -4,11 +4,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from riskframe.catalog.registry import N, iso, query, r
+from riskframe.catalog.registry import iso, query, r
 from riskframe.functions import arrays as A
 from riskframe.functions import temporal as D
 from riskframe.functions import text as T
 from riskframe.functions.numbers import round_half_even
+from riskframe.operators.textstats import char_counts, word_counts
 
 REF_DATE = dt.date(2002, 1, 1)
 PRIO = "o_orderpriority"
@@ -96,10 +97,8 @@ def str_header_zip(t):
 @query("""SELECT 'char' AS kind, c AS token, count(*) AS cnt FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) WHERE c <> '' GROUP BY 2
           UNION ALL SELECT 'word', w, count(*) FROM (SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY 2""")
 def str_char_count(t):
-    chars = t.documents.select(F.explode(F.split("text", "")).alias("token")).filter("token <> ''")
-    words = t.documents.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("token")).filter("token <> ''")
-    count = lambda df, kind: df.groupBy("token").agg(N().alias("cnt")).select(F.lit(kind).alias("kind"), "token", "cnt")
-    return count(chars, "char").unionByName(count(words, "word"))
+    chars, words = char_counts(t.documents, "text"), word_counts(t.documents, "text")
+    return chars.withColumn("kind", F.lit("char")).unionByName(words.withColumn("kind", F.lit("word")))
 
 
 @query("""SELECT p_partkey, count(*) FILTER (WHERE c % 2 = 1) <= 1 AS can_be_palindrome FROM

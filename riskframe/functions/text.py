@@ -92,6 +92,12 @@ def search(x, pattern: str) -> Column:
     return F.regexp_substr(_c(x), F.lit(pattern))
 
 
+def search_with(x, needle: str, pattern: str) -> Column:
+    """First match of a pattern that always contains ``needle``; texts without it are skipped cheaply."""
+    col = _c(x)
+    return F.when(col.contains(needle), search(col, pattern))
+
+
 def find_all(x, pattern: str) -> Column:
     return F.regexp_extract_all(_c(x), F.lit(pattern), F.lit(0))
 
@@ -108,9 +114,9 @@ def entities(x) -> dict[str, Column]:
     """Phone, amount, e-mail and account number of a note (null where absent)."""
     return {
         "phone": search(x, PHONE),
-        "amount": search(x, AMOUNT),
-        "email": search(x, EMAIL),
-        "account": search(x, ACCOUNT),
+        "amount": search_with(x, "$", AMOUNT),
+        "email": search_with(x, "@", EMAIL),
+        "account": search_with(x, "AC", ACCOUNT),
     }
 
 
