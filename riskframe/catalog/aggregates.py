@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from riskframe.catalog.profiling import LABELLED, labelled_documents
+from riskframe.catalog.quality import gappy_customers
 from riskframe.catalog.registry import N, query, r
 from riskframe.functions.recode import tiers
 from riskframe.functions.temporal import month_key
 from riskframe.operators import aggregate as A
+from riskframe.operators.missing import fill_median
 from riskframe.operators.quantiles import EXCLUSIVE, exact_quantiles
 from riskframe.plans import risk
 
@@ -85,14 +87,11 @@ def agg_group_multi_fn(t):
     return t.lineitem.groupBy("l_returnflag").agg(F.min(c).alias("lo"), F.max(c).alias("hi"), r(F.avg(c)).alias("mean"))
 
 
-def tiered_orders(t):
-    """Orders with their customer's tier; missing (negative) balances get the median first."""
-    from riskframe.catalog.quality import gappy_customers
-    from riskframe.operators.missing import fill_median
-
+def tiered_customers(t):
+    """Customers with a risk tier; missing (negative) balances get the median first."""
     filled = fill_median(gappy_customers(t), "bal")
-    tiered = filled.select(F.col("c_custkey").alias("o_custkey"), "bal", tiers("bal", [(7000, "Low"), (4000, "Medium")], "High").alias("risk_tier"))
-    return t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus").join(tiered, "o_custkey")
+    tier = tiers("bal", [(7000, "Low"), (4000, "Medium")], "High")
+    return filled.select(F.col("c_custkey").alias("o_custkey"), "bal", tier.alias("risk_tier"))
 
 
 NAMED_SQL = """WITH g AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS b FROM customer),
@@ -104,9 +103,15 @@ NAMED_SQL = """WITH g AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acct
 
 @query(NAMED_SQL)
 def agg_named(t):
+    # orders are reduced per customer before they meet the tiers: a customer with a third of the
+    # orders is one row in the join
+    per_customer = t.orders.groupBy("o_custkey").agg(
+        F.min(P).alias("lo"), F.max(P).alias("hi"), F.sum(P).alias("s"), N().alias("n")
+    )
     return A.group_by(
-        tiered_orders(t), ["risk_tier"], F.min(P).alias("min_loan"), F.max(P).alias("max_loan"),
-        r(F.avg(P)).alias("avg_loan"), r(F.avg("bal")).alias("avg_score"), N().alias("n"),
+        per_customer.join(tiered_customers(t), "o_custkey"), ["risk_tier"],
+        F.min("lo").alias("min_loan"), F.max("hi").alias("max_loan"), r(F.sum("s") / F.sum("n")).alias("avg_loan"),
+        r(A.weighted_mean("bal", "n")).alias("avg_score"), F.sum("n").alias("n"),
     )
 
 

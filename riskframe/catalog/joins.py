@@ -6,6 +6,7 @@ from riskframe.catalog.registry import N, query, r
 from riskframe.operators import columns as C
 from riskframe.operators import joins as J
 from riskframe.operators import sets as E
+from riskframe.operators import stats as S
 from riskframe.operators.ordered import batches, folds
 
 
@@ -92,7 +93,7 @@ def join_lookup(t):
     return t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name", "r_name")
 
 
-@query("""SELECT k, round(avg(v), 6) AS avg_value, count(DISTINCT src) AS n_sources FROM
+@query("""SELECT k, round(avg(v), 6) AS avg_value, count(DISTINCT src)::INT AS n_sources FROM
           (SELECT c_custkey AS k, c_acctbal AS v, 0 AS src FROM customer UNION ALL SELECT s_suppkey, s_acctbal, 1 FROM supplier)
           GROUP BY 1""")
 def join_avg_sources(t):
@@ -138,9 +139,8 @@ def cross_pairwise_diff(t):
           m AS (SELECT col, max(x) AS mx FROM cells GROUP BY 1)
           SELECT vec_id, c.col::INT AS col, round(x / mx, 6) AS scaled FROM cells c JOIN m ON c.col = m.col""")
 def cross_broadcast_row(t):
-    cells = t.embeddings.select("vec_id", F.posexplode("embedding").alias("col", "x")).withColumn("x", F.col("x").cast("double"))
-    per_col = cells.groupBy("col").agg(F.max("x").alias("mx"))
-    return cells.join(per_col, "col").select("vec_id", "col", r(F.col("x") / F.col("mx")).alias("scaled"))
+    scaled = S.scale_vectors(t.embeddings.select("vec_id", "embedding"), "embedding", F.max)
+    return scaled.select("vec_id", F.posexplode("embedding").alias("col", "x")).select("vec_id", "col", r("x").alias("scaled"))
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')")

@@ -9,6 +9,7 @@ from riskframe.functions import arrays as A
 from riskframe.functions import temporal as D
 from riskframe.functions import text as T
 from riskframe.functions.numbers import round_half_even
+from riskframe.operators.stats import per_position
 from riskframe.operators.textstats import char_counts, word_counts
 
 REF_DATE = dt.date(2002, 1, 1)
@@ -269,7 +270,7 @@ def joined(a):
           round(p_retailprice * 0.75 + p_size * 0.25, 6) AS second FROM part""")
 def arr_vector(t):
     line = A.linspace(F.col("p_retailprice"), F.col("p_size").cast("double"), 5)
-    steps = F.filter(F.sequence(F.lit(0), F.greatest(F.col("p_size"), F.lit(0)), F.lit(5)), lambda x: x < F.col("p_size"))
+    steps = A.arange(0, F.col("p_size"), 5)
     return t.part.select(
         "p_partkey", joined(F.array_repeat(F.lit(0), 3)).alias("zeros"), joined(steps).alias("steps"), r(F.get(line, F.lit(1))).alias("second")
     )
@@ -287,10 +288,7 @@ def arr_dot(t):
           SELECT vec_id, round(sqrt(list_sum(list_transform(range(1, 65), lambda i: pow(embedding[i]::DOUBLE - centre[i], 2)))), 5) AS dist,
           round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 5) AS norm FROM embeddings, c""")
 def arr_distance(t):
-    # the centre has one entry per dimension: a short vector, read back as a scalar
-    cells = t.embeddings.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    centre = cells.agg(F.array_sort(F.collect_list(F.struct("i", "m")))["m"]).scalar()
-    rows = t.embeddings.withColumn("centre", centre)
+    rows = t.embeddings.withColumn("centre", per_position(t.embeddings, "embedding", F.avg))
     return rows.select("vec_id", r(A.distance("embedding", "centre"), 5).alias("dist"), r(A.norm("embedding"), 5).alias("norm"))
 
 

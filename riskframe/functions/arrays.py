@@ -47,8 +47,9 @@ def value_range(a) -> Column:
 
 
 def arange(start, stop, step) -> Column:
-    """Half-open integer range."""
-    return F.filter(F.sequence(F.lit(start), F.lit(stop), F.lit(step)), lambda x: x < stop)
+    """Half-open ascending range of a positive step; ends are numbers or columns."""
+    start, stop, step = (x if isinstance(x, Column) else F.lit(x) for x in (start, stop, step))
+    return F.filter(F.sequence(start, F.greatest(start, stop), step), lambda x: x < stop)
 
 
 def linspace(start, stop, n: int) -> Column:

@@ -48,10 +48,6 @@ def all_rules(checks: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, checks)
 
 
-def any_rule(checks: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, checks)
-
-
 def apply_batch(columns: Sequence[str], fn: Callable[[Column], Column], suffix: str = "") -> list[Column]:
     """Apply one Column function to a batch of columns."""
     return [fn(F.col(c)).alias(f"{c}{suffix}") for c in columns]

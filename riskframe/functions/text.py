@@ -156,7 +156,3 @@ def percent(x, digits: int = 2) -> Column:
 
 def thousands(x) -> Column:
     return F.format_number(_c(x), 0)
-
-
-def json_text(col: Column, pretty: bool = False) -> Column:
-    return F.to_json(col, {"pretty": "true"} if pretty else {})

@@ -95,11 +95,11 @@ def average_sources(sources: Sequence[DataFrame], key: str, value: str, min_sour
     """Mean over the sources that know a key, for keys known to at least ``min_sources``."""
     stacked = None
     for i, s in enumerate(sources):
-        part = s.select(key, F.col(value).cast("double").alias("v"), F.lit(i).alias("src"))
+        part = s.select(key, F.col(value).cast("double").alias("v"), F.lit(1 << i).alias("src"))
         stacked = part if stacked is None else stacked.unionByName(part)
     return (
         stacked.groupBy(key)
-        .agg(F.avg("v").alias("avg_value"), F.count_distinct("src").alias("n_sources"))
+        .agg(F.avg("v").alias("avg_value"), F.bit_count(F.bit_or("src")).alias("n_sources"))
         .filter(F.col("n_sources") >= min_sources)
     )
 

@@ -24,6 +24,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 SLICE = "__slice"
 #: Sampled rows per slice; more gives evener slices.
@@ -88,8 +89,13 @@ class Slices:
             self.by_types, self.order_types = [f.dataType for f in fields[:width]], [f.dataType for f in fields[width:]]
 
     @staticmethod
-    def _literal(values: tuple, types: list) -> Column:
-        cells = [F.lit(v).cast(t) for v, t in zip(values, types)]
+    def _cells(values: tuple, types: list) -> list[Column]:
+        # wall-clock times go through text: a plain literal would pass through the local time zone
+        as_text = [isinstance(t, TimestampNTZType) and v is not None for v, t in zip(values, types)]
+        return [F.lit(str(v) if s else v).cast(t) for v, t, s in zip(values, types, as_text)]
+
+    def _literal(self, values: tuple, types: list) -> Column:
+        cells = self._cells(values, types)
         return cells[0] if len(cells) == 1 else order_struct(cells)
 
     def _hot_number(self) -> Column:
@@ -98,7 +104,7 @@ class Slices:
         key = F.col(self.by[0]) if plain else order_struct(self.by)
         # a composite key is never null itself, so null parts match
         known = [
-            self._literal(k, self.by_types) if plain else order_struct([F.lit(v).cast(t) for v, t in zip(k, self.by_types)])
+            self._literal(k, self.by_types) if plain else order_struct(self._cells(k, self.by_types))
             for k in self.cuts
         ]
         return F.array_position(F.array(*known), key)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.bins import equal_width
 from riskframe.operators.joins import group_join
 from riskframe.operators.ordered import average_ranks
-from riskframe.operators.quantiles import EXCLUSIVE, LINEAR, exact_quantiles
+from riskframe.operators.quantiles import LINEAR, exact_quantiles
 
 
 # ------------------------------------------------------------------ histograms
@@ -106,10 +106,6 @@ def iqr_outliers(df: DataFrame, value: str, method: str = LINEAR, upper_only: bo
     return df.filter(cond)
 
 
-def quartiles_exclusive(df: DataFrame, value: str, by: Sequence[str] = (), **quantile_options) -> DataFrame:
-    return exact_quantiles(df, value, {"q1": 0.25, "q2": 0.5, "q3": 0.75}, by, EXCLUSIVE, **quantile_options)
-
-
 # ------------------------------------------------------------------ correlation and regression
 def correlation_pairs(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pearson r of every unordered pair of columns, all in one aggregate."""
@@ -278,6 +274,24 @@ def kde(df: DataFrame, value: str, by: Sequence[str] = (), points: int = 200, bi
     return at.groupBy(*by, "i").agg(F.first("grid").alias("x"), F.sum(kernel).alias("density"))
 
 
+# ------------------------------------------------------------------ vectors
+def per_position(df: DataFrame, vector: str, agg) -> Column:
+    """One aggregate per vector position, as a vector-valued scalar subquery.
+
+    The positions combine map-side, and the result is as long as one row's vector.
+    """
+    cells = df.select(F.posexplode(vector).alias("i", "x"))
+    stats = cells.groupBy("i").agg(agg(F.col("x").cast("double")).alias("s"))
+    return stats.agg(F.array_sort(F.collect_list(F.struct("i", "s")))["s"]).scalar()
+
+
+def scale_vectors(df: DataFrame, vector: str, agg) -> DataFrame:
+    """Divide every position by its aggregate over the table; no join and no exploded rows."""
+    rows = df.withColumn("__s", per_position(df, vector, agg))
+    ratio = F.zip_with(vector, "__s", lambda x, s: F.try_divide(x.cast("double"), s))
+    return rows.withColumn(vector, ratio).drop("__s")
+
+
 # ------------------------------------------------------------------ scores
 def z_scores(df: DataFrame, columns: Sequence[str], population: bool = False, suffix: str = "_z") -> DataFrame:
     """Standardise columns with global moments from one aggregate (a scalar subquery)."""

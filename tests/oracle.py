@@ -1,6 +1,6 @@
 """Run queries against DuckDB on the same files and compare.
 
-``python tests/oracle.py [--sf 0.01] [name ...]`` prints one line per query.
+``python tests/oracle.py [--sf 0.01] [--plain] [name ...]`` prints one line per failing or slow query.
 """
 
 from __future__ import annotations
@@ -80,11 +80,18 @@ def main(argv):
     sf = "0.01"
     if argv[:1] == ["--sf"]:
         sf, argv = argv[1], argv[2:]
+    plain = argv[:1] == ["--plain"]  # a session without the library's settings
+    argv = argv[1:] if plain else argv
     from __spark_entry__ import oracle_sql, queries
     from riskframe.session import get_session
 
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = get_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
+    if plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     qs, sqls = queries(), oracle_sql()
