@@ -305,12 +305,23 @@ def value_ranks(
         # drawn from the rows, not from their counts: no aggregate runs for the sample
         cut = {"points": split_points(rows, [*by, value], cut.get("slices"))}
     counts = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = running_sum(counts, "cnt", [value], by, "at_or_below", **cut)
-    sizes = counts.groupBy(*by).agg(F.sum("cnt").alias("n"))
-    if by:
-        ranked = null_safe_join(ranked, sizes, by, "inner")
-    else:
-        ranked = ranked.withColumn("n", sizes.scalar())
+    carried = with_carry(
+        counts, by, [value],
+        {"__before": F.sum("cnt"), "__all": F.sum("cnt")},
+        {
+            "__before": lambda c, w: F.sum(c).over(w),
+            "__all": lambda c, w: F.sum(c).over(Window.partitionBy(*by)),
+        },
+        **cut,
+    )
+    local = local_window(by, [value]).rowsBetween(Window.unboundedPreceding, 0)
+    own = Window.partitionBy(*by, SLICE)
+    ranked = carried.withColumns(
+        {
+            "at_or_below": F.coalesce("__before", F.lit(0)) + F.sum("cnt").over(local),
+            "n": F.coalesce(F.col("__all"), F.sum("cnt").over(own)),
+        }
+    ).drop(SLICE, "__before", "__all")
     return ranked.withColumn("below", F.col("at_or_below") - F.col("cnt"))
 
 
