@@ -44,11 +44,13 @@ def piv_multi_values(t):
     return rounded(out, "o_orderpriority", [f"{s}_{v}" for s in STATUS for v in ("price", "cust")])
 
 
-@query("SELECT p_brand, " + cells("coalesce(round(avg(p_retailprice) FILTER (WHERE {} AND p_size > 45), 6), 0)", '"{}"', ["ECONOMY", "PROMO", "SMALL"], "p_type")
-       + " FROM part WHERE p_size > 45 GROUP BY 1")
+@query("SELECT p_brand || '/' || p_size AS line, " + cells("coalesce(round(avg(p_retailprice) FILTER (WHERE {}), 6), 0)", '"{}"', ["ECONOMY", "PROMO", "SMALL"], "p_type")
+       + " FROM part GROUP BY 1")
 def piv_fill(t):
+    # a fine row key leaves many cells empty
     levels = ["ECONOMY", "PROMO", "SMALL"]
-    return rounded(R.pivot(t.part.filter("p_size > 45"), "p_brand", "p_type", levels, F.avg("p_retailprice"), fill=0), "p_brand", levels)
+    lines = t.part.withColumn("line", F.concat_ws("/", "p_brand", F.col("p_size").cast("string")))
+    return rounded(R.pivot(lines, "line", "p_type", levels, F.avg("p_retailprice"), fill=0), "line", levels)
 
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]

@@ -6,14 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from riskframe.functions.numbers import close_to
 from riskframe.operators.joins import group_join
 from riskframe.operators.ordered import positions
+from riskframe.session import materialize
 
 
-def fingerprint(columns: Sequence[str]) -> Column:
+def fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 over all columns, nulls included: a short stand-in for wide or long values."""
+    if len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, StringType):
+        return F.coalesce(F.sha2(F.col(columns[0]), 256), F.lit("missing"))
     fields = F.struct(*[F.col(c) for c in columns])
     return F.sha2(F.to_json(fields, {"ignoreNullFields": "false"}), 256)
 
@@ -21,17 +25,18 @@ def fingerprint(columns: Sequence[str]) -> Column:
 def duplicate_flags(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """Key with ``is_dup`` (second and later copies by key) and ``has_copies`` (any copy).
 
-    Groups are reduced by fingerprint first, and only repeated fingerprints travel back, so long
-    texts are never shuffled. A combination that fills a third of the table is one row on the
+    The fingerprints are written once, next to the key, and everything after works on that narrow
+    table: long texts are read a single time and never shuffled. Groups are reduced by fingerprint,
+    and only repeated fingerprints travel back. A combination that fills a third of the table is one row on the
     reduced side, which is broadcast to the rows it belongs to.
     """
-    marked = df.withColumn("__fp", fingerprint(columns))
+    marked = materialize(df.select(key, fingerprint(df, columns).alias("__fp")), "fingerprints")
     repeated = (
         marked.groupBy("__fp")
         .agg(F.count(F.lit(1)).alias("__copies"), F.min(key).alias("__first"))
         .filter("__copies > 1")
     )
-    return group_join(marked.select(key, "__fp"), repeated, ["__fp"], "left").select(
+    return group_join(marked, repeated, ["__fp"], "left").select(
         key,
         F.coalesce(F.col(key) != F.col("__first"), F.lit(False)).alias("is_dup"),
         F.col("__copies").isNotNull().alias("has_copies"),

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the library relies on. Everything else is left to the cluster.
 DEFAULTS = {
@@ -48,3 +48,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="riskframe-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a narrow intermediate once and read it back.
+
+    For results that are expensive to compute and read several times; the written table also
+    survives lost executors.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

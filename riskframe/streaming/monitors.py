@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -65,7 +66,8 @@ def flag_sequence(stream: DataFrame, condition: Column, key: str, order: Sequenc
 
     run_available(flagged, number)
     schema = StructType([*flagged.schema.fields, StructField("seq", LongType())])
-    return spark.read.schema(schema).parquet(f"{base}/items")
+    items = read_or_none(spark, f"{base}/items", schema)
+    return spark.createDataFrame([], schema) if items is None else items
 
 
 def fraud_monitor(stream: DataFrame) -> DataFrame:
@@ -127,19 +129,31 @@ def drain_to_table(stream: DataFrame) -> DataFrame:
 def drain_state_table(stream: DataFrame, mode: str = "complete") -> DataFrame:
     """Final state of an aggregate: every batch overwrites the folder of its own batch id.
 
-    A retried batch rewrites the same folder, so the sink is idempotent.
+    A retried batch rewrites the same folder, so the sink is idempotent; the highest batch id holds
+    the current state.
     """
     spark = stream.sparkSession
     base = work_dir(spark, "stream-state")
-    last = {}
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        path = f"{base}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(path)
-        last["path"] = path
+        batch.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
 
     run_available(stream, store, mode)
-    return spark.read.schema(stream.schema).parquet(last["path"])
+    schema = StructType([*stream.schema.fields, StructField("batch", LongType())])
+    states = read_or_none(spark, base, schema)
+    if states is None:  # nothing has arrived yet
+        return spark.createDataFrame([], stream.schema)
+    current = states.agg(F.max("batch")).scalar()
+    return states.filter(F.col("batch") == current).drop("batch")
+
+
+def read_or_none(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def reduce_batches(stream: DataFrame, by: list[str], aggs: dict) -> DataFrame:
@@ -158,5 +172,7 @@ def reduce_batches(stream: DataFrame, by: list[str], aggs: dict) -> DataFrame:
         partial.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
 
     run_available(stream, store)
-    partials = spark.read.schema(schema).parquet(base)
+    partials = read_or_none(spark, base, schema)
+    if partials is None:
+        partials = spark.createDataFrame([], schema)
     return partials.groupBy(*by).agg(*[merge(F.col(n)).alias(n) for n, (_, merge) in aggs.items()])

@@ -187,6 +187,14 @@ def test_running_totals_and_batches(arriving):
     assert {r.k: r.n for r in merged.collect()} == {0: 6, 1: 6}
 
 
+def test_streams_without_data_give_empty_results(spark, tmp_path):
+    spark.range(1).select("id", F.col("id").alias("k"), F.lit(1.0).alias("v")).write.parquet(str(tmp_path / "shape"))
+    empty = spark.readStream.schema("id long, k long, v double").parquet(str(tmp_path / "shape") + "/none*")
+    assert M.drain_state_table(M.running_totals(empty, "k", "v")).count() == 0
+    assert M.reduce_batches(empty, ["k"], {"n": (F.count(F.lit(1)), F.sum)}).count() == 0
+    assert M.flag_sequence(empty, F.col("v") > 0, "k", ["id"], str(tmp_path / "s")).count() == 0
+
+
 def test_stream_filter_and_dedupe(arriving):
     texts = arriving.withColumn("raw", F.when(F.col("id") % 3 == 0, "x").otherwise(F.col("id").cast("string")))
     assert M.drain_to_table(M.keep_parsable(texts, "raw")).count() == 8
