@@ -83,15 +83,19 @@ def scan_lines(t):
     return io.read_lines(t.spark, path).select(F.col("value").alias("line"))
 
 
-@query("""SELECT c_mktsegment AS segment, count(*) AS n, round(sum(c_acctbal), 2) AS balance, NULL AS remark
-          FROM customer GROUP BY 1""")
+@query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS filled, min({c})::DOUBLE AS low, max({c})::DOUBLE AS high, NULL AS remark FROM orders"""
+    for c in ("o_orderkey", "o_custkey", "o_totalprice")))
 def from_records(t):
-    # the report rows (one per segment) as plain Python records, and back as a table
-    report = t.customer.groupBy(F.col("c_mktsegment").alias("segment")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance")
-    )
-    rows = [r.asDict() for r in report.collect()]
-    return records.from_records(t.spark, rows, "segment string, n long, balance double, remark string")
+    # one Python record per column, taken from a one-row report, and back as a table
+    columns = ["o_orderkey", "o_custkey", "o_totalprice"]
+    row = t.orders.agg(
+        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("filled", F.count), ("low", F.min), ("high", F.max))]
+    ).first()
+    report = [
+        {"column": c, "filled": row[f"filled_{c}"], "low": float(row[f"low_{c}"]), "high": float(row[f"high_{c}"])} for c in columns
+    ]
+    return records.from_records(t.spark, report, "column string, filled long, low double, high double, remark string")
 
 
 @query("SELECT event_id, json_extract(props, '$.k')::INT AS k FROM events")

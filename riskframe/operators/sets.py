@@ -17,23 +17,27 @@ def concat_tagged(batches: Mapping[str, DataFrame], tag: str) -> DataFrame:
     return concat(*[df.withColumn(tag, F.lit(name)) for name, df in batches.items()])
 
 
+def _presence(sets: Sequence[DataFrame]) -> DataFrame:
+    """Distinct values with one bit per set they occur in.
+
+    Every set operation below is a filter on it: one shuffle of locally combined keys for any
+    number of sets, and a value that fills a third of a set is one row per task.
+    """
+    key = sets[0].columns
+    bits = concat(*[s.toDF(*key).withColumn("__bit", F.lit(1 << i)) for i, s in enumerate(sets)])
+    return bits.groupBy(*key).agg(F.bit_or("__bit").alias("__bits"))
+
+
 def union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.union(b).distinct()
 
 
 def intersect(*sets: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.intersect(b), sets)
+    return in_exactly(len(sets), *sets)
 
 
 def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.subtract(b)
-
-
-def _presence(sets: Sequence[DataFrame]) -> DataFrame:
-    """Distinct values with the number of sets they occur in; one shuffle for any number of sets."""
-    key = sets[0].columns
-    bits = concat(*[s.toDF(*key).withColumn("__bit", F.lit(1 << i)) for i, s in enumerate(sets)])
-    return bits.groupBy(*key).agg(F.bit_count(F.bit_or("__bit")).alias("n_sources"))
+    return _presence([a, b]).filter(F.col("__bits") == 1).drop("__bits")
 
 
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -41,21 +45,17 @@ def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def in_at_least(k: int, *sets: DataFrame) -> DataFrame:
-    return _presence(sets).filter(F.col("n_sources") >= k).drop("n_sources")
+    return _presence(sets).filter(F.bit_count("__bits") >= k).drop("__bits")
 
 
 def in_exactly(k: int, *sets: DataFrame) -> DataFrame:
-    return _presence(sets).filter(F.col("n_sources") == k).drop("n_sources")
+    return _presence(sets).filter(F.bit_count("__bits") == k).drop("__bits")
 
 
 def subset_report(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row: is a contained in b, and do they share anything."""
-    key = a.columns
-    tagged = concat(
-        a.withColumn("__bit", F.lit(1)), b.toDF(*key).withColumn("__bit", F.lit(2))
-    )
-    seen = tagged.groupBy(*key).agg(F.bit_or("__bit").alias("bits"))
+    seen = _presence([a, b])
     return seen.agg(
-        (F.count_if(F.col("bits") == 1) == 0).alias("is_subset"),
-        (F.count_if(F.col("bits") == 3) == 0).alias("is_disjoint"),
+        (F.count_if(F.col("__bits") == 1) == 0).alias("is_subset"),
+        (F.count_if(F.col("__bits") == 3) == 0).alias("is_disjoint"),
     )
