@@ -90,13 +90,13 @@ def agg_group_multi_fn(t):
 def tiered_customers(t):
     """Customers with a risk tier; missing (negative) balances get the median first."""
     filled = fill_median(gappy_customers(t), "bal")
-    tier = tiers("bal", [(7000, "Low"), (4000, "Medium")], "High")
+    tier = tiers("bal", [(7000, "Prime"), (6200, "Near-Prime")], "Subprime")
     return filled.select(F.col("c_custkey").alias("o_custkey"), "bal", tier.alias("risk_tier"))
 
 
 NAMED_SQL = """WITH g AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS b FROM customer),
   f AS (SELECT c_custkey, coalesce(b, (SELECT quantile_cont(b, 0.5) FROM g)) AS b FROM g),
-  tt AS (SELECT c_custkey, b, CASE WHEN b >= 7000 THEN 'Low' WHEN b >= 4000 THEN 'Medium' ELSE 'High' END AS risk_tier FROM f)
+  tt AS (SELECT c_custkey, b, CASE WHEN b >= 7000 THEN 'Prime' WHEN b >= 6200 THEN 'Near-Prime' ELSE 'Subprime' END AS risk_tier FROM f)
   SELECT risk_tier, min(o_totalprice) AS min_loan, max(o_totalprice) AS max_loan, round(avg(o_totalprice), 6) AS avg_loan,
   round(avg(b), 6) AS avg_score, count(*) AS n FROM orders JOIN tt ON o_custkey = c_custkey GROUP BY 1"""
 
@@ -285,7 +285,7 @@ def agg_error_band(t):
 
 
 @query(f"""WITH reps AS (SELECT c_mktsegment, c_acctbal AS v, rep, ('0x' || substr(md5(c_custkey || '|' || rep || '|11'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
-          FROM customer, (SELECT unnest(range(200)) AS rep)),
+          FROM customer, (SELECT unnest(range(1000)) AS rep)),
           w AS (SELECT *, {' + '.join(f"(u >= {b!r}::DOUBLE)::INT" for b in A.POISSON_1)} AS w FROM reps),
           m AS (SELECT c_mktsegment, rep, sum(v * w) / sum(w) AS m FROM w GROUP BY 1, 2)
           SELECT c_mktsegment, round(quantile_cont(m, 0.025), 4) AS ci_low, round(quantile_cont(m, 0.975), 4) AS ci_high FROM m GROUP BY 1""")

@@ -35,9 +35,9 @@ def cond_nested(t):
     return t.customer.select("c_custkey", F.when(bal() >= 6700, 0).otherwise(F.when(bal() >= 5800, 1).otherwise(2)).alias("risk_level"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_acctbal >= 7000 THEN 'Low' WHEN c_acctbal >= 6200 THEN 'Medium' ELSE 'High' END AS risk_tier FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_acctbal >= 7000 THEN 'Prime' WHEN c_acctbal >= 6200 THEN 'Near-Prime' ELSE 'Subprime' END AS risk_tier FROM customer")
 def cond_select(t):
-    return t.customer.select("c_custkey", R.tiers("c_acctbal", [(7000, "Low"), (6200, "Medium")], "High").alias("risk_tier"))
+    return t.customer.select("c_custkey", R.tiers("c_acctbal", [(7000, "Prime"), (6200, "Near-Prime")], "Subprime").alias("risk_tier"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -93,10 +93,10 @@ def map_replace(t):
     return t.orders.select("o_orderkey", R.replace_values("o_orderstatus", STATUS_SHORT).alias("status"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size < 30 THEN 'Young' WHEN p_size < 50 THEN 'Middle' ELSE 'Senior' END AS grp FROM part")
+@query("SELECT p_partkey, CASE WHEN p_size + 20 < 35 THEN 'Young' WHEN p_size + 20 < 55 THEN 'Mid-Career' ELSE 'Senior' END AS grp FROM part")
 def map_func(t):
-    size = F.col("p_size")
-    return t.part.select("p_partkey", R.first_match([(size < 30, "Young"), (size < 50, "Middle")], "Senior").alias("grp"))
+    age = F.col("p_size") + 20
+    return t.part.select("p_partkey", R.first_match([(age < 35, "Young"), (age < 55, "Mid-Career")], "Senior").alias("grp"))
 
 
 @query("""SELECT conv_id, turn, coalesce(nullif(trim(regexp_extract(text, '[0-9]+')), ''), 'N/A') AS number FROM conversations""")

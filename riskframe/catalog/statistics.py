@@ -162,11 +162,15 @@ def stat_extreme(t):
 @query("""WITH s AS (SELECT event_type, count(*) AS n, min(value) AS lo, max(value) AS hi, pow(count(*), -0.2) * stddev_samp(value) AS h FROM events GROUP BY 1),
           b AS (SELECT event_type, least(floor((value - lo) / ((hi - lo) / 2000)), 1999) AS bin, count(*) AS cnt FROM events JOIN s USING (event_type) GROUP BY 1, 2),
           g AS (SELECT *, lo - 3 * h + i * ((hi - lo + 6 * h) / 199.0) AS x FROM s, (SELECT unnest(range(200)) AS i))
-          SELECT event_type, i::INT AS i, round(any_value(x), 5) AS x, round(sum(cnt * exp(-0.5 * pow((x - (lo + (bin + 0.5) * ((hi - lo) / 2000))) / h, 2)) / (n * h * sqrt(2 * pi()))), 7) AS density
+          SELECT event_type, i::INT AS i, round(any_value(x), 5) AS x, round(sum(cnt * exp(-0.5 * pow((x - (lo + (bin + 0.5) * ((hi - lo) / 2000))) / h, 2)) / (n * h * sqrt(2 * pi()))), 7) AS density,
+          round(sum(cnt * exp(-0.5 * pow((x - (lo + (bin + 0.5) * ((hi - lo) / 2000))) / h, 2)) / (n * h * sqrt(2 * pi()))) * any_value(n) / (SELECT count(*) FROM events), 8) AS joint_density
           FROM g JOIN b USING (event_type) GROUP BY 1, 2""")
 def stat_kde(t):
     out = S.kde(t.events, "value", ["event_type"])
-    return out.select("event_type", "i", r("x", 5).alias("x"), r("density", 7).alias("density"))
+    share = F.col("share")
+    return out.select(
+        "event_type", "i", r("x", 5).alias("x"), r("density", 7).alias("density"), r(F.col("density") * share, 8).alias("joint_density")
+    )
 
 
 @query(box_sql("l_extendedprice", "lineitem", ["l_returnflag", "l_linestatus"]))
@@ -291,7 +295,7 @@ def risk_by_age_bucket(t):
 # ------------------------------------------------------------------ default probability and losses
 PD_SQL = """SELECT c_custkey, tier, CASE tier WHEN 'Low' THEN 0.01 WHEN 'Medium' THEN 0.05 WHEN 'High' THEN 0.15 ELSE 0.35 END::DOUBLE AS pd, greatest(c_acctbal, 0.0) AS ead
   FROM (SELECT *, CASE WHEN c_acctbal >= 7400 THEN 'Low' WHEN c_acctbal >= 6700 THEN 'Medium' WHEN c_acctbal >= 5800 THEN 'High' ELSE 'Very High' END AS tier FROM customer)"""
-TRIALS = 400
+TRIALS = 1000
 
 
 def exposures(t):
@@ -332,20 +336,22 @@ def risk_amortize(t):
     return risk.payoff_schedule(loans, "b", 0.06, "pay").select("s_suppkey", "n_months", "month", r("remaining", 4).alias("remaining"))
 
 
-@query("""SELECT o_orderkey, round(CASE o_orderstatus WHEN 'F' THEN o_totalprice * 1.08 / 24 WHEN 'O' THEN o_totalprice * 1.04 / 24 ELSE o_totalprice * 0.08 / 12 END, 8) AS payment,
+@query("""SELECT o_orderkey, round(CASE o_orderstatus WHEN 'F' THEN o_totalprice * 1.08 / 24 + 25.0 / 24 WHEN 'O' THEN o_totalprice * 0.08 / 24
+          ELSE o_totalprice * 1.08 / 24 END, 8) AS payment, round((o_totalprice + o_totalprice * 5 / 100.0) / 12, 8) AS installment,
           greatest(floor(round(ln(500000 / o_totalprice) / ln(1.05), 9)) + 1, 0)::INT AS years_to_target FROM orders""")
 def risk_payment(t):
-    product = F.when(F.col("o_orderstatus") == "F", "personal").when(F.col("o_orderstatus") == "O", "auto").otherwise("line")
+    product = F.when(F.col("o_orderstatus") == "F", "personal").when(F.col("o_orderstatus") == "O", "mortgage").otherwise("standard")
     return t.orders.select(
         "o_orderkey", r(risk.payment_by_product(product, "o_totalprice", 0.08, F.lit(24)), 8).alias("payment"),
+        r(risk.installment("o_totalprice", F.lit(5), F.lit(12)), 8).alias("installment"),
         risk.periods_to_target("o_totalprice", 0.05, F.lit(500000.0)).alias("years_to_target"),
     )
 
 
 def models():
     return {
-        "Balance Risk Model": risk.balance_model("balance"),
-        "Utilization Risk Model": risk.utilization_model("kind", "balance", "credit_limit"),
+        "balance": risk.balance_model("balance"),
+        "utilization": risk.utilization_model("kind", "balance", "credit_limit"),
     }
 
 
@@ -353,8 +359,8 @@ MATRIX_SQL = f"""WITH a AS (SELECT c_custkey, {KIND_SQL} AS kind, c_acctbal AS b
   m AS (SELECT c_custkey, greatest(0.0, 100 - balance / 100) AS s1, CASE WHEN kind = 'Credit Card' THEN balance / 8000 * 100 ELSE 0.0 END AS s2 FROM a) """
 
 
-@query(MATRIX_SQL + """SELECT c_custkey, 'Balance Risk Model' AS model, round(s1, 6) AS score, s1 >= s2 AS is_best FROM m
-          UNION ALL SELECT c_custkey, 'Utilization Risk Model', round(s2, 6), s2 > s1 FROM m""")
+@query(MATRIX_SQL + """SELECT c_custkey, 'balance' AS model, round(s1, 6) AS score, s1 >= s2 AS is_best FROM m
+          UNION ALL SELECT c_custkey, 'utilization', round(s2, 6), s2 > s1 FROM m""")
 def risk_model_matrix(t):
     rows = accounts(t)
     best = risk.best_model(rows, "c_custkey", models()).select("c_custkey", F.col("model").alias("best"))
@@ -362,12 +368,12 @@ def risk_model_matrix(t):
     return matrix.select("c_custkey", "model", r("score").alias("score"), (F.col("model") == F.col("best")).alias("is_best"))
 
 
-@query("""SELECT d.doc_id, round(CASE WHEN quality IS NOT NULL AND toxic IS NOT NULL THEN quality * 50.0 - toxic * 25.0 + n_chars / 1000.0 END::DOUBLE, 6) AS score
+@query("""SELECT d.doc_id, round(quality * 0.7::DOUBLE + n_chars / 1000.0::DOUBLE * 0.3::DOUBLE, 6) AS score
           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def risk_safe_score(t):
     rows = t.documents.select("doc_id", "n_chars").join(t.labels, "doc_id", "left")
-    score = F.col("quality") * 50.0 - F.col("toxic") * 25.0 + F.col("n_chars") / 1000.0
-    return rows.select("doc_id", r(risk.safe_score(["quality", "toxic"], score)).alias("score"))
+    score = risk.safe_score(["quality", "n_chars"], risk.weighted_model("quality", "n_chars"))
+    return rows.select("doc_id", r(score).alias("score"))
 
 
 @query("""WITH c AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1)

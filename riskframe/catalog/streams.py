@@ -73,10 +73,10 @@ def stream_dedupe(t):
 
 
 # ------------------------------------------------------------------ Python functions
-@query("SELECT p_partkey, CASE WHEN p_size < 30 THEN 'Young' WHEN p_size < 50 THEN 'Middle' ELSE 'Senior' END AS grp, round(p_retailprice * 1.05, 6) AS marked_up FROM part")
+@query("SELECT p_partkey, CASE WHEN p_size + 20 < 35 THEN 'Young' WHEN p_size + 20 < 55 THEN 'Mid-Career' ELSE 'Senior' END AS grp, round(p_retailprice * 1.05, 6) AS marked_up FROM part")
 def udf_scalar(t):
     markup = U.scalar(lambda s: s * 1.05)
-    return t.part.select("p_partkey", U.age_band("p_size").alias("grp"), r(markup("p_retailprice")).alias("marked_up"))
+    return t.part.select("p_partkey", U.age_band(F.col("p_size") + 20).alias("grp"), r(markup("p_retailprice")).alias("marked_up"))
 
 
 @query("SELECT vec_id, round((list_max(embedding) - list_min(embedding))::DOUBLE, 5) AS volatility FROM embeddings")

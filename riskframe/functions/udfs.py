@@ -26,8 +26,8 @@ def scalar(fn: Callable[[pd.Series], pd.Series], returns=DoubleType()):
 
 @F.pandas_udf(StringType())
 def age_band(age: pd.Series) -> pd.Series:
-    """Young below 30, Middle below 50, else Senior."""
-    out = np.select([age < 30, age < 50], ["Young", "Middle"], default="Senior")
+    """Young below 35, Mid-Career below 55, else Senior."""
+    out = np.select([age < 35, age < 55], ["Young", "Mid-Career"], default="Senior")
     return pd.Series(out, index=age.index).where(age.notna(), None)
 
 

@@ -87,7 +87,7 @@ def collect_chunks(df: DataFrame, by: Sequence[str], value: str, order: Sequence
     )
 
 
-def bootstrap_ci(df: DataFrame, key: str, value: str, by: Sequence[str], replicates: int = 200, seed: int = 11, level: float = 0.95) -> DataFrame:
+def bootstrap_ci(df: DataFrame, key: str, value: str, by: Sequence[str], replicates: int = 1000, seed: int = 11, level: float = 0.95) -> DataFrame:
     """Percentile bootstrap interval of the group mean.
 
     Each row draws one Poisson(1) weight per replicate from a hash of (row key, replicate), so the

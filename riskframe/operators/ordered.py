@@ -31,6 +31,8 @@ SLICE = "__slice"
 ROWS_PER_SLICE = 32
 #: Upper bound on slices: keeps the sample, the literal array and the carry tables small.
 MAX_SLICES = 4096
+#: Hot keys up to which a scan of the list beats a binary search.
+LINEAR_KEYS = 16
 
 
 def as_columns(keys: Sequence[str | Column]) -> list[Column]:
@@ -103,11 +105,15 @@ class Slices:
         plain = len(self.by) == 1 and (None,) not in self.cuts
         key = F.col(self.by[0]) if plain else order_struct(self.by)
         # a composite key is never null itself, so null parts match
-        known = [
-            self._literal(k, self.by_types) if plain else order_struct(self._cells(k, self.by_types))
-            for k in self.cuts
-        ]
-        return F.array_position(F.array(*known), key)
+        known = F.array(
+            *[self._literal(k, self.by_types) if plain else order_struct(self._cells(k, self.by_types)) for k in self.cuts]
+        )
+        if len(self.cuts) <= LINEAR_KEYS:
+            return F.array_position(known, key)
+        found = lambda k: _once(
+            _at_or_below(known, len(self.cuts), k), lambda n: F.when(F.get(known, n - 1) == k, n).otherwise(0)
+        )
+        return _once(key, found)
 
     def sliced(self) -> Column:
         """Whether the row's key is cut at all."""
@@ -122,19 +128,28 @@ class Slices:
         key = self.order[0] if len(self.order) == 1 else order_struct(self.order)
         per_key = [F.array(*[self._literal(c, self.order_types) for c in cuts]) for cuts in self.cuts.values()]
         longest = max(len(cuts) for cuts in self.cuts.values())
-        steps = F.array(*[F.lit(1 << i) for i in range(longest.bit_length() - 1, -1, -1)])
+        cuts = F.get(F.array(*per_key), self._hot_number() - 1) if self.by else per_key[0]
 
-        def search(args: Column) -> Column:
-            at_or_below = lambda pos, step: F.get(args["cuts"], pos + step - 1) <= args["key"]
-            number = F.aggregate(
-                steps, F.lit(0), lambda pos, step: F.when(at_or_below(pos, step), pos + step).otherwise(pos)
-            )
-            return F.when(args["cuts"].isNotNull(), number).otherwise(0)
+        def number(args: Column) -> Column:
+            found = _at_or_below(args["cuts"], longest, args["key"])
+            return F.when(args["cuts"].isNotNull(), found).otherwise(0)
 
-        cuts = F.get(F.array(*per_key), self._hot_number() - 1) if self.by else per_key[0]
-        # a one-element transform evaluates the arguments once per row instead of once per step
-        args = F.array(F.struct(cuts.alias("cuts"), key.alias("key")))
-        return df.withColumn(SLICE, F.get(F.transform(args, search), F.lit(0)))
+        return df.withColumn(SLICE, _once(F.struct(cuts.alias("cuts"), key.alias("key")), number))
+
+
+def _once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value computed once per row, however often ``fn`` refers to it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _at_or_below(ascending: Column, length: int, key: Column) -> Column:
+    """How many entries of an ascending array of at most ``length`` are <= key, by binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in range(length.bit_length() - 1, -1, -1)])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda pos, step: F.when(F.get(ascending, pos + step - 1) <= key, pos + step).otherwise(pos),
+    )
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:

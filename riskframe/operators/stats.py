@@ -236,6 +236,7 @@ def kde(df: DataFrame, value: str, by: Sequence[str] = (), points: int = 200, bi
     Rows are first counted into at most ``bins`` narrow bins per group, so the kernel sum runs over
     bins x points cells per group however many rows there are. Bandwidth is
     ``n ** (-1/5) * stddev_samp``; the grid reaches ``cut`` bandwidths beyond the data.
+    Each curve integrates to one; times ``share``, the curves of all groups together do.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("__x")).na.drop()
@@ -271,7 +272,10 @@ def kde(df: DataFrame, value: str, by: Sequence[str] = (), points: int = 200, bi
     )
     z = (F.col("grid") - F.col("centre")) / F.col("h")
     kernel = F.col("cnt") * F.exp(F.lit(-0.5) * z * z) / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
-    return at.groupBy(*by, "i").agg(F.first("grid").alias("x"), F.sum(kernel).alias("density"))
+    total = stats.agg(F.sum("n")).scalar()
+    return at.groupBy(*by, "i").agg(
+        F.first("grid").alias("x"), F.sum(kernel).alias("density"), (F.first("n") / total).alias("share")
+    )
 
 
 # ------------------------------------------------------------------ vectors

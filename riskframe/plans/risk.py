@@ -5,6 +5,7 @@ The row rules are Column functions, so the same code serves batch tables and str
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -175,20 +176,19 @@ def expected_loss_and_var(losses: DataFrame, level: float = 0.95) -> DataFrame:
 def months_to_payoff(balance, annual_rate: float, payment) -> Column:
     """Months until a constant payment clears the balance; null if it never does."""
     r = annual_rate / 12
+    if r == 0:
+        n = F.when(_c(payment) > 0, F.ceil(F.round(_c(balance) / _c(payment), 9)))
+        return F.greatest(n, F.lit(0)).cast("int")
     inner = F.lit(1.0) - F.lit(r) * _c(balance) / _c(payment)
-    n = F.ceil(F.round(-F.ln(inner) / F.lit(_log1p(r)), 9))
+    n = F.ceil(F.round(-F.ln(inner) / F.lit(math.log1p(r)), 9))
     return F.when(inner > 0, F.greatest(n, F.lit(0))).cast("int")
 
 
-def _log1p(x: float) -> float:
-    import math
-
-    return math.log1p(x)
-
-
 def balance_after(balance, annual_rate: float, payment, months) -> Column:
     """Closed form of n months of interest and payment, not below zero."""
     r = annual_rate / 12
+    if r == 0:
+        return F.greatest(_c(balance) - _c(payment) * _c(months), F.lit(0.0))
     growth = F.pow(F.lit(1.0 + r), _c(months).cast("double"))
     left = _c(balance) * growth - _c(payment) * (growth - 1) / F.lit(r)
     return F.greatest(left, F.lit(0.0))
@@ -205,17 +205,23 @@ def payoff_schedule(df: DataFrame, balance: str, annual_rate: float, payment: st
 
 def periods_to_target(start, rate: float, target) -> Column:
     """Periods of compound growth until the amount exceeds the target."""
-    raw = F.ln(_c(target) / _c(start)) / F.lit(_log1p(rate))
+    raw = F.ln(_c(target) / _c(start)) / F.lit(math.log1p(rate))
     return F.greatest(F.floor(F.round(raw, 9)) + 1, F.lit(0)).cast("int")
 
 
+def installment(principal, rate_pct, months) -> Column:
+    """Principal plus one flat interest charge, spread over the months."""
+    return (_c(principal) + _c(principal) * _c(rate_pct) / F.lit(100.0)) / _c(months)
+
+
 def payment_by_product(product, principal, rate: float, months) -> Column:
-    """Personal and auto loans spread principal plus simple interest; others pay interest only."""
+    """Flat-interest payment; personal loans add a fee of 25, mortgages pay interest only."""
     p, m = _c(principal), _c(months)
+    flat = p * F.lit(1 + rate) / m
     return (
-        F.when(_c(product) == "personal", p * (1 + rate) / m)
-        .when(_c(product) == "auto", p * (1 + rate / 2) / m)
-        .otherwise(p * rate / 12)
+        F.when(_c(product) == "personal", flat + F.lit(25.0) / m)
+        .when(_c(product) == "mortgage", p * F.lit(rate) / m)
+        .otherwise(flat)
     )
 
 
@@ -246,6 +252,11 @@ def best_model(df: DataFrame, key: str, models: dict[str, Column]) -> DataFrame:
     return df.select(key, name.alias("model"), best.alias("score"))
 
 
+def weighted_model(score, income) -> Column:
+    """0.7 x score plus 0.3 x income in thousands."""
+    return _c(score) * F.lit(0.7) + _c(income) / F.lit(1000.0) * F.lit(0.3)
+
+
 def safe_score(required: Sequence[str], score: Column) -> Column:
     """Score only when every required field is present."""
     cond = F.col(required[0]).isNotNull()

@@ -6,7 +6,7 @@ import __spark_entry__ as driver
 def test_entry_is_a_dataframe_with_rows(spark):
     df = driver.entry(spark)
     assert df.columns == ["risk_tier", "min_loan", "max_loan", "avg_loan", "avg_score", "n"]
-    assert {r.risk_tier for r in df.collect()} == {"Low", "Medium", "High"}
+    assert {r.risk_tier for r in df.collect()} == {"Prime", "Near-Prime", "Subprime"}
 
 
 def test_every_oracle_belongs_to_a_query():

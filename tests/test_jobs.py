@@ -57,6 +57,9 @@ def test_payoff_matches_the_month_loop(spark):
     assert {r.id for r in rows} == {1}  # the second loan is never paid off
     assert len(rows) == months == 27
     assert [r.remaining for r in rows] == pytest.approx(trail, abs=1e-6)
+    flat = spark.createDataFrame([(1, 5000.0, 500.0)], "id int, b double, p double")
+    steps = risk.payoff_schedule(flat, "b", 0.0, "p").orderBy("month").collect()
+    assert [r.remaining for r in steps] == [4500.0 - 500 * i for i in range(10)]
     assert spark.range(1).select(risk.periods_to_target(F.lit(1000.0), 0.05, F.lit(1500.0))).first()[0] == 9
 
 
@@ -88,6 +91,13 @@ def test_models_fees_and_scores(spark):
     assert got == [None, 6.0]
 
 
+def test_payments(spark):
+    df = spark.createDataFrame([("standard",), ("personal",), ("mortgage",)], "kind string")
+    pay = risk.payment_by_product("kind", F.lit(10000.0), 0.05, F.lit(12))
+    assert [round(r[0], 2) for r in df.select(pay).collect()] == [875.0, 877.08, 41.67]
+    assert spark.range(1).select(risk.installment(F.lit(10000.0), F.lit(5), F.lit(24))).first()[0] == 437.5
+
+
 def test_parameterised_rules(spark):
     df = spark.createDataFrame([(10,), (0,), (-3,)], "d int")
     assert [r[0] for r in df.select(risk.late_fee(5)(F.col("d"))).collect()] == [50, 0, 0]

@@ -117,6 +117,22 @@ def test_ecdf_and_average_ranks(table):
     assert np.allclose(ranks.sort_index(), want.sort_index())
 
 
+@pytest.mark.parametrize("keys", [["k"], ["k", "j"]])
+def test_many_hot_keys(spark, keys, monkeypatch):
+    """More hot keys than are scanned linearly, one of them null."""
+    monkeypatch.setattr(O, "LINEAR_KEYS", 2)
+    df = spark.range(6000).select(
+        "id", F.when(F.col("id") % 7 > 0, (F.col("id") % 7).cast("string")).alias("k"), F.lit("x").alias("j"),
+        ((F.col("id") * 37) % 101).alias("t"),
+    )
+    points = O.split_points(df, [*keys, "t", "id"], 40)
+    assert len(O.Slices(df, keys, ["t", "id"], points).cuts) == 7
+    got = by_id(O.positions(df, ["t", "id"], keys, points=points), "pos")
+    pdf = df.toPandas().sort_values(["t", "id"])
+    want = pdf.assign(p=pdf.groupby("k", dropna=False).cumcount()).set_index("id")["p"].sort_index()
+    assert (got == want).all()
+
+
 def test_folds_and_batches(spark):
     df = spark.range(103)
     folds = O.folds(df, ["id"], 4).groupBy("fold").count().toPandas().sort_values("fold")
