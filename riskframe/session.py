@@ -1,10 +1,11 @@
-"""Session defaults and the shared work folder."""
+"""Session defaults, the shared work folder and shipping of the package to executors."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,19 +36,34 @@ def get_session(app: str = "riskframe", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession, purpose: str) -> str:
+#: Work folder of each application in this process.
+_ROOTS: dict[str, str] = {}
+
+
+def work_dir(spark: SparkSession, purpose: str, base: str | None = None) -> str:
     """A fresh path for intermediate tables and stream checkpoints.
 
-    The cluster's shared folder (``spark.checkpoint.dir``) is used when it is set. Without it
-    only a local-mode session may fall back to a temporary folder, because executors on other
-    machines could not read one.
+    ``base`` wins; else the cluster's shared folder (``spark.checkpoint.dir``) is used. Without
+    either only a session whose tasks run in the driver's own process may fall back to a temporary
+    folder, because executors elsewhere could not read one. The application's folder is removed by
+    its file system when the driver's JVM ends; a folder given as ``base`` stays.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="riskframe-")
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    if base is not None:
+        return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if root is None:
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            root = tempfile.mkdtemp(prefix="riskframe-")
+        _ROOTS[app] = os.path.join(root, f"riskframe-{app}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(_ROOTS[app])
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return os.path.join(_ROOTS[app], f"{purpose}-{uuid.uuid4().hex}")
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
@@ -59,3 +75,23 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="riskframe-"), "riskframe.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
