@@ -79,7 +79,7 @@ QUERIES = {
     )
 }
 
-_USABLE = "len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"
+_USABLE = "len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 _TOP = """
 WITH v AS (SELECT vec_id, {vector} AS v FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND {usable}),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {score} AS score
@@ -92,14 +92,14 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL = {
     "op1_block_matrix_ann": _TOP.format(
         vector="embedding",
-        usable=_USABLE + " AND len(list_filter(embedding, x -> x <> 0)) > 0",
+        usable=_USABLE + " AND len(list_filter(embedding, lambda x: x <> 0)) > 0",
         # the double sum in the order of the components
-        score="list_reduce(list_transform(range(1, len(q.v) + 1), i -> CAST(q.v[i] AS DOUBLE) * CAST(c.v[i] AS DOUBLE)), (a, b) -> a + b)",
+        score="list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: CAST(q.v[i] AS DOUBLE) * CAST(c.v[i] AS DOUBLE)), lambda a, b: a + b)",
     ),
     "op3_exact_top_k": _TOP.format(
-        vector="list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT))",
+        vector="list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT))",
         usable=_USABLE,
-        score="CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT)",
+        score="CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT)",
     ),
     "op4_url_filter": f"""
 WITH rules(host, path, verdict) AS (VALUES {", ".join(map(str, RULES))}),
@@ -113,7 +113,7 @@ SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdic
 FROM p LEFT JOIN m ON p.host = m.host AND p.path = m.path
 """,
     "op6_substring_dedup": r"""
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents),
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
 g AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
 m AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM g) WHERE least < doc_id),
 x AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM m)),
