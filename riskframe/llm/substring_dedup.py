@@ -38,6 +38,8 @@ from riskframe.session import ship_package
 BATCH_BYTES, BATCH_DOCS = 16 << 20, 40_000
 #: Bytes of text whose names fill one bucket.
 BUCKET_BYTES = 32 << 20
+#: Bytes of text whose words are worked on together.
+CHUNK_BYTES = 1 << 20
 FAR = 1 << 40
 NO_ID = np.iinfo(np.int64).max
 
@@ -86,63 +88,104 @@ def recompress(words: np.ndarray, rounds: int) -> tuple[np.ndarray, ...]:
     return names, start, end, first, last
 
 
+class Chunk:
+    """Some documents of a batch as one sequence of names, with a name of its own before each.
+
+    These separators occur once, so nothing that reaches over a border is ever shared.
+    """
+
+    def __init__(self, data: list[bytes], begin: int):
+        joined = b" ".join(data)
+        sizes = np.fromiter(map(len, data), dtype=np.int64, count=len(data)) + 1
+        raw, starts, ends = word_bounds(joined)
+        self.bounds = raw, starts, ends
+        of = np.searchsorted(np.cumsum(sizes), starts, side="right")
+        counts = np.bincount(of, minlength=len(data))
+        self.heads = np.cumsum(counts + 1) - counts - 1  # places of the separators
+        self.counts, self.begin = counts, begin
+        self.place = np.arange(len(starts)) + of + 1
+        self.doc = np.repeat(np.arange(len(data)), counts + 1)
+        self.words = self.names(1)
+
+    def names(self, seed: int) -> np.ndarray:
+        out = np.empty(len(self.doc), dtype=np.uint64)
+        out[self.heads] = stream(seed + 40 + self.begin, len(self.heads))
+        out[self.place] = word_hashes(*self.bounds, seed)
+        return out
+
+
 class Batch:
-    """The documents of a batch: rows in a fixed order, their words' names and their symbols."""
+    """The documents of a batch in a fixed order, as chunks, with their symbols."""
 
     def __init__(self, table: pa.Table, window: int, rounds: int, least: int):
-        self.window, self.rounds, self.least = window, rounds, least
-        keys = table.column("doc").to_pylist()
-        texts = table.column("text").to_pylist()
-        rows = sorted(zip(keys, texts), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+        self.window = window
+        rows = sorted(
+            zip(table.column("doc").to_pylist(), table.column("text").to_pylist()),
+            key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""),
+        )
         self.keys = [k for k, _ in rows]
         self.ids = np.array([NO_ID if k is None else k for k in self.keys], dtype=np.int64)
         self.data = [(t or "").encode("utf-8", "replace") for _, t in rows]
-
-    def names(self, i: int, seed: int = 1) -> np.ndarray:
-        return word_hashes(*word_bounds(self.data[i]), seed)
-
-    def symbols(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Names and contexts of the symbols whose context fits a window."""
-        if len(words) < self.window:
-            return (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2
-        names, start, end, first, last = recompress(words, self.rounds)
-        use = (last - first <= self.window) & (end - start >= self.least)
-        return names[use] >> np.uint64(1), first[use], last[use]
+        self.chunks: list[Chunk] = []
+        self.symbols: list[tuple] = []
+        at = 0
+        while at < len(self.data):
+            end, size = at, 0
+            while end < len(self.data) and (end == at or size + len(self.data[end]) < CHUNK_BYTES):
+                size += len(self.data[end])
+                end += 1
+            chunk = Chunk(self.data[at:end], at)
+            names, start, stop, first, last = recompress(chunk.words, rounds)
+            use = (last - first <= window) & (stop - start >= least)
+            # none that covers or depends on a separator
+            mark = np.zeros(len(chunk.words) + 1, dtype=np.int64)
+            mark[chunk.heads + 1] = 1
+            mark = np.cumsum(mark)
+            use &= mark[np.minimum(last, len(mark) - 1)] == mark[np.maximum(first, 0)]
+            self.chunks.append(chunk)
+            self.symbols.append((names[use] >> np.uint64(1), first[use], last[use]))
+            at = end
 
     def shared_names(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct names in the batch, and whether two of its documents have them."""
-        found = [np.unique(self.symbols(self.names(i))[0]) for i in range(len(self.data))]
-        names, counts = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
-        return names, counts > 1
+        if not self.chunks:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        names = np.concatenate([s[0] for s in self.symbols])
+        docs = np.concatenate([c.doc[s[1]] + c.begin for c, s in zip(self.chunks, self.symbols)])
+        order = np.argsort(names, kind="stable")  # documents ascend within a name
+        names, docs = names[order], docs[order]
+        begins = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.zeros(0, np.int64)
+        ends = np.r_[begins[1:], len(names)] - 1 if len(names) else begins
+        return names[begins], docs[begins] != docs[ends]
 
     def windows(self, shared: np.ndarray) -> tuple[np.ndarray, ...]:
         """Windows without a symbol of one document: document, place, and two hashes."""
         out = []
-        for i in range(len(self.data)):
-            words = self.names(i)
-            m = len(words) - self.window + 1
-            if m <= 0:
-                continue
-            names, first, last = self.symbols(words)
+        k = self.window
+        for chunk, (names, first, last) in zip(self.chunks, self.symbols):
+            n = len(chunk.words)
+            # places where a window of the document begins
+            left = np.repeat(chunk.heads + chunk.counts, chunk.counts + 1) - np.arange(n)
+            fits = left >= k - 1
+            fits[chunk.heads] = False
             if len(shared):
                 at = np.searchsorted(shared, names).clip(0, len(shared) - 1)
                 alone = shared[at] != names
             else:
                 alone = np.ones(len(names), bool)
-            low, high = np.maximum(last[alone] - self.window, 0), np.minimum(first[alone], m - 1)
-            edge = np.zeros(m + 1, dtype=np.int64)
-            fits = high >= low
-            np.add.at(edge, low[fits], 1)
-            np.add.at(edge, high[fits] + 1, -1)
-            place = np.flatnonzero(np.cumsum(edge[:m]) == 0)
+            edge = np.zeros(n + 1, dtype=np.int64)
+            np.add.at(edge, np.maximum(last[alone] - k, 0), 1)
+            np.add.at(edge, first[alone] + 1, -1)
+            place = np.flatnonzero(fits & (np.cumsum(edge[:n]) == 0))
             if not len(place):
                 continue
-            second = self.names(i, 2)
+            second = chunk.names(2)
             one, two = np.zeros(len(place), np.uint64), np.zeros(len(place), np.uint64)
-            for j, (a, b) in enumerate(zip(stream(21, self.window), stream(22, self.window))):
-                one += words[place + j] * (a | np.uint64(1))
+            for j, (a, b) in enumerate(zip(stream(21, k), stream(22, k))):
+                one += chunk.words[place + j] * (a | np.uint64(1))
                 two += second[place + j] * (b | np.uint64(1))
-            out.append((np.full(len(place), i), place, mix64(one), mix64(two).astype(np.uint32)))
+            doc = chunk.doc[place]
+            out.append((doc + chunk.begin, place - chunk.heads[doc] - 1, mix64(one), mix64(two).astype(np.uint32)))
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         return tuple(np.concatenate(x) for x in zip(*out))
@@ -150,7 +193,8 @@ class Batch:
     def entries(self, shared: np.ndarray) -> dict[str, np.ndarray]:
         """Distinct windows in order with the smallest id that has each, and each window's entry."""
         doc, place, one, two = self.windows(shared)
-        order = np.lexsort((self.ids[doc], two, one))
+        # documents ascend, so a stable order has the smallest first
+        order = np.lexsort((two, one))
         new = np.r_[True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])] if len(order) else np.zeros(0, bool)
         entry = np.empty(len(order), np.int64)
         entry[order] = np.cumsum(new) - 1

@@ -24,8 +24,21 @@ def stream(seed: int, n: int) -> np.ndarray:
     return mix64((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 32)) * _STEP)
 
 
+#: Per seed: a number for each byte, and the multiplier of one place with its inverse modulo 2^64.
 _BYTES = {seed: stream(seed, 256) for seed in (1, 2)}
-_PLACES = {seed: stream(seed + 8, 1 << 10) | np.uint64(1) for seed in (1, 2)}
+_BASE = {seed: int(stream(seed + 8, 1)[0]) | 1 for seed in (1, 2)}
+_POWERS: dict[tuple[int, bool], np.ndarray] = {}
+
+
+def _powers(seed: int, n: int, inverse: bool) -> np.ndarray:
+    """The first ``n`` powers of a seed's multiplier, or of its inverse, modulo 2^64."""
+    known = _POWERS.get((seed, inverse))
+    if known is None or len(known) < n:
+        base = pow(_BASE[seed], -1 if inverse else 1, 1 << 64)
+        steps = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+        steps[0] = 1
+        known = _POWERS[seed, inverse] = np.cumprod(steps)
+    return known[:n]
 
 
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -39,19 +52,17 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of each word: a sum of byte value times place multiplier, then mixed."""
+    """A 64-bit hash of each word: a polynomial over random numbers for its bytes, then mixed.
+
+    Differences of one running sum give all words; the inverse power takes out where a word begins.
+    """
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
-    places = _PLACES[seed]
-    lengths = ends - starts
-    if lengths.max() > len(places):
-        places = _PLACES[seed] = stream(seed + 8, 2 * int(lengths.max())) | np.uint64(1)
-    out = np.empty(len(starts), dtype=np.uint64)
-    step = 1 << 16  # words at a time, to bound memory
-    for i in range(0, len(starts), step):
-        s, n = starts[i : i + step], lengths[i : i + step]
-        ahead = np.cumsum(n) - n
-        place = np.arange(int(n.sum())) - np.repeat(ahead, n)
-        values = _BYTES[seed][raw[np.repeat(s, n) + place]] * places[place]
-        out[i : i + step] = np.add.reduceat(values, ahead)
-    return mix64(out + lengths.astype(np.uint64) * _STEP)
+    n = len(raw)
+    total = np.empty(n + 1, dtype=np.uint64)
+    total[0] = 0
+    terms = _BYTES[seed][raw]
+    terms *= _powers(seed, n, False)
+    np.cumsum(terms, out=total[1:])
+    out = (total[ends] - total[starts]) * _powers(seed, n, True)[starts]
+    return mix64(out + (ends - starts).astype(np.uint64) * _STEP)
