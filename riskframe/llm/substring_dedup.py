@@ -236,7 +236,9 @@ def remove_repeats(
     ship_package(spark)
     chosen = documents.select(F.col(key).cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
     size = chosen.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    batches = max(1, -(-(size.b or 0) // BATCH_BYTES), -(-size.n // BATCH_DOCS))
+    # as many batches as partitions, unless they would be small, so that all tasks have work
+    spread = min(int(spark.conf.get("spark.sql.shuffle.partitions")), (size.b or 0) >> 20)
+    batches = max(1, spread, -(-(size.b or 0) // BATCH_BYTES), -(-size.n // BATCH_DOCS))
     buckets = max(1, -(-(size.b or 0) // BUCKET_BYTES))
     docs = chosen.withColumn("batch", F.pmod(F.xxhash64("doc", "text"), F.lit(batches)).cast("int"))
     many = np.uint64(buckets)
