@@ -37,8 +37,9 @@ CACHED = 300_000
 WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the prefixes that are terms besides the word, for words that are inflected.
 PREFIXES = range(4, 10)
-#: Labelled texts that must have a term, and the prior's weight among the votes.
-LEAST, PRIOR = 3, 1.0
+#: Labelled texts that must have a term, as a number and as a share (a group of near copies alone
+#: makes no term), and the prior's weight among the votes.
+LEAST, LEAST_SHARE, PRIOR = 3, 0.01, 1.0
 
 
 def terms_of(run: bytes) -> list[str]:
@@ -80,12 +81,14 @@ class Index:
         for i, c in enumerate(counts):
             for t, w in zip(*self.vector(c)):
                 postings[t].append((i, w))
-        self.at = [np.array([i for i, _ in p], dtype=np.int64) for p in postings]
-        self.weight = [np.array([w for _, w in p]) for p in postings]
-        self.start = [np.searchsorted(a, np.arange(self.blocks + 1) * BLOCK) for a in self.at]
+        self.at = np.array([i for p in postings for i, _ in p], dtype=np.int64)
+        self.weight = np.array([w for p in postings for _, w in p])
+        term = np.repeat(np.arange(len(idf)), [len(p) for p in postings])
+        # where the postings of a term in a block begin
+        grid = np.arange(len(idf))[:, None] * self.blocks + np.arange(self.blocks + 1)
+        self.begin = np.searchsorted(term * self.blocks + self.at // BLOCK, grid)
         self.most = np.zeros((len(idf), self.blocks))
-        for t, (a, w) in enumerate(zip(self.at, self.weight)):
-            np.maximum.at(self.most[t], a // BLOCK, w)
+        np.maximum.at(self.most, (term, self.at // BLOCK), self.weight)
 
     def vector(self, counts: dict[int, int]) -> tuple[list[int], np.ndarray]:
         terms = sorted(counts)
@@ -99,15 +102,17 @@ class Index:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best, score = np.zeros(0, np.int64), np.zeros(0)
-        for i in range(0, len(order), 8):
-            some = order[i : i + 8]
+        slot = np.zeros(self.blocks, dtype=np.int64)
+        for i in range(0, len(order), 16):
+            some = order[i : i + 16]
             if len(score) == k and bound[some[0]] * (1 + 1e-9) < score[-1]:
                 break
-            found, part = [], np.zeros(len(some) * BLOCK)
-            for t, w in zip(terms, weights):
-                for j, b in enumerate(some):
-                    s, e = self.start[t][b], self.start[t][b + 1]
-                    part[self.at[t][s:e] - b * BLOCK + j * BLOCK] += w * self.weight[t][s:e]
+            low, high = (self.begin[terms][:, some + d].ravel() for d in (0, 1))
+            n = high - low
+            at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            slot[some] = np.arange(len(some)) * BLOCK
+            place = slot[self.at[at] // BLOCK] + self.at[at] % BLOCK
+            part = np.bincount(place, np.repeat(np.repeat(weights, len(some)), n) * self.weight[at], len(some) * BLOCK)
             found = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
             keep = (part > 0) & (found != but)
             best, score = np.r_[best, found[keep]], np.r_[score, part[keep]]
@@ -204,7 +209,7 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     chi = F.lit(float(n)) * F.pow(a * (clean - b) - b * (toxic - a), 2) / ((a + b) * (n - a - b) * float(toxic) * float(clean))
     strong = (
-        per_term.where((a + b < n) & (a >= LEAST))
+        per_term.where((a + b < n) & (a >= max(LEAST, LEAST_SHARE * toxic)))
         .withColumn("chi", chi)
         .where((F.col("chi") >= 2 * float(np.log(tested))) & (a * n >= 2 * (a + b) * toxic))
         .orderBy(F.desc("chi"), "term")
