@@ -38,6 +38,8 @@ BLOCK = 128
 PERCENTILES = (0.75, 0.9, 0.97, 1.0)
 #: Ids after which a segment is closed.
 SEGMENT = 1 << 18
+#: Segments up to which their positions, 16 bytes each, are broadcast.
+BROADCAST_SEGMENTS = 100_000
 HEAD = struct.Struct("<4sIQQ")
 BLOCK_HEAD = np.dtype([("low", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 
@@ -232,7 +234,9 @@ def read_tokens(spark, path: str, key: str = "doc_id") -> DataFrame:
     begins = sizes.withColumn("within", within).join(F.broadcast(ahead), "shard").select(
         "shard", "segment", (F.col("ahead") + F.col("within")).alias("begin")
     )
-    placed = files.join(begins, ["shard", "segment"]).select("begin", "keys", "lengths", "body")
+    small = begins.count() <= BROADCAST_SEGMENTS
+    placed = files.join(F.broadcast(begins) if small else begins, ["shard", "segment"])
+    placed = placed.select("begin", "keys", "lengths", "body")
     type_of = files.schema["keys"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
