@@ -59,11 +59,15 @@ class Terms(dict):
     def __init__(self, terms: dict[str, int]):
         super().__init__()
         self.terms = terms
+        #: A word whose first letters begin no term has none.
+        self.heads = {t.rstrip("*")[: PREFIXES[0]] for t in terms}
 
     def __missing__(self, run: bytes) -> tuple:
         if len(self) > CACHED:
             self.clear()
-        found = self[run] = tuple(self.terms[w] for w in terms_of(run) if w in self.terms)
+        words = WORD.findall(run.decode("utf-8", "replace").lower())
+        likely = any(w[: PREFIXES[0]] in self.heads for w in words)
+        found = self[run] = tuple(self.terms[t] for t in terms_of(run) if t in self.terms) if likely else ()
         return found
 
     def count(self, text: str | None) -> Counter:
