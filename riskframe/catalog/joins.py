@@ -11,46 +11,45 @@ from riskframe.operators.ordered import batches, folds
 
 
 def applications(t):
-    """English documents stand for the applications, labels for the bureau: keys overlap partly."""
-    return t.documents.filter("lang = 'en'").select("doc_id", "n_chars", "source")
+    """Vectors stand for the applications, labels for the bureau: either has keys of its own."""
+    return t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("label").alias("cluster"))
 
 
-APPS = "(SELECT doc_id, n_chars, source FROM documents WHERE lang = 'en')"
+APPS = "(SELECT vec_id AS doc_id, label AS cluster FROM embeddings)"
 
 
 def key_sets(t):
-    """Three overlapping bags of customer keys, one per order status with large orders."""
-    big = t.orders.filter("o_totalprice > 400000")
-    return [big.filter(F.col("o_orderstatus") == s).select("o_custkey") for s in "FOP"]
+    """Three overlapping bags of customer keys, one per order status."""
+    return [t.orders.filter(F.col("o_orderstatus") == s).select("o_custkey") for s in "FOP"]
 
 
 def key_set_sql(s):
-    return f"(SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 400000 AND o_orderstatus = '{s}')"
+    return f"(SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = '{s}')"
 
 
 SF, SO, SP = (key_set_sql(s) for s in "FOP")
 
 
-@query(f"SELECT a.doc_id, n_chars, quality, toxic FROM {APPS} a JOIN labels l ON a.doc_id = l.doc_id")
+@query(f"SELECT a.doc_id, cluster, quality, toxic FROM {APPS} a JOIN labels l ON a.doc_id = l.doc_id")
 def join_inner(t):
-    return applications(t).join(t.labels, "doc_id").select("doc_id", "n_chars", "quality", "toxic")
+    return applications(t).join(t.labels, "doc_id").select("doc_id", "cluster", "quality", "toxic")
 
 
-@query(f"SELECT a.doc_id, n_chars, quality, quality IS NULL AS missed FROM {APPS} a LEFT JOIN labels l ON a.doc_id = l.doc_id")
+@query(f"SELECT a.doc_id, cluster, quality, quality IS NULL AS missed FROM {APPS} a LEFT JOIN labels l ON a.doc_id = l.doc_id")
 def join_left(t):
     out = applications(t).join(t.labels, "doc_id", "left")
-    return out.select("doc_id", "n_chars", "quality", F.col("quality").isNull().alias("missed"))
+    return out.select("doc_id", "cluster", "quality", F.col("quality").isNull().alias("missed"))
 
 
-@query(f"SELECT l.doc_id, n_chars, quality, n_chars IS NULL AS missed FROM {APPS} a RIGHT JOIN labels l ON a.doc_id = l.doc_id")
+@query(f"SELECT l.doc_id, cluster, quality, cluster IS NULL AS missed FROM {APPS} a RIGHT JOIN labels l ON a.doc_id = l.doc_id")
 def join_right(t):
     out = applications(t).join(t.labels, "doc_id", "right")
-    return out.select("doc_id", "n_chars", "quality", F.col("n_chars").isNull().alias("missed"))
+    return out.select("doc_id", "cluster", "quality", F.col("cluster").isNull().alias("missed"))
 
 
-@query(f"SELECT doc_id, n_chars, quality FROM {APPS} a FULL JOIN labels l USING (doc_id)")
+@query(f"SELECT doc_id, cluster, quality FROM {APPS} a FULL JOIN labels l USING (doc_id)")
 def join_outer(t):
-    return J.full_join(applications(t), t.labels, ["doc_id"]).select("doc_id", "n_chars", "quality")
+    return J.full_join(applications(t), t.labels, ["doc_id"]).select("doc_id", "cluster", "quality")
 
 
 @query(f"""SELECT CASE WHEN a.doc_id IS NULL THEN 'right_only' WHEN l.doc_id IS NULL THEN 'left_only' ELSE 'both' END AS origin,
@@ -130,8 +129,7 @@ def cross_pairs(t):
 @query("""WITH m AS (SELECT o_orderpriority AS l, avg(o_totalprice) AS s FROM orders GROUP BY 1)
           SELECT a.l AS level_a, b.l AS level_b, round(a.s - b.s, 4) AS diff FROM m a, m b""")
 def cross_pairwise_diff(t):
-    levels = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    out = J.pairs_of_levels(t.orders, "o_orderpriority", levels, F.avg("o_totalprice"), "diff")
+    out = J.pairs_of_levels(t.orders, "o_orderpriority", F.avg("o_totalprice"), "diff")
     return out.select("level_a", "level_b", r("diff", 4).alias("diff"))
 
 

@@ -9,6 +9,7 @@ from riskframe.operators.ordered import positions
 from riskframe.operators.stats import correlation_matrix
 
 STATUS = ["F", "O", "P"]
+TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -22,48 +23,46 @@ def rounded(df, key, cols, digits=6):
 
 @query("SELECT o_orderpriority, " + cells("round(avg(o_totalprice) FILTER (WHERE {}), 6)", '"{}"') + " FROM orders GROUP BY 1")
 def piv_mean(t):
-    return rounded(R.pivot(t.orders, "o_orderpriority", "o_orderstatus", STATUS, F.avg("o_totalprice")), "o_orderpriority", STATUS)
+    return rounded(R.pivot(t.orders, "o_orderpriority", "o_orderstatus", None, F.avg("o_totalprice")), "o_orderpriority", STATUS)
 
 
 @query("SELECT o_orderpriority, " + cells("count(o_orderkey) FILTER (WHERE {})", '"{}"') + " FROM orders GROUP BY 1")
 def piv_count(t):
-    return R.pivot(t.orders, "o_orderpriority", "o_orderstatus", STATUS, F.count("o_orderkey"), fill=0)
+    return R.pivot(t.orders, "o_orderpriority", "o_orderstatus", None, F.count("o_orderkey"), fill=0)
 
 
 @query("SELECT coalesce(o_orderpriority, 'All') AS o_orderpriority, " + cells("round(avg(o_totalprice) FILTER (WHERE {}), 6)", '"{}"')
        + ', round(avg(o_totalprice), 6) AS "All" FROM orders GROUP BY GROUPING SETS ((orders.o_orderpriority), ())')
 def piv_margins(t):
-    out = R.pivot_margins(t.orders, "o_orderpriority", "o_orderstatus", STATUS, F.avg("o_totalprice"))
+    out = R.pivot_margins(t.orders, "o_orderpriority", "o_orderstatus", None, F.avg("o_totalprice"))
     return rounded(out, "o_orderpriority", [*STATUS, "All"])
 
 
 @query("SELECT o_orderpriority, " + cells("round(avg(o_totalprice) FILTER (WHERE {}), 6)", '"{}_price"') + ", "
        + cells("round(avg(o_custkey) FILTER (WHERE {}), 6)", '"{}_cust"') + " FROM orders GROUP BY 1")
 def piv_multi_values(t):
-    out = R.pivot(t.orders, "o_orderpriority", "o_orderstatus", STATUS, F.avg("o_totalprice").alias("price"), F.avg("o_custkey").alias("cust"))
+    out = R.pivot(t.orders, "o_orderpriority", "o_orderstatus", None, F.avg("o_totalprice").alias("price"), F.avg("o_custkey").alias("cust"))
     return rounded(out, "o_orderpriority", [f"{s}_{v}" for s in STATUS for v in ("price", "cust")])
 
 
-@query("SELECT p_brand || '/' || p_size AS line, " + cells("coalesce(round(avg(p_retailprice) FILTER (WHERE {}), 6), 0)", '"{}"', ["ECONOMY", "PROMO", "SMALL"], "p_type")
+@query("SELECT p_brand || '/' || p_size AS line, " + cells("coalesce(round(avg(p_retailprice) FILTER (WHERE {}), 6), 0)", '"{}"', TYPES, "p_type")
        + " FROM part GROUP BY 1")
 def piv_fill(t):
     # a fine row key leaves many cells empty
-    levels = ["ECONOMY", "PROMO", "SMALL"]
     lines = t.part.withColumn("line", F.concat_ws("/", "p_brand", F.col("p_size").cast("string")))
-    return rounded(R.pivot(lines, "line", "p_type", levels, F.avg("p_retailprice"), fill=0), "line", levels)
+    return rounded(R.pivot(lines, "line", "p_type", None, F.avg("p_retailprice"), fill=0), "line", TYPES)
 
 
-TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 @query("SELECT p_brand, " + cells("count(*) FILTER (WHERE {})", '"{}"', TYPES, "p_type") + " FROM part GROUP BY 1")
 def xtab_count(t):
-    return R.crosstab(t.part, "p_brand", "p_type", TYPES)
+    return R.crosstab(t.part, "p_brand", "p_type")
 
 
 @query("SELECT o_orderpriority, " + cells("round(count(*) FILTER (WHERE {}) * 100.0::DOUBLE / count(*), 6)", '"{}"') + " FROM orders GROUP BY 1")
 def xtab_row_pct(t):
-    return rounded(R.crosstab_share(t.orders, "o_orderpriority", "o_orderstatus", STATUS, 100.0), "o_orderpriority", STATUS)
+    return rounded(R.crosstab_share(t.orders, "o_orderpriority", "o_orderstatus", None, 100.0), "o_orderpriority", STATUS)
 
 
 @query(" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, " + ("1.0::DOUBLE AS r" if a == b else f"round(corr({a}, {b}), 6) AS r FROM lineitem") for a in LINE for b in LINE))
@@ -76,7 +75,7 @@ def resh_unpivot(t):
     for c in LINE))
 def resh_transpose(t):
     means = t.lineitem.groupBy("l_returnflag").agg(*[r(F.avg(c)).alias(c) for c in LINE])
-    return R.transpose_small(means, "l_returnflag", LINE, ["A", "N", "R"])
+    return R.transpose_small(means, "l_returnflag", LINE)
 
 
 @query("""SELECT pos // 4 AS row, """ + ", ".join(f"max(value) FILTER (WHERE pos % 4 = {i}) AS c{i}" for i in range(4))

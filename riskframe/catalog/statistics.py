@@ -153,9 +153,9 @@ def stat_iqr_outliers(t):
     return upper.unionByName(both)
 
 
-@query("SELECT o_orderkey, o_totalprice, o_totalprice > 495000 AS extreme FROM orders WHERE o_totalprice > 490000")
+@query("SELECT o_orderkey, o_totalprice, o_totalprice > 495000 AS extreme FROM orders")
 def stat_extreme(t):
-    rows = t.orders.select("o_orderkey", "o_totalprice").filter("o_totalprice > 490000")
+    rows = t.orders.select("o_orderkey", "o_totalprice")
     return rows.withColumn("extreme", F.col("o_totalprice") > 495000)
 
 
@@ -326,14 +326,16 @@ def risk_el_var(t):
 
 
 # ------------------------------------------------------------------ loans
-AMORT_SQL = """WITH n AS (SELECT s_suppkey, s_acctbal AS b, greatest(ceil(round(-ln(1 - 0.005 * s_acctbal / 400) / ln(1.005), 9)), 0)::INT AS n FROM supplier WHERE s_acctbal > 0)"""
+AMORT_SQL = """WITH n AS (SELECT s_suppkey, s_acctbal AS b, CASE WHEN 0.005 * s_acctbal < 40 THEN greatest(ceil(round(-ln(1 - 0.005 * s_acctbal / 40) / ln(1.005), 9)), 0)::INT END AS n FROM supplier)"""
 
 
-@query(AMORT_SQL + """SELECT s_suppkey, n AS n_months, mth::INT AS month, round(greatest(b * pow(1.005, mth) - 400 * (pow(1.005, mth) - 1) / 0.005, 0), 4) AS remaining
-          FROM (SELECT s_suppkey, b, n, unnest(range(1, n + 1)) AS mth FROM n)""")
+@query(AMORT_SQL + """SELECT s_suppkey, n AS n_months, mth::INT AS month,
+          CASE WHEN mth IS NOT NULL THEN round(greatest(b * pow(1.005, mth) - 40 * (pow(1.005, mth) - 1) / 0.005, 0), 4) END AS remaining,
+          CASE WHEN n IS NULL THEN 'never' WHEN n = 0 THEN 'settled' ELSE 'paying' END AS status
+          FROM (SELECT s_suppkey, b, n, unnest(CASE WHEN n > 0 THEN range(1, n + 1) ELSE [NULL] END) AS mth FROM n)""")
 def risk_amortize(t):
-    loans = t.supplier.filter("s_acctbal > 0").select("s_suppkey", F.col("s_acctbal").alias("b"), F.lit(400.0).alias("pay"))
-    return risk.payoff_schedule(loans, "b", 0.06, "pay").select("s_suppkey", "n_months", "month", r("remaining", 4).alias("remaining"))
+    loans = t.supplier.select("s_suppkey", F.col("s_acctbal").alias("b"), F.lit(40.0).alias("pay"))
+    return risk.payoff_schedule(loans, "b", 0.06, "pay").select("s_suppkey", "n_months", "month", r("remaining", 4).alias("remaining"), "status")
 
 
 @query("""SELECT o_orderkey, round(CASE o_orderstatus WHEN 'F' THEN o_totalprice * 1.08 / 24 + 25.0 / 24 WHEN 'O' THEN o_totalprice * 0.08 / 24

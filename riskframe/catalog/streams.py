@@ -96,17 +96,14 @@ def udf_batch_fn(t):
 def udf_group(t):
     pairs = t.customer.select(F.col("c_mktsegment").alias("grp"), F.col("c_acctbal").alias("x"))
     partial = pairs.mapInPandas(U.batch_moments, U.MOMENTS_SCHEMA)
-    merged = partial.groupBy("grp").agg(
-        F.sum("n").alias("n"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-    )
-    var = (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")) / (F.col("n") - 1)
-    return merged.select("grp", "n", r(F.col("s1") / F.col("n")).alias("mean"), r(F.sqrt(var), 4).alias("sd"), "lo", "hi")
+    merged = U.merge_moments(partial)
+    return merged.select("grp", "n", r("mean").alias("mean"), r("sd", 4).alias("sd"), "lo", "hi")
 
 
 @query("""SELECT o_custkey AS name, o_orderkey::INT AS score, 1 AS income, NULL AS error FROM orders WHERE false
-          UNION ALL SELECT c_custkey, NULL, NULL, 'expected 3 fields, got 2' FROM customer
+          UNION ALL SELECT c_custkey, NULL, NULL, '2 fields instead of 3' FROM customer
           UNION ALL SELECT c_custkey, c_nationkey, c_custkey::INT, NULL FROM customer
-          UNION ALL SELECT c_custkey, NULL, NULL, 'bad number' FROM customer""")
+          UNION ALL SELECT c_custkey, NULL, NULL, 'field 2 is not a number' FROM customer""")
 def udtf_parse(t):
     text = F.format_string("%s,%d,%d;%s,5;%s,abc,9", "c_name", "c_nationkey", "c_custkey", "c_name", "c_name")
     t.spark.udtf.register("parse_applications", U.ParseApplications)

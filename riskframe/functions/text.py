@@ -60,12 +60,23 @@ def split_nonempty(x, pattern: str) -> Column:
     return F.filter(F.split(_c(x), pattern), lambda p: F.trim(p) != "")
 
 
-def key_values(x, pair_sep: str = r"\|", kv_sep: str = ":") -> Column:
-    """``"k: v | k: v"`` as a trimmed string map."""
-    raw = F.str_to_map(_c(x), F.lit(pair_sep), F.lit(kv_sep))
-    return F.map_from_entries(
-        F.transform(F.map_entries(raw), lambda e: F.struct(F.trim(e["key"]).alias("key"), F.trim(e["value"]).alias("value")))
+def literal(separator: str) -> str:
+    """A regular expression for exactly this text."""
+    return r"\Q" + separator.replace(r"\E", r"\E\\E\Q") + r"\E"
+
+
+def key_values(x, pair_sep: str = "|", kv_sep: str = ":") -> Column:
+    """``"k: v | k: v"`` as a trimmed string map; a repeated key keeps its last value."""
+    entries = F.transform(
+        F.split(_c(x), literal(pair_sep)),
+        lambda p: F.struct(
+            F.trim(F.get(F.split(p, literal(kv_sep), 2), F.lit(0))).alias("key"),
+            F.trim(F.get(F.split(p, literal(kv_sep), 2), F.lit(1))).alias("value"),
+        ),
     )
+    keys = lambda es: F.transform(es, lambda e: e["key"])
+    last = F.filter(entries, lambda e, i: ~F.array_contains(keys(F.slice(entries, i + 2, F.size(entries))), e["key"]))
+    return F.map_from_entries(last)
 
 
 def int_values(m) -> Column:

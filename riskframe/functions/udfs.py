@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
@@ -34,34 +35,58 @@ def age_band(age: pd.Series) -> pd.Series:
 @F.pandas_udf(DoubleType())
 def row_volatility(rows: pd.Series) -> pd.Series:
     """Max minus min of every row vector."""
-    return rows.map(lambda r: None if r is None or len(r) == 0 else float(np.max(r) - np.min(r)))
+    sizes = rows.map(len, na_action="ignore").fillna(0).astype(np.int64).to_numpy()
+    out = np.full(len(rows), None, dtype=object)
+    if sizes.any():
+        flat = np.concatenate([r for r, n in zip(rows, sizes) if n])
+        starts = np.cumsum(sizes[sizes > 0]) - sizes[sizes > 0]
+        out[sizes > 0] = np.maximum.reduceat(flat, starts).astype(float) - np.minimum.reduceat(flat, starts)
+    return pd.Series(out, index=rows.index)
 
 
 def batch_moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Count, sum, sum of squares, min and max per ``grp`` of each Arrow batch of (grp, x).
+    """Count, mean, squared deviations from it, min and max per ``grp`` of each Arrow batch of (grp, x).
 
     A custom group summary as a map-side partial: the shuffle afterwards carries one row per
     group and batch, so a group holding most of the table is never gathered anywhere.
     """
     for pdf in batches:
-        x = pdf.assign(sq=pdf["x"] ** 2).groupby("grp", as_index=False)
-        yield x.agg(n=("x", "count"), s1=("x", "sum"), s2=("sq", "sum"), lo=("x", "min"), hi=("x", "max"))
+        out = pdf.groupby("grp", as_index=False)["x"].agg(n="count", mean="mean", m2="var", lo="min", hi="max")
+        yield out.assign(m2=out["m2"].fillna(0) * (out["n"] - 1))[out["n"] > 0]
 
 
-MOMENTS_SCHEMA = "grp string, n long, s1 double, s2 double, lo double, hi double"
+MOMENTS_SCHEMA = "grp string, n long, mean double, m2 double, lo double, hi double"
+
+
+def merge_moments(partial: DataFrame) -> DataFrame:
+    """(grp, n, mean, sd, lo, hi) from the batches' moments.
+
+    Deviations are taken from each group's mean, so large values with a small spread lose nothing;
+    a group of one row has no deviation.
+    """
+    whole = partial.groupBy("grp").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"))
+    apart = F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)
+    merged = partial.join(whole, "grp").groupBy("grp", "centre").agg(
+        F.sum("n").alias("n"), F.sum(apart).alias("m2"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
+    sd = F.when(F.col("n") > 1, F.sqrt(F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0))))
+    return merged.select("grp", "n", F.col("centre").alias("mean"), sd.alias("sd"), "lo", "hi")
 
 
 @F.udtf(returnType="name string, score int, income int, error string")
 class ParseApplications:
     """One raw text of ``name,score,income`` entries separated by ``;`` to typed rows."""
 
+    #: Whether each field of an entry is a whole number.
+    NUMBERS = (False, True, True)
+
     def eval(self, raw: str):
-        for line in (raw or "").split(";"):
-            parts = line.split(",")
-            if len(parts) != 3:
-                yield None, None, None, f"expected 3 fields, got {len(parts)}"
-                continue
-            try:
-                yield parts[0], int(parts[1]), int(parts[2]), None
-            except ValueError:
-                yield None, None, None, "bad number"
+        width = len(self.NUMBERS)
+        for cells in (entry.split(",") for entry in (raw or "").split(";")):
+            wrong = [i for i, (c, n) in enumerate(zip(cells, self.NUMBERS)) if n and not c.strip().lstrip("+-").isdecimal()]
+            if len(cells) != width:
+                yield (None,) * width + (f"{len(cells)} fields instead of {width}",)
+            elif wrong:
+                yield (None,) * width + (f"field {wrong[0] + 1} is not a number",)
+            else:
+                yield tuple(int(c) if n else c for c, n in zip(cells, self.NUMBERS)) + (None,)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from riskframe.operators.ordered import positions
 from riskframe.operators.profile import draw_below, draw_key, draw_threshold, spread
@@ -61,13 +62,19 @@ def _value_counts(df: DataFrame, value: str, order: str, by: Sequence[str]) -> D
 
 
 def arg_extreme(df: DataFrame, x: str, tiebreak: str, by: Sequence[str] = (), largest: bool = True) -> DataFrame:
-    """Full row holding the extreme of ``x``; ties go to the smallest ``tiebreak``."""
+    """Full row holding the extreme of ``x``; ties go to the smallest ``tiebreak``, of any type.
+
+    Nulls and NaN are no extremes.
+    """
     row = F.struct(*[c for c in df.columns if c not in by])
-    if largest:
-        pick = F.max_by(row, F.struct(F.col(x), (-F.col(tiebreak)).alias("t")))
-    else:
-        pick = F.min_by(row, F.struct(F.col(x), F.col(tiebreak).alias("t")))
     rows = df.filter(F.col(x).isNotNull())
+    if isinstance(df.schema[x].dataType, (DoubleType, FloatType)):
+        rows = rows.filter(~F.isnan(x))
+    if largest:
+        # per value first: then the largest value's smallest tiebreak needs no negation
+        rows = rows.groupBy(*by, F.col(x).alias("__x")).agg(F.min_by(row, tiebreak).alias("__r"))
+        return rows.groupBy(*by).agg(F.max_by("__r", "__x").alias("r")).select(*by, "r.*").select(*df.columns)
+    pick = F.min_by(row, F.struct(F.col(x), F.col(tiebreak).alias("t")))
     return rows.groupBy(*by).agg(pick.alias("r")).select(*by, "r.*").select(*df.columns)
 
 

@@ -58,7 +58,7 @@ def match_counts(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
     )
 
 
-def key_profile(df: DataFrame, on: Sequence[str], items: int = 64, tracked: int = 4096) -> tuple[int, list[int]]:
+def key_profile(df: DataFrame, on: Sequence[str], items: int = 200, tracked: int = 4096) -> tuple[int, list[int]]:
     """Approximate number of distinct keys, and hashes of the heavy ones, from one bounded pass.
 
     A key counts as heavy from half a percent of the rows. Both are hints: a wrong guess changes
@@ -75,7 +75,7 @@ def group_join(rows: DataFrame, stats: DataFrame, by: Sequence[str], how: str =
     """Attach per-key statistics (one row per key, derived from ``rows``) back to the rows.
 
     Few keys (measured): the statistics are broadcast. Many keys: only those of the heavy keys are,
-    at most 64 rows, and rows of the other keys, none of which is large, join as usual. No key's
+    at most 200 rows, and rows of the other keys, none of which is large, join as usual. No key's
     rows are gathered either way.
     """
     if how not in ("inner", "left"):
@@ -117,13 +117,13 @@ def join_by_position(left: DataFrame, left_order: Sequence[str], right: DataFram
     return l.join(r, "pos", "full")
 
 
-def pairs_of_levels(df: DataFrame, key: str, levels: Sequence[str], stat: Column, name: str) -> DataFrame:
-    """All ordered pairs of a few declared levels with the difference of their statistic.
+def pairs_of_levels(df: DataFrame, key: str, stat: Column, name: str) -> DataFrame:
+    """All ordered pairs of the few levels of ``key`` with the difference of their statistic.
 
-    The table is reduced to one row with one statistic per declared level; the pairs come from
-    exploding that row twice, so the expansion depends on the declared list only.
+    The table is reduced to one row with one statistic per level; the pairs come from exploding
+    that row twice, so the expansion depends on the number of levels only.
     """
-    stats = df.filter(F.col(key).isin(list(levels))).groupBy(key).agg(stat.alias("__s"))
+    stats = df.filter(F.col(key).isNotNull()).groupBy(key).agg(stat.alias("__s"))
     row = stats.agg(F.map_from_entries(F.collect_list(F.struct(key, "__s"))).alias("m"))
     a = row.select("m", F.explode("m").alias("level_a", "stat_a"))
     b = a.select("level_a", "stat_a", F.explode("m").alias("level_b", "stat_b"))

@@ -50,24 +50,35 @@ def slice_count(df: DataFrame) -> int:
     return max(2, min(MAX_SLICES, 2 * partitions))
 
 
+def sort_sample(rows: list) -> list:
+    """The keys in Spark's order: nulls first, NaN last."""
+
+    def place(value):
+        if value is None:
+            return (0,)
+        if isinstance(value, float) and value != value:
+            return (2,)
+        return (1, value.encode() if isinstance(value, str) else value)
+
+    return sorted((r["key"] for r in rows), key=lambda k: [place(v) for v in k])
+
+
 def split_points(df: DataFrame, keys: Sequence[str | Column], slices: int | None = None) -> list:
     """Ascending key tuples that cut ``df`` into slices of similar size.
 
     An empty list means the table has fewer rows than the sample, so one slice is enough.
-    Only the sample (``slices * ROWS_PER_SLICE`` rows) reaches the driver.
+    Only the sample, about ``slices * ROWS_PER_SLICE`` rows, reaches the driver.
     """
     slices = slices or slice_count(df)
     size = slices * ROWS_PER_SLICE
-    sample = (
-        df.select(order_struct(keys).alias("key"))
-        .orderBy(F.rand(7))
-        .limit(size)
-        .orderBy("key")
-        .collect()
-    )
-    if len(sample) < size:
+    # each row is drawn by itself, so the sample needs no sort and no single task
+    rows = df.select(order_struct(keys).alias("key"))
+    total = rows.count()
+    if total <= size:
         return []
-    picked = [sample[i]["key"] for i in range(ROWS_PER_SLICE, size, ROWS_PER_SLICE)]
+    sample = sort_sample(rows.sample(fraction=size / total, seed=7).collect())
+    step = max(1, len(sample) // slices)
+    picked = [sample[i] for i in range(step, len(sample), step)]
     return [p for i, p in enumerate(picked) if i == 0 or p != picked[i - 1]]
 
 

@@ -9,17 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from riskframe.functions.numbers import close_to
-from riskframe.operators.joins import group_join
+from riskframe.functions.text import literal
+from riskframe.operators.joins import full_join, group_join
 from riskframe.operators.ordered import positions
 from riskframe.session import materialize
 
 
+SIX_DIGITS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
-    """SHA-256 over all columns, nulls included: a short stand-in for wide or long values."""
+    """SHA-256 over all columns, nulls included: a short stand-in for wide or long values.
+
+    Times keep their microseconds; every double has one spelling, so none are merged.
+    """
     if len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, StringType):
         return F.coalesce(F.sha2(F.col(columns[0]), 256), F.lit("missing"))
-    fields = F.struct(*[F.col(c) for c in columns])
-    return F.sha2(F.to_json(fields, {"ignoreNullFields": "false"}), 256)
+    exact = {"ignoreNullFields": "false", "timestampFormat": SIX_DIGITS, "timestampNTZFormat": SIX_DIGITS}
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns]), exact), 256)
 
 
 def duplicate_flags(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
@@ -98,10 +105,10 @@ def in_range(x: str | Column, low: float, high: float) -> Column:
 def parse_fields(df: DataFrame, raw: str, fields: dict[str, str], sep: str = ",") -> DataFrame:
     """Split a delimited line into typed columns plus ``error`` (null for good rows).
 
-    ``fields`` maps column names to types; a wrong field count or an unparsable value is
+    ``sep`` is taken as it is. ``fields`` maps column names to types; a wrong field count or an unparsable value is
     reported with a reason instead of failing the job.
     """
-    parts = F.split(F.col(raw), sep)
+    parts = F.split(F.col(raw), literal(sep), -1)
     n = len(fields)
     typed = {}
     bad = F.lit(False)
@@ -112,8 +119,8 @@ def parse_fields(df: DataFrame, raw: str, fields: dict[str, str], sep: str = ","
             bad = bad | typed[name].isNull()
     error = F.when(
         F.size(parts) != n,
-        F.concat(F.lit(f"expected {n} fields, got "), F.size(parts).cast("string")),
-    ).when(bad, F.lit("bad number"))
+        F.concat(F.size(parts).cast("string"), F.lit(f" fields instead of {n}")),
+    ).when(bad, F.lit("not a number"))
     return df.withColumns({**typed, "error": error})
 
 
@@ -126,6 +133,6 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def all_close(a: DataFrame, b: DataFrame, key: Sequence[str], column: str, rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:
     """One row: whether two keyed columns agree within tolerance, and by how much they differ."""
     right = b.select(*key, F.col(column).alias("__other"))
-    both = a.select(*key, column).join(right, list(key), "full")
+    both = full_join(a.select(*key, column), right, list(key))
     ok = F.coalesce(close_to(column, "__other", rtol, atol), F.lit(False))
     return both.agg(F.bool_and(ok).alias("all_close"), F.count(F.lit(1)).alias("n_rows"))

@@ -195,12 +195,17 @@ def balance_after(balance, annual_rate: float, payment, months) -> Column:
 
 
 def payoff_schedule(df: DataFrame, balance: str, annual_rate: float, payment: str) -> DataFrame:
-    """One row per account and month, computed without stepping through the months."""
+    """One row per account and month, computed without stepping through the months.
+
+    ``status`` is ``paying``, ``settled`` (nothing is owed) or ``never`` (the payment does not cover
+    the interest); accounts of the last two keep one row without a month.
+    """
     n = months_to_payoff(balance, annual_rate, payment)
-    months = df.withColumn("n_months", n).filter("n_months > 0").withColumn(
-        "month", F.explode(F.sequence(F.lit(1), F.col("n_months")))
-    )
-    return months.withColumn("remaining", balance_after(balance, annual_rate, payment, "month"))
+    status = F.when(F.col("n_months").isNull(), "never").when(F.col("n_months") > 0, "paying").otherwise("settled")
+    steps = F.when(F.col("n_months") > 0, F.sequence(F.lit(1), F.greatest("n_months", F.lit(1))))
+    months = df.withColumn("n_months", n).withColumn("status", status).withColumn("month", F.explode_outer(steps))
+    left = balance_after(balance, annual_rate, payment, "month")
+    return months.withColumn("remaining", F.when(F.col("month").isNotNull(), left))
 
 
 def periods_to_target(start, rate: float, target) -> Column:

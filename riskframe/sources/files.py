@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from riskframe.functions.text import literal
+
+#: How text is read: doubled quotes, "" for an empty text. Nothing at all stands for null, which the
+#: parser marks by a character of its own so that it differs from an empty text.
+CSV_TEXT = {"quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000"}
 
 LOANS_SCHEMA = """application_id long, application_date date, applicant_age int, annual_income double,
 credit_score double, employment_status string, home_ownership string, num_dependents int,
@@ -20,16 +26,44 @@ open_credit_lines int, last_delinquency_date date"""
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], schema: str | StructType, sep: str = ",",
     date_format: str = "yyyy-MM-dd", columns: Sequence[str] | None = None, header: bool = True,
+    corrupt: str | None = None,
 ) -> DataFrame:
-    """Typed CSV scan: blanks are null, quotes protect separators, ``columns`` prunes the parse."""
-    df = (
-        spark.read.schema(schema)
-        .option("header", header).option("sep", sep)
-        .option("quote", '"').option("escape", '"')
-        .option("dateFormat", date_format).option("mode", "PERMISSIVE")
-        .csv(path if isinstance(path, str) else list(path))
-    )
-    return df.select(*columns) if columns else df
+    """Typed CSV scan: blanks are null, a quoted empty text is empty, quotes protect separators,
+    quotes and line ends.
+
+    With a header, columns are found by name in any order, and a name that a file lacks is an
+    error. ``columns`` prunes the result; ``corrupt`` adds a column with the raw text of rows that
+    do not fit the schema.
+    """
+    wanted = read_schema(schema)
+    paths = [path] if isinstance(path, str) else list(path)
+
+    def scan(files: list[str], fields: StructType) -> DataFrame:
+        if corrupt:
+            fields = StructType([*fields, StructField(corrupt, StringType())])
+        reader = (
+            spark.read.schema(fields).options(**CSV_TEXT)
+            .option("header", header).option("enforceSchema", not header).option("sep", sep).option("multiLine", True)
+            .option("dateFormat", date_format).option("mode", "PERMISSIVE")
+        )
+        return (reader.option("columnNameOfCorruptRecord", corrupt) if corrupt else reader).csv(files)
+
+    if header:
+        names = spark.read.options(**CSV_TEXT).option("header", True).option("sep", sep).csv(paths).columns
+        missing = [f.name for f in wanted if f.name not in names]
+        if missing and names:
+            raise ValueError(f"no column {', '.join(missing)} in the header")
+        in_file = StructType([wanted[n] if n in wanted.fieldNames() else StructField(n, StringType()) for n in names])
+        df = scan(paths, in_file if names else wanted)
+        df = df.select(*wanted.fieldNames(), *([corrupt] if corrupt else []))
+    else:
+        df = scan(paths, wanted)
+    return df.select(*columns, *([corrupt] if corrupt else [])) if columns else df
+
+
+def split_corrupt(df: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and the raw text of the others, of a scan with a ``corrupt`` column."""
+    return df.where(F.col(corrupt).isNull()).drop(corrupt), df.where(F.col(corrupt).isNotNull()).select(corrupt)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | StructType, **options) -> DataFrame:
@@ -55,17 +89,18 @@ def parse_json(df: DataFrame, column: str, schema: str, name: str = "rec") -> Da
 
 
 def explode_delimited(df: DataFrame, column: str, row_sep: str, field_sep: str, fields: Sequence[str]) -> DataFrame:
-    """One long delimited text to one row per entry with named string fields."""
+    """One long delimited text to one row per entry with named string fields; separators are literal."""
     keep = [c for c in df.columns if c != column]
-    rows = df.select(*keep, F.posexplode(F.split(column, row_sep)).alias("entry_no", "__e"))
-    parts = F.split("__e", field_sep)
+    rows = df.select(*keep, F.posexplode(F.split(column, literal(row_sep))).alias("entry_no", "__e"))
+    parts = F.split("__e", literal(field_sep))
     return rows.select(
         *keep, "entry_no", *[F.trim(F.get(parts, F.lit(i))).alias(f) for i, f in enumerate(fields)]
     )
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True) -> None:
-    df.write.mode(mode).option("header", header).csv(path)
+    """CSV that ``read_csv`` reads back unchanged, line ends and quotes included."""
+    df.write.mode(mode).options(quote='"', escape='"', emptyValue='""', nullValue="", lineSep="\n").option("header", header).csv(path)
 
 
 def append_csv(df: DataFrame, path: str) -> None:
