@@ -67,13 +67,18 @@ def prof_describe(t):
     return rounded_describe(P.describe(t.lineitem, LINE), ["column"])
 
 
-@query(" UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", sum(freq)::BIGINT AS "count", count(*) AS "unique",
-    first({c} ORDER BY freq DESC, {c}) AS top, max(freq) AS freq
+TEXTS = ("c_mktsegment", "c_name")
+
+
+@query(describe_sql(["c_custkey", "c_nationkey", "c_acctbal"], "customer").replace(
+    " FROM customer", """, NULL::BIGINT AS "unique", NULL AS top, NULL::BIGINT AS freq FROM customer""") + " UNION ALL " + " UNION ALL ".join(
+    f"""SELECT '{c}', sum(freq)::BIGINT, NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*),
+    first({c} ORDER BY freq DESC, {c}), max(freq)
     FROM (SELECT {c}, count(*) AS freq FROM customer WHERE {c} IS NOT NULL GROUP BY 1)"""
-    for c in ("c_mktsegment", "c_name")))
+    for c in TEXTS))
 def prof_describe_all(t):
-    return P.describe_text(t.customer, ["c_mktsegment", "c_name"])
+    rows = t.customer.select("c_custkey", "c_nationkey", "c_acctbal", *TEXTS)
+    return rounded_describe(P.describe_all(rows), ["column", "unique", "top", "freq"])
 
 
 @query(describe_sql(["o_totalprice"], "orders", "o_orderstatus"))

@@ -136,28 +136,35 @@ def bin_hist_edges(t):
     return S.histogram(t.customer, "c_acctbal", 22, -1000, 500).select("bin", r("low").alias("low"), "cnt")
 
 
-@query("""SELECT scale, least(floor((x - 0) / w), 9)::INT AS bin, count(*) AS cnt FROM
-          (SELECT 'log10' AS scale, log10(value + 1) AS x, 0.3 AS w FROM events WHERE value + 1 > 0
-           UNION ALL SELECT 'log1p', ln(1 + value), 0.7 FROM events)
-          WHERE x >= 0 AND x <= 10 * w GROUP BY 1, 2""")
+@query("""WITH x AS (SELECT 'log10' AS scale, log10(value + 1) AS x FROM events WHERE value > -1
+                     UNION ALL SELECT 'log1p', ln(1 + value) FROM events WHERE value > -1),
+          s AS (SELECT scale, min(x) AS lo, (max(x) - min(x)) / 10 AS w FROM x GROUP BY 1)
+          SELECT scale, g.bin::INT AS bin, round(lo + g.bin * w, 6) AS low, coalesce(cnt, 0) AS cnt
+          FROM s CROSS JOIN (SELECT unnest(range(10)) AS bin) g
+          LEFT JOIN (SELECT scale, least(floor((x - lo) / w), 9)::INT AS bin, count(*) AS cnt FROM x JOIN s USING (scale) GROUP BY 1, 2) c USING (scale, bin)""")
 def bin_hist_log(t):
-    v = F.col("value")
-    log10 = t.events.filter(v + 1 > 0).select(F.lit("log10").alias("scale"), B.equal_width(F.log10(v + 1), F.lit(0.0), F.lit(0.3), 10).alias("bin"))
-    log1p = t.events.select(F.lit("log1p").alias("scale"), B.equal_width(F.log1p(v), F.lit(0.0), F.lit(0.7), 10).alias("bin"))
-    return log10.unionByName(log1p).filter("bin IS NOT NULL").groupBy("scale", "bin").agg(N().alias("cnt"))
+    rows = t.events.filter("value > -1")
+    logs = {"log10": F.log10(F.col("value") + 1), "log1p": F.log1p("value")}
+    parts = [
+        S.histogram(rows.select(x.alias("x")), "x", 10).select(F.lit(scale).alias("scale"), "bin", r("low").alias("low"), "cnt")
+        for scale, x in logs.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
-@query("""WITH b AS (SELECT event_type, least(floor(value / 10), 49)::INT AS bin FROM events WHERE value BETWEEN 0 AND 500),
-          c AS (SELECT event_type, bin, count(*) AS cnt FROM b GROUP BY 1, 2)
+@query("""WITH s AS (SELECT min(value) AS lo, max(value) AS hi, (max(value) - min(value)) / 50 AS w FROM events),
+          c AS (SELECT event_type, least(floor((value - lo) / w), 49)::INT AS bin, any_value(w) AS w, count(*) AS cnt FROM events, s GROUP BY 1, 2)
           SELECT event_type, bin, cnt, round(cnt * 100.0 / sum(cnt) OVER (PARTITION BY event_type), 6) AS pct,
-          round(cnt / 10.0 / sum(cnt) OVER (PARTITION BY event_type), 8) AS density FROM c""")
+          round(cnt / w / sum(cnt) OVER (PARTITION BY event_type), 8) AS density FROM c""")
 def bin_hist_norm(t):
-    return S.histogram_by(t.events, "value", "event_type", 0, 10, 50).select(
+    return S.histogram_by(t.events, "value", "event_type", 50).select(
         "event_type", "bin", "cnt", r("pct").alias("pct"), r("density", 8).alias("density")
     )
 
 
-@query("""SELECT least(floor(l_quantity / 5), 9)::INT AS x_bin, least(floor(l_extendedprice / 10000), 19)::INT AS y_bin, count(*) AS cnt
-          FROM lineitem WHERE l_quantity BETWEEN 0 AND 50 AND l_extendedprice BETWEEN 0 AND 200000 GROUP BY 1, 2""")
+@query("""WITH s AS (SELECT min(l_quantity) AS xl, (max(l_quantity) - min(l_quantity)) / 10 AS xw,
+                            min(l_extendedprice) AS yl, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS yw FROM lineitem)
+          SELECT least(floor((l_quantity - xl) / xw), 9)::INT AS x_bin, least(floor((l_extendedprice - yl) / yw), 19)::INT AS y_bin,
+          count(*) AS cnt FROM lineitem, s GROUP BY 1, 2""")
 def bin_hist_2d(t):
-    return S.histogram_2d(t.lineitem, "l_quantity", "l_extendedprice", 0, 5, 10, 0, 10000, 20)
+    return S.histogram_2d(t.lineitem, "l_quantity", "l_extendedprice", 10, 20)

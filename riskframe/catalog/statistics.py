@@ -106,7 +106,30 @@ def stat_polyfit2(t):
     return fit.select(r("a0", 3).alias("a0"), r("a1", 4).alias("a1"), r("a2", 5).alias("a2"))
 
 
-@query()
+def logit_sql(x1, x2, y, table, steps=8):
+    """Newton steps of a logistic fit with two features, each one a pass over the rows."""
+    def det(a, b, c):
+        return (f"({a[0]} * ({b[1]} * {c[2]} - {c[1]} * {b[2]}) - {b[0]} * ({a[1]} * {c[2]} - {c[1]} * {a[2]})"
+                f" + {c[0]} * ({a[1]} * {b[2]} - {b[1]} * {a[2]}))")
+
+    x = ["1.0", "x1", "x2"]
+    h = [[f"h{min(i, j)}{max(i, j)}" for i in range(3)] for j in range(3)]  # columns of the Hessian
+    g = ["g0", "g1", "g2"]
+    sums = [f"sum(w * {x[i]} * {x[j]}) AS h{i}{j}" for i in range(3) for j in range(i, 3)]
+    sums += [f"sum(e * {x[i]}) AS g{i}" for i in range(3)]
+    better = [f"b{k} + {det(*[g if j == k else h[j] for j in range(3)])} / {det(*h)} AS b{k}" for k in range(3)]
+    ctes = [f"d AS MATERIALIZED (SELECT {x1} AS x1, {x2} AS x2, ({y})::INT AS y FROM {table})",
+            "s0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"]
+    for k in range(steps):
+        p = f"SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM d, s{k}"
+        ctes.append(f"t{k} AS MATERIALIZED (SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2, {', '.join(sums)}"
+                    f" FROM (SELECT *, p * (1 - p) AS w, y - p AS e FROM ({p})))")
+        ctes.append(f"s{k + 1} AS MATERIALIZED (SELECT {', '.join(better)} FROM t{k})")
+    terms = " UNION ALL ".join(f"SELECT '{n}' AS term, round(b{k}, 4) AS coefficient FROM s{steps}" for k, n in enumerate(["intercept", x1, x2]))
+    return f"WITH {', '.join(ctes)} {terms}"
+
+
+@query(logit_sql("l_quantity", "l_discount", "l_returnflag = 'R'", "lineitem"))
 def stat_logit(t):
     rows = t.lineitem.select("l_quantity", "l_discount", flag(F.col("l_returnflag") == "R").alias("returned"))
     return S.logistic_fit(rows, ["l_quantity", "l_discount"], "returned").select("term", r("coefficient", 4).alias("coefficient"))
@@ -160,11 +183,10 @@ def stat_extreme(t):
 
 
 @query("""WITH s AS (SELECT event_type, count(*) AS n, min(value) AS lo, max(value) AS hi, pow(count(*), -0.2) * stddev_samp(value) AS h FROM events GROUP BY 1),
-          b AS (SELECT event_type, least(floor((value - lo) / ((hi - lo) / 2000)), 1999) AS bin, count(*) AS cnt FROM events JOIN s USING (event_type) GROUP BY 1, 2),
-          g AS (SELECT *, lo - 3 * h + i * ((hi - lo + 6 * h) / 199.0) AS x FROM s, (SELECT unnest(range(200)) AS i))
-          SELECT event_type, i::INT AS i, round(any_value(x), 5) AS x, round(sum(cnt * exp(-0.5 * pow((x - (lo + (bin + 0.5) * ((hi - lo) / 2000))) / h, 2)) / (n * h * sqrt(2 * pi()))), 7) AS density,
-          round(sum(cnt * exp(-0.5 * pow((x - (lo + (bin + 0.5) * ((hi - lo) / 2000))) / h, 2)) / (n * h * sqrt(2 * pi()))) * any_value(n) / (SELECT count(*) FROM events), 8) AS joint_density
-          FROM g JOIN b USING (event_type) GROUP BY 1, 2""")
+          g AS (SELECT *, lo - 3 * h + i * ((hi - lo + 6 * h) / 199.0) AS x FROM s, (SELECT unnest(range(200)) AS i)),
+          k AS (SELECT event_type, i, any_value(x) AS x, any_value(n) AS n, sum(exp(-0.5 * pow((x - value) / h, 2)) / (n * h * sqrt(2 * pi()))) AS density
+                FROM g JOIN (SELECT event_type, value FROM events) e USING (event_type) GROUP BY 1, 2)
+          SELECT event_type, i::INT AS i, round(x, 5) AS x, round(density, 7) AS density, round(density * n / (SELECT count(*) FROM events), 8) AS joint_density FROM k""")
 def stat_kde(t):
     out = S.kde(t.events, "value", ["event_type"])
     share = F.col("share")

@@ -38,7 +38,7 @@ def stream_flag_sequence(t):
 
 @query("SELECT user_id, round(sum(value), 4) AS total, count(*) AS n FROM events GROUP BY 1")
 def stream_running_total(t):
-    out = M.drain_state_table(M.running_totals(event_stream(t), "user_id", "value"))
+    out = M.drain_state_table(M.running_totals(event_stream(t), "user_id", "value"), ["user_id"])
     return out.withColumn("total", r("total", 4))
 
 
@@ -56,14 +56,16 @@ def stream_fraud_monitor(t):
 @query(FRAUD_SQL + """SELECT customer, count(*) AS txn_count, round(sum(amount), 2) AS total_amount, max(risk_score) AS max_risk_score,
           sum((risk_score > 5)::INT)::BIGINT AS n_flagged FROM d GROUP BY 1""")
 def stream_fraud_summary(t):
-    out = M.drain_state_table(M.fraud_summary(transaction_stream(t)))
+    out = M.drain_state_table(M.fraud_summary(transaction_stream(t)), ["customer"])
     return out.withColumn("total_amount", r("total_amount", 2))
 
 
-@query("SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+@query("""SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n, round(sum(value), 4) AS total, round(avg((event_type = 'error')::INT), 6) AS rate
+          FROM events GROUP BY 1""")
 def stream_monthly(t):
-    out = M.drain_state_table(M.windowed_volume(event_stream(t), "ts", "value"))
-    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n", r("total", 4).alias("total"))
+    days = M.windowed_volume(event_stream(t), "ts", "value", hit=F.col("event_type") == "error")
+    out = M.monthly(M.drain_state_table(days, ["window_start"]))
+    return out.select("month", "n", r("total", 4).alias("total"), r("rate").alias("rate"))
 
 
 @query("SELECT event_id FROM events")

@@ -43,13 +43,13 @@ def cut(x, edges: Sequence[float], labels: Sequence[str]) -> Column:
     return out
 
 
-def equal_width(x, low, width, bins: int) -> Column:
+def equal_width(x, low, width, bins: int, high=None) -> Column:
     """0-based bin of an equal-width histogram; the last bin is closed on both sides.
 
-    Values outside the range are null, and a zero width puts everything in bin 0.
+    Values outside the range are null, and a zero width puts everything in bin 0. Where the range
+    is that of the data, ``high`` is its maximum, which ``low + width * bins`` may just miss.
     """
     col, low, width = _c(x), _c(low), _c(width)
+    high = low + width * bins if high is None else _c(high)
     raw = F.coalesce(F.floor(F.try_divide(col - low, width)), F.lit(0))
-    return F.when(
-        (col >= low) & (col <= low + width * bins), F.least(raw, F.lit(bins - 1)).cast("int")
-    )
+    return F.when((col >= low) & (col <= high), F.least(raw, F.lit(bins - 1)).cast("int"))

@@ -93,6 +93,8 @@ def group_join(rows: DataFrame, stats: DataFrame, by: Sequence[str], how: str =
 
 def average_sources(sources: Sequence[DataFrame], key: str, value: str, min_sources: int = 1) -> DataFrame:
     """Mean over the sources that know a key, for keys known to at least ``min_sources``."""
+    if len(sources) > 62:
+        raise ValueError("at most 62 sources")
     stacked = None
     for i, s in enumerate(sources):
         part = s.select(key, F.col(value).cast("double").alias("v"), F.lit(1 << i).alias("src"))

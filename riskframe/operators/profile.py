@@ -97,7 +97,7 @@ def describe(
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, unique, most frequent value and its frequency; ties go to the smallest value."""
-    long = df.select(*columns).unpivot([], list(columns), "column", "value")
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("freq")
     )
@@ -108,6 +108,15 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def describe_all(df: DataFrame, **options) -> DataFrame:
+    """Numbers and all other columns in one report; what does not apply to a column is null."""
+    numbers = numeric_columns(df)
+    others = [c for c in df.columns if c not in numbers]
+    if not (numbers and others):
+        return describe(df, numbers, **options) if numbers else describe_text(df, others)
+    return describe(df, numbers, **options).unionByName(describe_text(df, others), allowMissingColumns=True)
+
+
 def head(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

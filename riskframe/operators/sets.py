@@ -23,6 +23,8 @@ def _presence(sets: Sequence[DataFrame]) -> DataFrame:
     Every set operation below is a filter on it: one shuffle of locally combined keys for any
     number of sets, and a value that fills a third of a set is one row per task.
     """
+    if len(sets) > 62:
+        raise ValueError("at most 62 sets")
     key = sets[0].columns
     bits = concat(*[s.toDF(*key).withColumn("__bit", F.lit(1 << i)) for i, s in enumerate(sets)])
     return bits.groupBy(*key).agg(F.bit_or("__bit").alias("__bits"))

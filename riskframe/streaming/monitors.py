@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from riskframe.operators.ordered import positions
 from riskframe.plans.risk import customer_summary, score_transactions
-from riskframe.session import work_dir
+from riskframe.session import materialize, work_dir
 
 
 def read_parquet_stream(spark: SparkSession, folder: str, file_glob: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -44,14 +44,16 @@ def flag_sequence(stream: DataFrame, condition: Column, key: str, order: Sequenc
     """Items that meet the condition, numbered 1, 2, 3, ... per key across micro-batches.
 
     Numbers within a batch come from the batch operator, which splits hot keys; the count per key
-    so far is a small table per batch id. Both are written under ``base`` and named by batch id, so
-    a retried batch overwrites its own output and a restarted stream picks up the last state.
+    so far is a small table per batch id. Both are written under ``base`` and named by batch id, next
+    to the stream's checkpoint: a retried batch overwrites its own output, and a later call with the
+    same ``base`` goes on after the last batch, with the items that are new.
     """
     spark = stream.sparkSession
     flagged = stream.filter(condition)
     counts_schema = StructType([flagged.schema[key], StructField("n", LongType())])
 
     def number(batch: DataFrame, batch_id: int) -> None:
+        batch = materialize(batch, "sequence-batch")
         before = spark.createDataFrame([], counts_schema)
         if batch_id > 0:
             before = spark.read.schema(counts_schema).parquet(f"{base}/counts/batch={batch_id - 1}")
@@ -64,7 +66,7 @@ def flag_sequence(stream: DataFrame, condition: Column, key: str, order: Sequenc
             "overwrite"
         ).parquet(f"{base}/counts/batch={batch_id}")
 
-    run_available(flagged, number)
+    run_available(flagged, number, checkpoint=f"{base}/checkpoint")
     schema = StructType([*flagged.schema.fields, StructField("seq", LongType())])
     items = read_or_none(spark, f"{base}/items", schema)
     return spark.createDataFrame([], schema) if items is None else items
@@ -79,13 +81,23 @@ def fraud_summary(stream: DataFrame, customer: str = "customer") -> DataFrame:
     return customer_summary(score_transactions(stream), customer)
 
 
-def windowed_volume(stream: DataFrame, ts: str, value: str, length: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Count and total per event-time window; late items beyond ``delay`` are dropped."""
-    return (
-        stream.withWatermark(ts, delay)
-        .groupBy(F.window(ts, length))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
-        .select(F.col("window.start").alias("window_start"), "n", "total")
+def windowed_volume(
+    stream: DataFrame, ts: str, value: str, length: str = "1 day", delay: str = "1 hour", hit: Column | None = None
+) -> DataFrame:
+    """Count and total per event-time window, and how many rows are a ``hit``.
+
+    Late items beyond ``delay`` are dropped, and so is the state of windows they would fall in.
+    """
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")]
+    aggs += [] if hit is None else [F.count_if(hit).alias("hits")]
+    out = stream.withWatermark(ts, delay).groupBy(F.window(ts, length)).agg(*aggs)
+    return out.select(F.col("window.start").alias("window_start"), *out.columns[1:])
+
+
+def monthly(days: DataFrame) -> DataFrame:
+    """Volume, total and hit rate per month from daily windows."""
+    return days.groupBy(F.date_format("window_start", "yyyy-MM").alias("month")).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), (F.sum("hits") / F.sum("n")).alias("rate")
     )
 
 
@@ -94,12 +106,17 @@ def dedupe(stream: DataFrame, key: str, ts: str, delay: str = "1 hour") -> DataF
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def run_available(stream: DataFrame, on_batch: Callable[[DataFrame, int], Any], mode: str = "append") -> None:
-    """Process everything available, handing each micro-batch to ``on_batch``, then stop."""
+def run_available(
+    stream: DataFrame, on_batch: Callable[[DataFrame, int], Any], mode: str = "append", checkpoint: str | None = None
+) -> None:
+    """Process everything available, handing each micro-batch to ``on_batch``, then stop.
+
+    With a ``checkpoint`` folder of an earlier run only what is new since then is processed.
+    """
     spark = stream.sparkSession
     query = (
         stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", work_dir(spark, "stream"))
+        .option("checkpointLocation", checkpoint or work_dir(spark, "stream"))
         .trigger(availableNow=True)
         .foreachBatch(on_batch)
         .start()
@@ -126,25 +143,27 @@ def drain_to_table(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def drain_state_table(stream: DataFrame, mode: str = "complete") -> DataFrame:
-    """Final state of an aggregate: every batch overwrites the folder of its own batch id.
+def drain_state_table(stream: DataFrame, keys: Sequence[str], base: str | None = None) -> DataFrame:
+    """Current state of an aggregate, one row per ``keys``, from update mode.
 
-    A retried batch rewrites the same folder, so the sink is idempotent; the highest batch id holds
-    the current state.
+    A batch writes just the groups it changed, to a folder named by its batch id, so a retried batch
+    overwrites its own; a group's last write counts. A ``base`` used before goes on after its last
+    batch.
     """
     spark = stream.sparkSession
-    base = work_dir(spark, "stream-state")
+    base = base or work_dir(spark, "stream-state")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{base}/state/batch={batch_id}")
 
-    run_available(stream, store, mode)
+    run_available(stream, store, "update", f"{base}/checkpoint")
     schema = StructType([*stream.schema.fields, StructField("batch", LongType())])
-    states = read_or_none(spark, base, schema)
+    states = read_or_none(spark, f"{base}/state", schema)
     if states is None:  # nothing has arrived yet
         return spark.createDataFrame([], stream.schema)
-    current = states.agg(F.max("batch")).scalar()
-    return states.filter(F.col("batch") == current).drop("batch")
+    values = [c for c in stream.columns if c not in keys]
+    last = states.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("__s"))
+    return last.select(*keys, "__s.*").select(stream.columns)
 
 
 def read_or_none(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:

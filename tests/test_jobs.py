@@ -198,7 +198,7 @@ def test_sequence_runs_across_batches(spark, arriving, tmp_path):
 
 
 def test_running_totals_and_batches(arriving):
-    totals = {r.k: r.total for r in M.drain_state_table(M.running_totals(arriving, "k", "v")).collect()}
+    totals = {r.k: r.total for r in M.drain_state_table(M.running_totals(arriving, "k", "v"), ["k"]).collect()}
     assert totals == {0: 30.0, 1: 36.0}
     merged = M.reduce_batches(arriving, ["k"], {"n": (F.count(F.lit(1)), F.sum)})
     assert {r.k: r.n for r in merged.collect()} == {0: 6, 1: 6}
@@ -207,7 +207,7 @@ def test_running_totals_and_batches(arriving):
 def test_streams_without_data_give_empty_results(spark, tmp_path):
     spark.range(1).select("id", F.col("id").alias("k"), F.lit(1.0).alias("v")).write.parquet(str(tmp_path / "shape"))
     empty = spark.readStream.schema("id long, k long, v double").parquet(str(tmp_path / "shape") + "/none*")
-    assert M.drain_state_table(M.running_totals(empty, "k", "v")).count() == 0
+    assert M.drain_state_table(M.running_totals(empty, "k", "v"), ["k"]).count() == 0
     assert M.reduce_batches(empty, ["k"], {"n": (F.count(F.lit(1)), F.sum)}).count() == 0
     assert M.flag_sequence(empty, F.col("v") > 0, "k", ["id"], str(tmp_path / "s")).count() == 0
 
@@ -220,7 +220,7 @@ def test_stream_filter_and_dedupe(arriving):
 
 
 def test_windowed_volume(arriving):
-    got = M.drain_state_table(M.windowed_volume(arriving, "ts", "v", "5 minutes")).orderBy("window_start").collect()
+    got = M.drain_state_table(M.windowed_volume(arriving, "ts", "v", "5 minutes"), ["window_start"]).orderBy("window_start").collect()
     assert [r.n for r in got] == [5, 5, 2]
 
 
@@ -230,5 +230,5 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
     stream = M.read_parquet_stream(spark, str(tmp_path / "txns"), "*.parquet")
     got = M.drain_to_table(M.fraud_monitor(stream)).orderBy("txn_id").collect()
     assert got == risk.score_transactions(batch).orderBy("txn_id").collect()
-    summary = M.drain_state_table(M.fraud_summary(stream)).orderBy("customer").collect()
+    summary = M.drain_state_table(M.fraud_summary(stream), ["customer"]).orderBy("customer").collect()
     assert summary == risk.customer_summary(risk.score_transactions(batch)).orderBy("customer").collect()
