@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +32,12 @@ from riskframe.session import materialize, ship_package
 
 #: Bounds of the fitted model: labelled rows, terms, and examples per block of the index.
 MAX_EXAMPLES, MAX_TERMS, BLOCK = 20_000, 4096, 64
-#: Runs that a task remembers.
-CACHED = 300_000
+#: Tokens that a task remembers, and bytes of text whose tokens it looks for together.
+CACHED, CHUNK_BYTES = 300_000, 1 << 20
 WORD = re.compile(r"[^\W\d_]+")
+#: ASCII letters and bytes of other characters as they are, all else as blanks.
+BLANK = 0x20
+LETTERS = np.array([i if i > 127 or chr(i).isalpha() else BLANK for i in range(256)], dtype=np.uint8)
 #: Lengths of the prefixes that are terms besides the word, for words that are inflected.
 PREFIXES = range(4, 10)
 #: Labelled texts that must have a term, as a number and as a share (a group of near copies alone
@@ -42,10 +45,15 @@ PREFIXES = range(4, 10)
 LEAST, LEAST_SHARE, PRIOR = 3, 0.01, 1.0
 
 
-def terms_of(run: bytes) -> list[str]:
-    """Terms of a run between ASCII white space: its lower-case words, and their prefixes."""
-    words = WORD.findall(run.decode("utf-8", "replace").lower())
-    return words + [f"{w[:n]}*" for w in words for n in PREFIXES if len(w) > n]
+def terms_of(word: str) -> list[str]:
+    """Terms of a lower-case word: itself and its prefixes."""
+    return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)]
+
+
+def head_hash(head: Sequence[np.ndarray]) -> np.ndarray:
+    """16 bits of the first four bytes of words, blanks behind short ones."""
+    a, b, c, d = (x.astype(np.uint32) for x in head)
+    return (((a << 24) | (b << 16) | (c << 8) | d) * np.uint32(0x9E3779B1)) >> np.uint32(16)
 
 
 def held_out(key: Column) -> Column:
@@ -54,25 +62,54 @@ def held_out(key: Column) -> Column:
 
 
 class Terms(dict):
-    """Numbers of the chosen terms in a run between ASCII white space, remembered."""
+    """Numbers of the chosen terms in a token, remembered; a token is a run of ASCII letters and of
+    bytes of other characters, in lower case."""
 
     def __init__(self, terms: dict[str, int]):
         super().__init__()
         self.terms = terms
-        #: A word whose first letters begin no term has none.
+        #: First letters of terms, and their hashes: an ASCII token whose own are not lit has no term.
+        self.lit = np.zeros(1 << 16, dtype=bool)
         self.heads = {t.rstrip("*")[: PREFIXES[0]] for t in terms}
+        self.lit[head_hash(np.frombuffer(b"".join(h.encode().ljust(4)[:4] for h in self.heads), np.uint8).reshape(-1, 4).T)] = True
 
-    def __missing__(self, run: bytes) -> tuple:
+    def __missing__(self, token: bytes) -> tuple:
         if len(self) > CACHED:
             self.clear()
-        words = WORD.findall(run.decode("utf-8", "replace").lower())
-        likely = any(w[: PREFIXES[0]] in self.heads for w in words)
-        found = self[run] = tuple(self.terms[t] for t in terms_of(run) if t in self.terms) if likely else ()
+        words = [w for w in WORD.findall(token.decode("utf-8", "replace")) if w[: PREFIXES[0]] in self.heads]
+        found = self[token] = tuple(self.terms[t] for w in words for t in terms_of(w) if t in self.terms) if words else ()
         return found
 
-    def count(self, text: str | None) -> Counter:
-        runs = (text or "").encode("utf-8", "replace").split()
-        return Counter(t for found in filter(None, map(self.__getitem__, runs)) for t in found)
+    def count(self, texts: Iterable[str | None]) -> Iterator[Counter]:
+        """The numbers of the terms in each text, with how often they occur."""
+        held: list[bytes] = []
+        size = 0
+        for text in texts:
+            held.append((text or "").lower().encode("utf-8", "replace"))
+            size += len(held[-1])
+            if size >= CHUNK_BYTES:
+                yield from self._count(held)
+                held, size = [], 0
+        yield from self._count(held)
+
+    def _count(self, texts: list[bytes]) -> list[Counter]:
+        data = b"\n".join([*texts, b"   "])
+        raw = LETTERS[np.frombuffer(data, np.uint8)]
+        inside = np.r_[False, raw != BLANK]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        head = [raw[starts]]
+        for i in (1, 2, 3):
+            head.append(np.where(head[-1] == BLANK, BLANK, raw[starts + i]))
+        high = np.r_[0, np.cumsum(raw > 127, dtype=np.int32)]
+        likely = self.lit[head_hash(head)] | (high[ends] > high[starts])
+        starts, ends = starts[likely], ends[likely]
+        doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+        out = [Counter() for _ in texts]
+        for d, a, b in zip(doc.tolist(), starts.tolist(), ends.tolist()):
+            if found := self[data[a:b]]:
+                out[d].update(found)
+        return out
 
 
 class Index:
@@ -197,8 +234,7 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
 
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                runs = set((text or "").encode("utf-8", "replace").split())
-                counts[y].update({w for r in runs for w in terms_of(r)})
+                counts[y].update({t for w in set(WORD.findall((text or "").lower())) for t in terms_of(w)})
                 if len(counts[0]) + len(counts[1]) > CACHED:
                     yield out()
                     counts = (Counter(), Counter())
@@ -225,8 +261,8 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, seen, total = Terms(numbers), Counter(), 0
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(find.count(text.as_py()).keys())
+            for counts in find.count(t.as_py() for t in batch.column(0)):
+                seen.update(counts.keys())
                 total += 1
         seen[-1] = total
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
@@ -238,7 +274,7 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Terms(numbers)
         for batch in batches:
-            counts = [find.count(t.as_py()) for t in batch.column(2)]
+            counts = list(find.count(t.as_py() for t in batch.column(2)))
             columns = [batch.column(0), batch.column(1)]
             columns += [pa.array([list(f(c)) for c in counts], pa.list_(pa.int32())) for f in (Counter.keys, Counter.values)]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "y", "terms", "counts"])
@@ -262,8 +298,7 @@ def score(documents: DataFrame, scorer: Scorer, key: str = "doc_id", threshold:
         kept: dict[tuple, tuple] = {}
         for batch in batches:
             scores, evidence = [], []
-            for text in batch.column(2):
-                counts = find.count(text.as_py())
+            for counts in find.count(t.as_py() for t in batch.column(2)):
                 sign = tuple(sorted(counts.items()))
                 if sign not in kept:
                     if len(kept) > 20_000:
