@@ -302,6 +302,22 @@ def test_toxicity_on_held_out_rows(spark, odd, empty):
     assert {r["score"] for r in rows(toxicity.score(odd, none))} == {0.0}
 
 
+def test_terms_of_chunks_are_those_of_words(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK_BYTES", 300)
+    words = ["a", "as", "añb", "aßa", "asadoes", "asados", "ΟΔΟΣ", "x²y", "é"]
+    terms = {t: i for i, t in enumerate(sorted({t for w in words[::2] for t in toxicity.terms_of(w.lower())}))}
+    marks = [" ", "\n", "_", "9", "\x85", "—", ", "]
+    texts = [None, "", "a", "9", LONG] + [
+        "".join(random.choice([*words, "ASADOES"]) + random.choice(marks) for _ in range(random.randint(0, 40))) for _ in range(200)
+    ]
+    brute = [
+        collections.Counter(terms[t] for w in toxicity.WORD.findall((x or "").lower()) for t in toxicity.terms_of(w) if t in terms)
+        for x in texts
+    ]
+    assert list(toxicity.Terms(terms).count(texts)) == brute
+    assert list(toxicity.Terms({}).count(["a b", None])) == [collections.Counter()] * 2
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(3)
     idf = rng.random(30) + 0.5
