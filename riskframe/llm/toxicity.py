@@ -1,9 +1,9 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
 The examples are a bounded sample of the labelled rows, ``MAX_EXAMPLES`` by a hash of the id. Terms
-are the words and word prefixes whose presence goes with the label in the sample beyond the largest
-chi-square that chance gives among so many (twice the logarithm of their number), and at least
-doubles its rate; the strongest ``MAX_TERMS``. Document frequencies of the terms are counted over all documents.
+are the words and word prefixes in at least ``LEAST`` distinct toxic texts of the sample whose presence
+goes with the label beyond the largest chi-square that chance gives among so many (twice the logarithm
+of their number), and at least doubles its rate; the strongest ``MAX_TERMS``. Document frequencies of the terms are counted over all documents.
 
 The index numbers the examples in blocks and keeps, for every term, postings by block and the
 largest weight in each block. A search adds these maxima to an upper bound per block, visits blocks
@@ -40,9 +40,8 @@ BLANK = 0x20
 LETTERS = np.array([i if i > 127 or chr(i).isalpha() else BLANK for i in range(256)], dtype=np.uint8)
 #: Lengths of the prefixes that are terms besides the word, for words that are inflected.
 PREFIXES = range(4, 10)
-#: Labelled texts that must have a term, as a number and as a share (a group of near copies alone
-#: makes no term), and the prior's weight among the votes.
-LEAST, LEAST_SHARE, PRIOR = 3, 0.01, 1.0
+#: Distinct toxic texts that must have a term, however many there are, and the prior's weight among the votes.
+LEAST, PRIOR = 3, 1.0
 
 
 def terms_of(word: str) -> list[str]:
@@ -249,7 +248,7 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     chi = F.lit(float(n)) * F.pow(a * (clean - b) - b * (toxic - a), 2) / ((a + b) * (n - a - b) * float(toxic) * float(clean))
     strong = (
-        per_term.where((a + b < n) & (a >= max(LEAST, LEAST_SHARE * toxic)))
+        per_term.where((a + b < n) & (a >= LEAST))
         .withColumn("chi", chi)
         .where((F.col("chi") >= 2 * float(np.log(tested))) & (a * n >= 2 * (a + b) * toxic))
         .orderBy(F.desc("chi"), "term")

@@ -302,6 +302,19 @@ def test_toxicity_on_held_out_rows(spark, odd, empty):
     assert {r["score"] for r in rows(toxicity.score(odd, none))} == {0.0}
 
 
+def test_rare_toxic_words_are_terms(spark):
+    ids = [i for i in range(8100) if zlib.crc32(str(i).encode()) % 4 != 2][:6000]
+    rare = [f"q{a}{b}" for a in "abcdefghijklmno" for b in "abcdefghij"]
+    data = [(i, f"{rare[n // 10 % 150]} oak elm ash {i}" if n % 10 == 0 else f"{random.choice(['fir', 'yew'])} oak elm ash {i}") for n, i in enumerate(ids)]
+    docs = spark.createDataFrame([*data, (9000, "oak qaa"), (9001, "oak elm")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(n % 10 == 0)) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    scorer = toxicity.fit(docs, labels)
+    # each rare word is in 4 of 600 toxic texts
+    assert set(rare) <= set(scorer.terms)
+    got = {r["doc_id"]: r["predicted"] for r in rows(toxicity.score(docs.where("doc_id >= 9000"), scorer))}
+    assert got == {9000: 1, 9001: 0}
+
+
 def test_terms_of_chunks_are_those_of_words(monkeypatch):
     monkeypatch.setattr(toxicity, "CHUNK_BYTES", 300)
     words = ["a", "as", "añb", "aßa", "asadoes", "asados", "ΟΔΟΣ", "x²y", "é"]
