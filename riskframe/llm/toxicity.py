@@ -3,7 +3,8 @@
 The examples are a bounded sample of the labelled rows, ``MAX_EXAMPLES`` by a hash of the id. Terms
 are the words and word prefixes in at least ``LEAST`` distinct toxic texts of the sample whose presence
 goes with the label beyond the largest chi-square that chance gives among so many (twice the logarithm
-of their number), and at least doubles its rate; the strongest ``MAX_TERMS``. Document frequencies of the terms are counted over all documents.
+of their number), with an odds ratio above 1; the strongest ``MAX_TERMS``. All of these counts are of
+distinct texts. Document frequencies of the terms are counted over all documents.
 
 The index numbers the examples in blocks and keeps, for every term, postings by block and the
 largest weight in each block. A search adds these maxima to an upper bound per block, visits blocks
@@ -12,7 +13,7 @@ Neighbours vote with the cubes of their cosines, beside a prior; votes become pr
 of the examples among each other. The neighbours are the evidence.
 
 Defined results: a text without terms (null and empty ones too) scores the smoothed rate of the
-label among examples without terms, and has no neighbours; ties in cosine go to the smaller id; ids
+label among distinct texts of examples without terms, and has no neighbours; ties in cosine go to the smaller id; ids
 labelled more than once count as toxic if one label says so; null ids are never examples; without
 labelled rows every score is 0; an empty table gives an empty result. Other columns are not read.
 """
@@ -220,8 +221,6 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
     texts = documents.select(F.col(key).alias("doc"), F.col("text").cast("string").alias("text"))
     # at most MAX_EXAMPLES rows of two numbers
     sample = materialize(texts.join(F.broadcast(chosen), "doc"), "toxicity-examples")
-    sizes = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
-    clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
@@ -239,18 +238,23 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
                     counts = (Counter(), Counter())
         yield out()
 
-    # copies of a text are one witness
-    per_term = sample.select("text", "y").distinct().mapInArrow(words, "term string, clean long, toxic long")
+    # copies of a text are one witness, in the terms' counts and in the totals
+    distinct = materialize(sample.select("text", "y").distinct(), "toxicity-texts")
+    witnesses = {r.y: r["count"] for r in distinct.groupBy("y").count().collect()}
+    clean, toxic = witnesses.get(0, 0), witnesses.get(1, 0)
+    per_term = distinct.mapInArrow(words, "term string, clean long, toxic long")
     per_term = materialize(per_term.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-terms")
     n = clean + toxic
+    # of one label alone nothing can be learnt
+    both = F.lit(clean > 0 and toxic > 0)
     clean, toxic = max(clean, 1), max(toxic, 1)
     tested = max(per_term.count(), 2)
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     chi = F.lit(float(n)) * F.pow(a * (clean - b) - b * (toxic - a), 2) / ((a + b) * (n - a - b) * float(toxic) * float(clean))
     strong = (
-        per_term.where((a + b < n) & (a >= LEAST))
+        per_term.where(both & (a + b < n) & (a >= LEAST))
         .withColumn("chi", chi)
-        .where((F.col("chi") >= 2 * float(np.log(tested))) & (a * n >= 2 * (a + b) * toxic))
+        .where((F.col("chi") >= 2 * float(np.log(tested))) & (a * (clean - b) > b * (toxic - a)))
         .orderBy(F.desc("chi"), "term")
         .limit(MAX_TERMS)
     )
@@ -281,7 +285,9 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
     kind = sample.schema["doc"].dataType.simpleString()
     vecs = sample.select("doc", "y", "text").mapInArrow(vectors, f"doc {kind}, y int, terms array<int>, counts array<int>")
     rows = [(r.doc, r.y, tuple(zip(r.terms, r.counts))) for r in vecs.where(F.size("terms") > 0).collect()]
-    without = [sizes.get(y, 0) - sum(r[1] == y for r in rows) for y in (0, 1)]
+    bare = distinct.select(F.lit(None).cast(kind).alias("doc"), "y", "text").mapInArrow(vectors, f"doc {kind}, y int, terms array<int>, counts array<int>")
+    bare = {r.y: r["count"] for r in bare.where(F.size("terms") == 0).groupBy("y").count().collect()}
+    without = [bare.get(y, 0) for y in (0, 1)]
     return Scorer(terms, idf, rows, tuple(without), k)
 
 

@@ -315,6 +315,20 @@ def test_rare_toxic_words_are_terms(spark):
     assert got == {9000: 1, 9001: 0}
 
 
+@pytest.mark.parametrize("share, copies", [(6, 0), (1, 3000)])
+def test_terms_at_skewed_rates(spark, share, copies):
+    # six in ten texts toxic; one in ten, with many copies of one more toxic text
+    data = [(i, f"{'vile' if i % 10 < share else 'good'} oak elm {i}", int(i % 10 < share)) for i in range(800)]
+    data += [(1000 + i, "foul oak elm", 1) for i in range(copies)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    scorer = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    assert "vile" in scorer.terms and "good" not in scorer.terms
+    got = {(r["doc_id"] % 10 < share, r["predicted"]) for r in rows(toxicity.score(docs.where("doc_id < 1000"), scorer))}
+    assert got == {(True, 1), (False, 0)}
+    alone = toxicity.fit(docs, docs.where("toxic = 1").select("doc_id", "toxic"))
+    assert not alone.terms and alone.rate > 0.9
+
+
 def test_terms_of_chunks_are_those_of_words(monkeypatch):
     monkeypatch.setattr(toxicity, "CHUNK_BYTES", 300)
     words = ["a", "as", "añb", "aßa", "asadoes", "asados", "ΟΔΟΣ", "x²y", "é"]
