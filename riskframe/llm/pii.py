@@ -46,6 +46,8 @@ BLANK = re.compile(r"[\x20\t-\r]")
 EDGE = " \t\n\r\v\f.,;:!?'\"()[]{}<>*#$%&|=~^`-_/\\"
 #: Characters looked at before a span for its two words.
 REACH = 120
+#: Where a span may start inside a word: behind marks, or where a base pattern can.
+INSIDE = re.compile(rf"(?<=[{re.escape(EDGE)}])[^{re.escape(EDGE)}]|(?<![0-9])[0-9]|\+|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]")
 #: Bits of the filter of pattern words; what passes by chance is dropped by the join.
 FILTER_BITS = 1 << 20
 #: Rows of documents with new spans up to which they are broadcast; a row takes about 100 bytes.
@@ -97,6 +99,11 @@ def context(text: str, start: int) -> str:
     return " ".join(["^", "^", *words][-2:])
 
 
+def heads(word: str) -> set[str]:
+    """What stands before the places inside a word where a span may start, as ``context`` sees it."""
+    return {plain(word[: m.start()]) for m in INSIDE.finditer(word, 0, REACH + 1) if m.start()}
+
+
 def occurrences(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int, str, bool]]:
     """(context, start, end, string, seed) of the seeds and of identifier-like words elsewhere."""
     out = [(context(text, s), s, e, text[s:e], True) for _, s, e in base]
@@ -145,7 +152,8 @@ def scan(documents: DataFrame, key: str) -> DataFrame:
 
 
 def count_contexts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(context, total): how often the words of each wanted context occur in all texts."""
+    """(context, total): how often the words of each wanted context occur in all texts, also where the
+    second is the head of a longer word, as in ``<a@b.c>`` or ``mailto:a@b.c``."""
     bit = lambda c: F.pmod(F.crc32(c), F.lit(FILTER_BITS))
     both = wanted.select(F.explode(F.array("context", F.concat(F.lit("| "), F.substring_index("context", " ", -1)))).alias("c"))
     words = both.select(bit(F.col("c")).alias("b")).groupBy((F.col("b") / 64).cast("int").alias("w")).agg(
@@ -159,15 +167,17 @@ def count_contexts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lit = np.unpackbits(flags.value, bitorder="little").tobytes()
         mask = FILTER_BITS - 1
-        known: dict[str, tuple[str, int]] = {}
+        known: dict[str, tuple[str, int, list[str]]] = {}
         counts: Counter = Counter()
+        start = lit[zlib.crc32(b"^ ^") & mask]
 
-        def look(word: str) -> tuple[str, int]:
+        def look(word: str) -> tuple[str, int, list[str]]:
             if word not in known:
                 if len(known) > 200_000:
                     known.clear()
                 p = plain(word)
-                known[word] = p, lit[zlib.crc32(f"| {p}".encode()) & mask]
+                on = [h for h in {p} | heads(word) if lit[zlib.crc32(f"| {h}".encode()) & mask]]
+                known[word] = p, p in on, [h for h in on if h != p]
             return known[word]
 
         def out() -> pa.RecordBatch:
@@ -176,9 +186,12 @@ def count_contexts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column(0):
                 before = "^"
-                for word, on in map(look, (text.as_py() or "").split()):
-                    if on:
-                        pair = f"{before} {word}"
+                words = (text.as_py() or "").split()
+                if start and words:
+                    counts["^ ^"] += 1
+                for word, on, inner in map(look, words):
+                    for head in [*inner, word] if on else inner:
+                        pair = f"{before} {head}"
                         if lit[zlib.crc32(pair.encode()) & mask]:
                             counts[pair] += 1
                     before = word
@@ -188,7 +201,8 @@ def count_contexts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
         yield out()
 
     found = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "context string, n long")
-    return found.groupBy("context").agg(F.sum("n").alias("total")).join(wanted, "context")
+    found = found.groupBy("context").agg(F.sum("n").alias("total"))
+    return wanted.join(found, "context", "left").select("context", F.coalesce("total", F.lit(0)).alias("total"))
 
 
 def score_patterns(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
@@ -198,7 +212,7 @@ def score_patterns(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFram
     """
     edges = edges.join(totals, "context").withColumn("name_conf", F.col("seed").cast("double"))
     for _ in range(rounds):
-        # counted places end at white space, so a total may lag behind its strings
+        # a word that REACH cuts is not counted, so a total may lag behind its strings
         patterns = edges.groupBy("context").agg(
             (F.sum(F.col("n") * F.col("name_conf")) / F.greatest(F.max("total"), F.sum("n"))).alias("pattern_conf")
         )

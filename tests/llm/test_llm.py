@@ -192,6 +192,20 @@ def test_contexts_reveal_identifiers(spark, odd, empty):
     assert pii.redact(odd).columns == odd.columns
 
 
+def test_contexts_end_at_marks_and_labels(spark):
+    forms = ["now contact <{}> today", 'his id "{}" here', "an account ({}) there", "{} at first"]
+    data = [(100 * f + i, form.format(f"u{i}@x.org" if i % 5 else f"AB-{i % 3:05d}")) for f, form in enumerate(forms) for i in range(60)]
+    # seeds are glued to the label, identifiers stand apart
+    data += [(400 + i, f"write to mailto:u{i}@x.org" if i % 5 else "write to mailto: CD-00001") for i in range(60)]
+    # quoted words, of which few are seeds
+    data += [(500 + i, f'they said "{"u%d@x.org" % i if i < 4 else "EF-00001" if i < 7 else "hello"}" again') for i in range(60)]
+    got = {r["doc_id"]: r["added"] for r in rows(pii.extract(spark.createDataFrame(data, "doc_id long, text string")))}
+    # most texts do not begin with an identifier
+    assert {i for i, added in got.items() if added} == {100 * f + i for f in (0, 1, 2, 4) for i in range(0, 60, 5)}
+    first = spark.createDataFrame([r for r in data if 300 <= r[0] < 400], "doc_id long, text string")
+    assert {r["doc_id"] for r in rows(pii.extract(first)) if r["added"]} == set(range(300, 360, 5))
+
+
 # ---------------------------------------------------------------- repeats
 def test_repeats_against_brute_force(spark, odd, empty, sf_dir, monkeypatch):
     monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 50_000)
