@@ -149,9 +149,17 @@ def word_tokens(model: Model, word: bytes) -> Iterable[int]:
 def split_run(model: Model, run: bytes) -> list:
     """The words of a run between ASCII white space, as bytes; a special token as its id."""
     text = run.decode("utf-8", "replace")
-    if "<|" in text and (found := model.split_special.search(text)):
-        head, tail = text[: found.start()], text[found.end() :]
-        return [*split_run(model, head.encode()), model.special[found[0]], *split_run(model, tail.encode())]
+    if "<|" not in text:
+        return split_text(model, text)
+    out, at = [], 0
+    for found in model.split_special.finditer(text):
+        out += [*split_text(model, text[at : found.start()]), model.special[found[0]]]
+        at = found.end()
+    return [*out, *split_text(model, text[at:])]
+
+
+def split_text(model: Model, text: str) -> list:
+    """The words of a text without special tokens, as bytes."""
     if not text:
         return []
     if text.isascii():

@@ -109,6 +109,12 @@ def test_encoding_is_the_librarys():
         assert decoder.feed(ids[:2]) + decoder.feed(ids[2:], last=True) == tok.decode(want, skip_special_tokens=False)
 
 
+def test_many_special_tokens_in_one_run():
+    tok, runs = library(), bpe.Runs(bpe.model_at(queries.tokenizer_path()))
+    for text in ("<|endoftext|>" * 5000, "It's<|endoftext|>é<|x" * 3000, "<|endoftext|>a" * 2 + "<|"):
+        assert runs.encode(text.encode()).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_stream_emits_what_one_window_would():
     model = bpe.model_at(queries.tokenizer_path())
     for _ in range(20):
