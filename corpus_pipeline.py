@@ -19,10 +19,16 @@ from riskframe.session import work_dir
 BROADCAST_ROWS = 100_000
 
 
-def keep_rows(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the ids in ``dropped``, the smaller side of every decision here."""
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__id``, a digest of id and text that tells null from empty."""
+    tag = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    return docs.withColumn("__id", F.unhex(F.sha2(F.concat_ws(" ", tag("doc_id"), tag("text")), 256)))
+
+
+def keep_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Identified ``docs`` without the ``__id``s in ``dropped``, the smaller side of every decision here."""
     small = dropped.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(dropped) if small else dropped, key, "left_anti")
+    return docs.join(F.broadcast(dropped) if small else dropped, "__id", "left_anti")
 
 
 def saved(df: DataFrame, purpose: str) -> DataFrame:
@@ -32,18 +38,26 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score 0.3 or more go."""
+    """Documents that score 0.3 or more go, row by row, with or without an id."""
     scorer = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    rejected = toxicity.score(docs, scorer, threshold=0.3).where("predicted = 1 and doc_id is not null")
-    return keep_rows(docs, saved(rejected.select("doc_id").distinct(), "toxic"))
+    rows = identified(docs)
+    rejected = toxicity.score(rows, scorer, key="__id", threshold=0.3).where("predicted = 1")
+    return keep_rows(rows, saved(rejected.select("__id").distinct(), "toxic")).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of a group of near duplicates the document with the smallest id stays; rows that repeat its
-    id are one document."""
-    groups = simhash.near_duplicates(docs, shingle=3, distance=3, seed=42)
-    dropped = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return keep_rows(docs, saved(dropped, "near-duplicates"))
+    """Of a group of near duplicates the document with the smallest id stays; rows of the group that
+    repeat its id are one document. Of a group without ids one row stays."""
+    rows = identified(docs)
+    named = rows.withColumn("__name", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__id"))
+    groups = simhash.near_duplicates(named.select("__name", "text"), shingle=3, distance=3, seed=42, key="__name")
+    own, first = F.col("__name"), F.col("component_id")
+    stays = F.when(own["none"], own["__id"] == first["__id"]).otherwise(own["doc_id"].eqNullSafe(first["doc_id"]))
+    dropped = groups.where(~stays).select(own["__id"].alias("__id")).distinct()
+    kept = keep_rows(rows, saved(dropped, "near-duplicates"))
+    # copies without an id share their digest
+    alone = kept.where("doc_id is null").groupBy("__id").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    return kept.where("doc_id is not null").select(docs.columns).unionByName(alone)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -446,3 +446,21 @@ def test_pipeline_stages(spark, sf_dir):
     assert out.count() == mixed.count()
     assert out.where("size(ids) <> n_tokens").count() == 0
     assert [name for name, _ in P.STAGES] == ["toxicity", "near_duplicates", "pii", "mixing", "bpe"]
+
+
+def test_pipeline_drops_rows_without_ids(spark, tmp_path):
+    import corpus_pipeline as P
+
+    words = "oak elm ash fir yew box bay fig".split()
+    text = lambda i: " ".join([*random.Random(i).choices(words, k=30), f"n{i}"])
+    data = [(i, f"vile {text(i)}" if i % 6 == 0 else text(i)) for i in range(600)]
+    spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(600)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    odd = [(None, "vile " + text(1)), (None, None), (None, ""), (None, text(2)), (1, "vile again " + text(1))]
+    docs = spark.createDataFrame([(*r, "s") for r in data + odd], "doc_id long, text string, source string")
+    got = collections.Counter((r.doc_id, r.text) for r in P.toxic(spark, docs, str(tmp_path)).collect())
+    assert got == collections.Counter(r for r in data + odd if not (r[1] or "").startswith("vile"))
+    copies = [(None, LONG)] * 5 + [(None, LONG + " x")] * 3 + [(None, text(3))] * 4 + [(7, text(3)), (7, text(3)), (9, text(3)), (9, "zig zag zog " * 9)]
+    docs = spark.createDataFrame([(*r, s) for r, s in zip(copies, "ab" * 20)], "doc_id long, text string, source string")
+    left = P.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert left[0].asDict().keys() == set(docs.columns) and sum(r.doc_id is None for r in left) == 1
+    assert sorted(r.doc_id for r in left if r.doc_id) == [7, 7, 9]
