@@ -17,6 +17,8 @@ from riskframe.session import work_dir
 
 #: Rows up to which a list of decisions, about 20 bytes each, is broadcast to the texts.
 BROADCAST_ROWS = 100_000
+#: Draws of copies of one row that a task writes out together.
+LOT = 64
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -69,19 +71,35 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time a document is taken, with the words that are taken then.
 
     A document that is taken whole keeps its text as it is; of another one the words of its drawn
-    blocks are joined by blanks.
+    blocks are joined by blanks. Of rows that repeat id, text and source each drawn copy comes out as
+    often as it was drawn, with the other columns of the least.
     """
     taken = mixing.mix(docs, weights=(5, 2, 1), cap=3).where("taken > 0")
     epochs = taken.select(
-        F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), "size",
+        F.col("row").alias("__row"), F.col("source").alias("__source"), "size",
         F.explode(F.array_distinct(F.transform("pieces", lambda p: p["epoch"]))).alias("__epoch"), "pieces",
     )
     parts = epochs.withColumn("__parts", F.array_sort(F.transform(
         F.filter("pieces", lambda p: p["epoch"] == F.col("__epoch")),
         lambda p: F.struct(p["first"].alias("first"), p["words"].alias("words")),
     ))).withColumn("__n", F.aggregate("__parts", F.lit(0).cast("long"), lambda s, p: s + p["words"]))
-    parts = saved(parts.select("__row", "__epoch", "__parts", (F.col("__n") == F.col("size")).alias("__whole")).distinct(), "mixed")
-    rows = docs.withColumn("__row", F.xxhash64(F.lit(9), "doc_id", "text")).join(parts, "__row")
+    what = ["__row", "__source", "__epoch", "__parts", (F.col("__n") == F.col("size")).alias("__whole")]
+    parts = saved(parts.select(*what).groupBy("__row", "__source", "__epoch", "__parts", "__whole").agg(F.count(F.lit(1)).alias("__times")), "mixed")
+    rows = docs.withColumn("__row", F.xxhash64(F.lit(9), "doc_id", "text")).withColumn("__source", F.col("source").cast("string"))
+    repeated = rows.groupBy("__row", "__source").count().where("count > 1").select(F.col("__row").alias("__r"), F.col("__source").alias("__s"))
+    repeated = saved(repeated, "mixed-repeated")
+    small = repeated.count() <= BROADCAST_ROWS
+    repeated = F.broadcast(repeated) if small else repeated
+    same = (F.col("__row") == F.col("__r")) & F.col("__source").eqNullSafe(F.col("__s"))
+    drawn = parts.withColumnsRenamed({"__row": "__r", "__source": "__s"})
+    once = rows.join(repeated, same, "left_anti").join(drawn, same)
+    # one row stands for its copies; its draws are dealt to tasks in lots, then written out
+    least = rows.join(repeated, same, "left_semi").groupBy("__row", "__source").agg(F.min(F.struct(*docs.columns)).alias("r"))
+    least = least.select("__row", "__source", "r.*").join(drawn, same)
+    lots = least.withColumn("__lot", F.explode(F.expr(f"sequence(1L, __times, {LOT}L)")))
+    lots = lots.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    again = lots.withColumn("__lot", F.explode(F.expr(f"sequence(__lot, least(__lot + {LOT - 1}, __times))"))).drop("__lot")
+    rows = once.unionByName(again)
     words = F.regexp_extract_all("text", F.lit(f"({mixing.WORDS})"), 1)
     cut = F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice(F.col("__words"), (p["first"] + 1).cast("int"), p["words"].cast("int")))), " ")
     rows = rows.withColumn("__words", F.when(~F.col("__whole"), words))

@@ -464,3 +464,14 @@ def test_pipeline_drops_rows_without_ids(spark, tmp_path):
     left = P.near_duplicates(spark, docs, str(tmp_path)).collect()
     assert left[0].asDict().keys() == set(docs.columns) and sum(r.doc_id is None for r in left) == 1
     assert sorted(r.doc_id for r in left if r.doc_id) == [7, 7, 9]
+
+
+def test_pipeline_mixes_repeated_rows_as_often_as_drawn(spark):
+    import corpus_pipeline as P
+
+    data = [(7, " ".join(f"w{i}" for i in range(50)), s, 0) for s in ["a"] * 300 + [None] * 3]
+    data += [(i, f"x{i} y z " * 9, "ab"[i % 2], 0) for i in range(100, 300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, n_chars long")
+    taken = mixing.mix(docs, weights=(5, 2, 1), cap=3).groupBy("source").agg(F.sum("taken").alias("n"))
+    got = P.mixed(spark, docs, "").groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n"))
+    assert {(r.source, r.n) for r in got.collect()} == {(r.source, r.n) for r in taken.collect() if r.n}
