@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import ann, bpe, mixing, pii, simhash, substring_dedup, token_files, topk, toxicity, url_filter
+from riskframe.llm import (
+    ann, bpe, mixing, periodic_runs, pii, simhash, source_audit, substring_dedup, token_files, topk, toxicity, url_filter,
+)
 
 #: (host, path, verdict) of the URL rules.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -71,11 +73,36 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def looped(documents: DataFrame) -> DataFrame:
+    """(doc_id, text), where the ending of every tenth document, by a hash of its id, repeats itself.
+
+    With h = crc32(doc_id), g = h div 10 and n words: if h ends in 0, word i >= a = g mod n becomes
+    word a + (i - a) mod p, where p = 1 + (n - a) div (3 + g mod 8). Words are joined by a blank.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = documents.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    n = F.size("w").cast("long")
+    chosen = chosen.select("doc_id", "text", "w", "g", n.alias("n"), (F.col("g") % n).alias("a"))
+    chosen = chosen.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("array_join(transform(w, (x, i) -> if(i < a, x, w[cast(a + (i - a) % p as int)])), ' ')")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find_runs(looped(table(spark, sf_dir, "documents")), exponent=4, least=6)
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(table(spark, sf_dir, "documents"), min_docs=3, scale=10**9, alpha=1, top=200)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_block_matrix_ann, op2_token_files, op3_exact_top_k, op4_url_filter, op5_pii, op6_substring_dedup,
-        op7_simhash, op8_toxicity, op9_mixing, op10_bpe,
+        op7_simhash, op8_toxicity, op9_mixing, op10_bpe, op11_periodic_runs, op13_source_audit,
     )
 }
 
@@ -123,5 +150,49 @@ k AS (SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.p) AS kept
       LEFT JOIN x ON x.doc_id = u.doc_id AND x.p = u.p WHERE x.p IS NULL GROUP BY u.doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
+""",
+    "op11_periodic_runs": r"""
+WITH RECURSIVE t AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w, row_number() OVER () AS k FROM documents),
+-- crc32 by its bytes: 0xEDB88320 in eight steps a byte
+c AS (SELECT k, 4294967295::BIGINT AS c, 0 AS i, encode(CAST(doc_id AS VARCHAR)) AS b FROM t WHERE doc_id IS NOT NULL
+      UNION ALL
+      SELECT k, list_reduce(list_prepend(xor(c, ('0x' || hex(b[i + 1 : i + 1]))::BIGINT), range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)), i + 1, b
+      FROM c WHERE i < octet_length(b)),
+h AS (SELECT k, xor(c, 4294967295) AS h FROM c WHERE i = octet_length(b)),
+g AS (SELECT t.k, doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM t LEFT JOIN h ON h.k = t.k),
+d AS (SELECT k, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w FROM g),
+u AS (SELECT k, n, unnest(w) AS x, unnest(range(n)) AS i FROM d),
+-- places that equal the one q later, and their stretches
+e AS (SELECT a.k, a.n, b.i - a.i AS q, a.i FROM u a JOIN u b ON a.k = b.k AND a.x = b.x AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+s AS (SELECT k, q, min(i) AS s, max(i) + 1 + q AS e FROM (SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS o FROM e) GROUP BY k, q, o HAVING count(*) >= 3 * q),
+r AS (SELECT k, s, q, e - s AS l FROM s x WHERE e - s >= 6 AND NOT EXISTS
+      (SELECT 1 FROM s y WHERE y.k = x.k AND y.q < x.q AND x.q % y.q = 0 AND y.s <= x.s AND y.e >= x.e)),
+b AS (SELECT k, count(*) AS n, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS runs,
+             min_by({'s': s, 'l': l, 'q': q}, (-(l::DOUBLE / q), s, q)) AS top FROM r GROUP BY k),
+o AS (SELECT DISTINCT k, unnest(range(s + q, s + l)) AS i FROM r),
+j AS (SELECT u.k, string_agg(u.x, ' ' ORDER BY u.i) AS kept FROM u LEFT JOIN o ON o.k = u.k AND o.i = u.i WHERE o.i IS NULL GROUP BY u.k)
+SELECT d.doc_id, coalesce(b.n, 0) AS n_runs, b.top.s AS start, b.top.l AS length, b.top.q AS period, 1000 * b.top.l // b.top.q AS exponent_milli,
+       sha256(coalesce(b.runs, '')) AS runs_sha256, sha256(coalesce(j.kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN b ON b.k = d.k LEFT JOIN j ON j.k = d.k
+""",
+    "op13_source_audit": rf"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+t AS (SELECT k, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+v AS (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT k) >= 3),
+c AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN v USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, CAST(sum(c) AS HUGEINT) AS n, count(*) AS v FROM v GROUP BY lang),
+n AS (SELECT lang, source, CAST(sum(c) AS HUGEINT) AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, v.term, coalesce(c.c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 1) // (coalesce(n.n, 0) + l.v) AS p,
+             1 + 1000000000::HUGEINT * (v.c + 1) // (l.n + l.v) AS q
+      FROM g JOIN v USING (lang) JOIN l USING (lang) LEFT JOIN n USING (lang, source) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE c > 0 AND p > q),
+x AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM r)
+SELECT lang, source, part, item, value, rank FROM x WHERE part = 'pair' OR rank <= 200
 """,
 }
