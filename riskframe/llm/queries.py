@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (
-    ann, bpe, mixing, periodic_runs, pii, simhash, source_audit, substring_dedup, token_files, topk, toxicity, url_filter,
+    ann, bpe, lsh_forest, mixing, periodic_runs, pii, simhash, source_audit, substring_dedup,
+    token_files, topk, toxicity, url_filter,
 )
 
 #: (host, path, verdict) of the URL rules.
@@ -94,6 +95,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.find_runs(looped(table(spark, sf_dir, "documents")), exponent=4, least=6)
 
 
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, similarity=(80, 100))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.divergence(table(spark, sf_dir, "documents"), min_docs=3, scale=10**9, alpha=1, top=200)
 
@@ -102,7 +107,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_block_matrix_ann, op2_token_files, op3_exact_top_k, op4_url_filter, op5_pii, op6_substring_dedup,
-        op7_simhash, op8_toxicity, op9_mixing, op10_bpe, op11_periodic_runs, op13_source_audit,
+        op7_simhash, op8_toxicity, op9_mixing, op10_bpe, op11_periodic_runs,
+        op12_lsh_forest, op13_source_audit,
     )
 }
 
@@ -174,6 +180,17 @@ j AS (SELECT u.k, string_agg(u.x, ' ' ORDER BY u.i) AS kept FROM u LEFT JOIN o O
 SELECT d.doc_id, coalesce(b.n, 0) AS n_runs, b.top.s AS start, b.top.l AS length, b.top.q AS period, 1000 * b.top.l // b.top.q AS exponent_milli,
        sha256(coalesce(b.runs, '')) AS runs_sha256, sha256(coalesce(j.kept, '')) AS collapsed_sha256
 FROM d LEFT JOIN b ON b.k = d.k LEFT JOIN j ON j.k = d.k
+""",
+    "op12_lsh_forest": rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT k, doc_id, CASE WHEN len(w) = 1 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d),
+g AS (SELECT k, len(s) AS n, unnest(s) AS g FROM s),
+e AS (SELECT a.k AS a, b.k AS b FROM g a JOIN g b ON a.g = b.g AND a.k <> b.k AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+      GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT k AS a, k AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT r.a AS k, min(d.doc_id) AS component_id FROM r JOIN d ON d.k = r.b GROUP BY r.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM s JOIN c ON c.k = s.k
 """,
     "op13_source_audit": rf"""
 WITH d AS (SELECT row_number() OVER () AS k, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
