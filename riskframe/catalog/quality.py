@@ -7,6 +7,8 @@ from riskframe.catalog.registry import query, r
 from riskframe.operators import missing as X
 from riskframe.operators import quality as Q
 from riskframe.functions.text import VALID_EMAIL, find_all
+from riskframe.session import work_dir
+from riskframe.sources.snapshots import write_reconciled
 
 COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
 
@@ -200,6 +202,16 @@ def valid_rowcount(t):
     return counts.withColumn("reconciled", (parts == F.col("n_all")) & (F.col("n_all") == source))
 
 
+@query("""SELECT count(*) AS n_source, count(*) FILTER (WHERE o_totalprice > 100000) AS n_written, count(*) FILTER (WHERE NOT o_totalprice > 100000) AS n_rejected,
+          count(*) FILTER (WHERE o_totalprice > 100000 AND o_orderstatus = 'F') AS n_f, count(*) FILTER (WHERE o_totalprice > 100000 AND o_orderstatus <> 'F') AS n_open,
+          count(*) FILTER (WHERE o_totalprice > 100000) AS n_read FROM orders""")
+def valid_rowcount_write(t):
+    path = work_dir(t.spark, "reconciled")
+    parts = {"n_f": F.col("o_orderstatus") == "F", "n_open": F.col("o_orderstatus") != "F"}
+    counts = write_reconciled(t.orders, F.col("o_totalprice") > 100000, path, parts)
+    return t.spark.read.parquet(path).agg(*[F.lit(n).cast("long").alias(k) for k, n in counts.items()], F.count(F.lit(1)).alias("n_read"))
+
+
 @query("SELECT true AS all_close, count(*) AS n_rows FROM orders")
 def approx_equal(t):
     a = t.orders.select("o_orderkey", "o_totalprice")
