@@ -8,9 +8,11 @@ from riskframe.catalog.registry import N, query, r
 from riskframe.functions.recode import tiers
 from riskframe.functions.temporal import month_key
 from riskframe.operators import aggregate as A
+from riskframe.operators import sketches as K
 from riskframe.operators.missing import fill_median
 from riskframe.operators.quantiles import EXCLUSIVE, exact_quantiles
 from riskframe.plans import risk
+from riskframe.session import materialize
 
 P = "o_totalprice"
 
@@ -203,6 +205,21 @@ def agg_percentile(t):
     return q.select("event_type", "n", r("q1").alias("q1"), r("q3").alias("q3"), r("p95").alias("p95"))
 
 
+@query("""SELECT event_type, count(*) AS n, count(DISTINCT CAST(ts AS DATE)) AS parts, true AS q1_close, true AS q3_close, true AS p95_close
+          FROM events GROUP BY 1""")
+def agg_percentile_sketch(t):
+    # one sketch per type and day is stored; quantiles of all days come from the sketches alone
+    daily = materialize(K.quantile_sketches(t.events.withColumn("day", F.to_date("ts")), "value", ["event_type", "day"]), "daily-values")
+    wanted = {"q1": 0.25, "q3": 0.75, "p95": 0.95}
+    found = materialize(K.merged_quantiles(daily, wanted, ["event_type"]), "merged-values")
+    out = found.select("event_type", "n", "parts")
+    for name, p in wanted.items():
+        # twice the bound of 99 % confidence
+        close = K.within_rank(p, 2 * K.rank_error()).alias(f"{name}_close")
+        out = out.join(K.rank_bounds(t.events, "value", found, name, ["event_type"]).select("event_type", close), "event_type")
+    return out
+
+
 def exclusive_sql(p):
     lo = f"least(greatest(floor({p} * (n + 1) - 1), 0), n - 2)"
     return f"round(max(v) FILTER (WHERE i = {lo}) + (max(v) FILTER (WHERE i = {lo} + 1) - max(v) FILTER (WHERE i = {lo})) * (max({p} * (n + 1) - 1 - {lo})), 6)"

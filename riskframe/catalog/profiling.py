@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.registry import N, query, r
 from riskframe.operators import profile as P
+from riskframe.operators import sketches as K
+from riskframe.session import materialize
 
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -107,6 +109,20 @@ def prof_sample_frac(t):
     return P.sample_fraction(t.orders.select("o_orderkey", "o_totalprice"), 0.1, 7, "o_orderkey")
 
 
+DRAWN = "row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(o_orderkey || '|11'), o_orderkey) AS i"
+
+
+@query(f"SELECT o_orderkey, o_orderpriority FROM (SELECT *, {DRAWN} FROM orders) WHERE i <= 25")
+def prof_sample_strata(t):
+    return P.sample_strata(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey", "o_orderpriority", 25, 11)
+
+
+@query(f"""SELECT o_orderkey, o_orderpriority FROM (SELECT *, {DRAWN}, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)
+           WHERE i <= floor(n * 0.1 + 0.5)""")
+def prof_sample_strata_frac(t):
+    return P.sample_strata_fraction(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey", "o_orderpriority", 0.1, 11)
+
+
 @query("SELECT o_orderpriority, count(*) AS cnt FROM orders GROUP BY 1 ORDER BY 2 DESC, 1")
 def prof_value_counts(t):
     return P.value_counts(t.orders, "o_orderpriority").orderBy(F.desc("cnt"), "o_orderpriority")
@@ -124,6 +140,17 @@ def prof_unique(t):
     return counts.select("event_type", counts.agg(N()).scalar().alias("n_unique"))
 
 
+@query("""SELECT event_type, count(*) AS n, count(DISTINCT CAST(ts AS DATE)) AS parts, true AS close FROM events
+          WHERE extract(day FROM ts) <= 20 GROUP BY 1""")
+def prof_unique_sketch(t):
+    # one sketch per type and day is stored; the days asked for are merged without their rows
+    daily = materialize(K.distinct_sketches(t.events.withColumn("day", F.to_date("ts")), "user_id", ["event_type", "day"]), "daily-users")
+    asked = K.merged_distinct(daily.where(F.dayofmonth("day") <= 20), ["event_type"])
+    exact = t.events.where(F.dayofmonth("ts") <= 20).groupBy("event_type").agg(F.countDistinct("user_id").alias("exact"))
+    error = F.abs(F.col("n_distinct") - F.col("exact")) / F.col("exact")
+    return asked.join(exact, "event_type").select("event_type", "n", "parts", (error <= 4 * K.distinct_error()).alias("close"))
+
+
 @query("SELECT l_quantity, count(*) AS cnt FROM lineitem GROUP BY 1")
 def prof_unique_counts(t):
     return P.value_counts(t.lineitem, "l_quantity")

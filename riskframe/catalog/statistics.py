@@ -9,6 +9,7 @@ from riskframe.catalog.registry import N, query, r
 from riskframe.functions.bins import cut, digitize
 from riskframe.functions.recode import flag
 from riskframe.operators import stats as S
+from riskframe.operators import wide as W
 from riskframe.operators.quantiles import EXCLUSIVE
 from riskframe.plans import risk
 
@@ -36,6 +37,12 @@ def stat_corr_matrix(t):
     return S.correlation_pairs(t.lineitem, LINE).select("a", "b", r("r").alias("r"))
 
 
+@query("""WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings WHERE len(embedding) = 64)
+          SELECT a.i AS a, b.i AS b, count(*) AS n, round(corr(a.x, b.x), 5) AS r FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY 1, 2""")
+def stat_corr_wide(t):
+    return W.correlation_long(t.embeddings, vector="embedding", size=64).select("a", "b", "n", r("r", 5).alias("r"))
+
+
 def rank_sql(col, name):
     return f"rank() OVER (ORDER BY {col}) + (count(*) OVER (PARTITION BY {col}) - 1) / 2.0::DOUBLE AS {name}"
 

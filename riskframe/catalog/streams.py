@@ -42,6 +42,14 @@ def stream_running_total(t):
     return out.withColumn("total", r("total", 4))
 
 
+@query("""SELECT user_id, event_id, row_number() OVER w AS seq, round(sum(value) OVER (w ROWS UNBOUNDED PRECEDING), 4) AS running
+          FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def stream_running_rows(t):
+    items = event_stream(t).select("user_id", "event_id", "ts", "value")
+    out = M.drain_to_table(M.running_rows(items, "user_id", ["ts", "event_id"], "value"))
+    return out.select("user_id", "event_id", "seq", r("running", 4).alias("running"))
+
+
 @query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def stream_batches(t):
     out = M.reduce_batches(event_stream(t), ["event_type"], {"n": (N(), F.sum), "total": (F.sum("value"), F.sum)})
@@ -81,7 +89,7 @@ def udf_scalar(t):
     return t.part.select("p_partkey", U.age_band(F.col("p_size") + 20).alias("grp"), r(markup("p_retailprice")).alias("marked_up"))
 
 
-@query("SELECT vec_id, round((list_max(embedding) - list_min(embedding))::DOUBLE, 5) AS volatility FROM embeddings")
+@query("SELECT vec_id, round(list_max(embedding)::DOUBLE - list_min(embedding)::DOUBLE, 5) AS volatility FROM embeddings")
 def udf_row_array(t):
     return t.embeddings.select("vec_id", r(U.row_volatility("embedding"), 5).alias("volatility"))
 
@@ -108,8 +116,6 @@ def udf_group(t):
           UNION ALL SELECT c_custkey, NULL, NULL, 'field 2 is not a number' FROM customer""")
 def udtf_parse(t):
     text = F.format_string("%s,%d,%d;%s,5;%s,abc,9", "c_name", "c_nationkey", "c_custkey", "c_name", "c_name")
-    t.spark.udtf.register("parse_applications", U.ParseApplications)
+    parse = U.entry_parser({"name": "string", "score": "int", "income": "int"}, {"c_custkey": "long"})
     raw = t.customer.select("c_custkey", text.alias("raw"))
-    return t.spark.sql(
-        "SELECT r.c_custkey AS name, p.score, p.income, p.error FROM {raw} r, LATERAL parse_applications(r.raw) p", raw=raw
-    )
+    return parse(raw.asTable()).select(F.col("c_custkey").alias("name"), "score", "income", "error")

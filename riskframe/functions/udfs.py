@@ -1,16 +1,18 @@
 """The Python extension surface: Arrow-batched functions for rules that have no built-in form.
 
 Every rule in the library is a built-in expression. These four show where user code plugs in,
-and each keeps its memory bounded: scalar functions see one Arrow batch, the group function
-receives groups that were already reduced, and the table function sees one row.
+and each keeps its memory bounded: scalar and table functions see one Arrow batch, the group function
+receives groups that were already reduced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -73,20 +75,52 @@ def merge_moments(partial: DataFrame) -> DataFrame:
     return merged.select("grp", "n", F.col("centre").alias("mean"), sd.alias("sd"), "lo", "hi")
 
 
-@F.udtf(returnType="name string, score int, income int, error string")
-class ParseApplications:
-    """One raw text of ``name,score,income`` entries separated by ``;`` to typed rows."""
+def entry_parser(fields: Mapping[str, str], keep: Mapping[str, str], raw: str = "raw", row_sep: str = ";", field_sep: str = ","):
+    """A table function over (keep..., raw) that parses texts of delimited entries, a batch at a time.
 
-    #: Whether each field of an entry is a whole number.
-    NUMBERS = (False, True, True)
-
-    def eval(self, raw: str):
-        width = len(self.NUMBERS)
-        for cells in (entry.split(",") for entry in (raw or "").split(";")):
-            wrong = [i for i, (c, n) in enumerate(zip(cells, self.NUMBERS)) if n and not c.strip().lstrip("+-").isdecimal()]
-            if len(cells) != width:
-                yield (None,) * width + (f"{len(cells)} fields instead of {width}",)
-            elif wrong:
-                yield (None,) * width + (f"field {wrong[0] + 1} is not a number",)
-            else:
-                yield tuple(int(c) if n else c for c, n in zip(cells, self.NUMBERS)) + (None,)
+    ``fields`` gives the entries' fields in order, each ``string`` or ``int``; ``keep`` the columns that
+    every entry repeats from its row, with their types. Both decide the columns of the result: keep,
+    fields and ``error``. An entry with a wrong number of fields or a field that is no number has an error
+    and no fields; a null text is an empty one, whose single entry is empty.
+    """
+    numbers = [t == "int" for t in fields.values()]
+    returns = ", ".join(f"`{n}` {t}" for n, t in [*keep.items(), *fields.items(), ("error", "string")])
+
+    @F.arrow_udtf(returnType=returns)
+    class ParseEntries:
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            # literal separators: split_pattern takes no regular expression
+            entries = pc.split_pattern(pc.fill_null(batch.column(raw), ""), row_sep)
+            rows = pc.list_parent_indices(entries)
+            cells = pc.split_pattern(pc.list_flatten(entries), field_sep)
+            counts = pc.list_value_length(cells)
+            fits = pc.equal(counts, len(numbers))
+            error = pc.if_else(fits, pa.scalar(None, pa.string()), pc.binary_join_element_wise(pc.cast(counts, pa.string()), f" fields instead of {len(numbers)}", ""))
+            flat = pc.list_flatten(cells.filter(fits))
+            where = np.flatnonzero(fits.to_numpy(zero_copy_only=False))
+            columns = [flat.take(pa.array(np.arange(i, len(flat), len(numbers)))) for i in range(len(numbers))]
+            wrong = np.full(len(where), len(numbers))
+            for i in reversed(range(len(numbers))):
+                if numbers[i]:
+                    text = pc.utf8_trim_whitespace(columns[i])
+                    digits = pc.match_substring_regex(text, r"^[+-]?[0-9]{1,18}$")
+                    value = pc.cast(pc.replace_substring_regex(pc.if_else(digits, text, "0"), r"^\+", ""), pa.int64())
+                    small = pc.and_(digits, pc.and_(pc.greater_equal(value, -(1 << 31)), pc.less(value, 1 << 31)))
+                    columns[i] = pc.cast(pc.if_else(small, value, 0), pa.int32())
+                    wrong = np.where(small.to_numpy(zero_copy_only=False), wrong, i)
+            good = wrong == len(numbers)
+            # place of each entry among the good ones, null for the others
+            place = np.zeros(len(cells), np.int64)
+            place[where] = np.cumsum(good) - 1
+            fine = np.zeros(len(cells), bool)
+            fine[where] = good
+            at = pa.array(place, mask=~fine)
+            named = {n: batch.column(n).take(rows) for n in keep}
+            for name, values in zip(fields, columns):
+                named[name] = values.filter(pa.array(good)).take(at)
+            texts = np.full(len(cells), None, dtype=object)
+            texts[where[~good]] = [f"field {i + 1} is not a number" for i in wrong[~good]]
+            named["error"] = pc.coalesce(pa.array(texts.tolist(), pa.string()), error)
+            yield pa.table(named)
+
+    return ParseEntries

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from riskframe.operators.joins import group_join
+from riskframe.operators.ordered import positions
 from riskframe.operators.quantiles import BUFFER_VALUES, exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -57,7 +59,7 @@ def describe(
     """count, mean, std, min, quartiles, max per column (and group), one row per column.
 
     One wide aggregate serves all moments and the quartiles of columns with few distinct values;
-    only the other columns take the sliced quantile path.
+    only the other columns take the sliced quantile path, all together.
     """
     columns, by = list(columns or numeric_columns(df)), list(by)
     rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -83,14 +85,10 @@ def describe(
     many = [c for c in columns if c not in few]
     if not many:
         return out
-    # one narrow, column-pruned quantile job per remaining column
-    parts = [
-        exact_quantiles(rows, c, QUARTILES, by, buffer_values=0, **cut).select(
-            *by, F.lit(c).alias("column"), *[F.col(q).alias(f"__{q}") for q in QUARTILES]
-        )
-        for c in many
-    ]
-    sliced = reduce(lambda a, b: a.unionByName(b), parts)
+    # the others stand in one long table of (column, value): one sample, one pass, one ranking for all
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("__value")) for c in many])
+    found = exact_quantiles(rows.select(*by, F.inline(cells)), "__value", QUARTILES, keys, buffer_values=0, **cut)
+    sliced = found.select(*keys, *[F.col(q).alias(f"__{q}") for q in QUARTILES])
     merged = {q: F.coalesce(q, f"__{q}") for q in QUARTILES}
     return out.join(sliced, keys, "left").withColumns(merged).drop(*[f"__{q}" for q in QUARTILES])
 
@@ -170,6 +168,35 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, key: str | None =
     return df.filter(draw_below(draw_key(seed, key), F.lit(draw_threshold(fraction))))
 
 
+def sample_strata(df: DataFrame, key: str, by: str, sizes: int | Mapping, seed: int) -> DataFrame:
+    """An exact number of random rows of each stratum, all of a smaller one; the same for every run.
+
+    The rows with the least draws of a stratum are kept. Each task keeps no more than the largest
+    wanted number for each of its strata before anything is shuffled, in one pass over the rows. ``sizes``
+    is one number, or numbers by stratum; strata it does not name give no rows.
+    """
+    order = Window.partitionBy(by).orderBy(draw_key(seed, key), key)
+    most = sizes if isinstance(sizes, int) else max(sizes.values(), default=0)
+    if not isinstance(sizes, int):
+        df = df.filter(F.col(by).isin(list(sizes)))
+    kept = df.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= most)
+    if not isinstance(sizes, int):
+        wanted = reduce(lambda out, s: F.when(F.col(by) == F.lit(s[0]), F.lit(s[1])).otherwise(out), sizes.items(), F.lit(0))
+        kept = kept.filter(F.col("__rank") <= wanted)
+    return kept.drop("__rank")
+
+
+def sample_strata_fraction(df: DataFrame, key: str, by: str, fraction: float, seed: int) -> DataFrame:
+    """The same fraction of every stratum, its number of rows rounded half up, by least draws.
+
+    Rows are numbered by the batch operator, which cuts strata of any size into slices.
+    """
+    drawn = df.withColumn("__draw", draw_key(seed, key))
+    numbered = positions(drawn, ["__draw", key], [by], "__pos").withColumn("__stratum", F.struct(by))  # null is a stratum
+    counts = df.groupBy(F.struct(by).alias("__stratum")).agg(F.floor(F.count(F.lit(1)) * fraction + 0.5).alias("__wanted"))
+    return group_join(numbered, counts, ["__stratum"]).filter(F.col("__pos") < F.col("__wanted")).select(df.columns)
+
+
 def value_counts(df: DataFrame, column: str, name: str = "cnt", dropna: bool = True) -> DataFrame:
     rows = df.filter(F.col(column).isNotNull()) if dropna else df
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias(name))

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskframe.operators.ordered import positions
 from riskframe.plans.risk import customer_summary, score_transactions
-from riskframe.session import materialize, work_dir
+from riskframe.session import work_dir
+from riskframe.streaming.keyed import number_rows
 
 
 def read_parquet_stream(spark: SparkSession, folder: str, file_glob: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -43,33 +43,25 @@ def running_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
 def flag_sequence(stream: DataFrame, condition: Column, key: str, order: Sequence[str], base: str) -> DataFrame:
     """Items that meet the condition, numbered 1, 2, 3, ... per key across micro-batches.
 
-    Numbers within a batch come from the batch operator, which splits hot keys; the count per key
-    so far is a small table per batch id. Both are written under ``base`` and named by batch id, next
-    to the stream's checkpoint: a retried batch overwrites its own output, and a later call with the
-    same ``base`` goes on after the last batch, with the items that are new.
+    Counts are in the stream's state store (``keyed.number_rows``), so a batch touches only the keys it
+    has items of. Items are written under ``base`` by batch id, next to the stream's checkpoint: a
+    retried batch overwrites its own output, and a later call with the same ``base`` goes on after the
+    last batch, with the items that are new.
     """
     spark = stream.sparkSession
-    flagged = stream.filter(condition)
-    counts_schema = StructType([flagged.schema[key], StructField("n", LongType())])
-
-    def number(batch: DataFrame, batch_id: int) -> None:
-        batch = materialize(batch, "sequence-batch")
-        before = spark.createDataFrame([], counts_schema)
-        if batch_id > 0:
-            before = spark.read.schema(counts_schema).parquet(f"{base}/counts/batch={batch_id - 1}")
-        numbered = positions(batch, order, [key], "__pos").join(before, key, "left")
-        numbered.select(
-            *batch.columns, (F.coalesce("n", F.lit(0)) + F.col("__pos") + 1).alias("seq")
-        ).write.mode("overwrite").parquet(f"{base}/items/batch={batch_id}")
-        now = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        before.unionByName(now).groupBy(key).agg(F.sum("n").alias("n")).write.mode(
-            "overwrite"
-        ).parquet(f"{base}/counts/batch={batch_id}")
-
-    run_available(flagged, number, checkpoint=f"{base}/checkpoint")
-    schema = StructType([*flagged.schema.fields, StructField("seq", LongType())])
-    items = read_or_none(spark, f"{base}/items", schema)
-    return spark.createDataFrame([], schema) if items is None else items
+    numbered = number_rows(stream.filter(condition), key, order)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/items/batch={batch_id}")
+
+    run_available(numbered, store, checkpoint=f"{base}/checkpoint")
+    items = read_or_none(spark, f"{base}/items", numbered.schema)
+    return spark.createDataFrame([], numbered.schema) if items is None else items
+
+
+def running_rows(stream: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
+    """Every item as it arrives, with its number (``seq``) and the total up to it (``running``) within its key."""
+    return number_rows(stream, key, order, value)
 
 
 def fraud_monitor(stream: DataFrame) -> DataFrame:
