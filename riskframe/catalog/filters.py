@@ -50,11 +50,7 @@ def filt_isin(t):
 
 @query(f"SELECT doc_id, quality IS NULL AS missing FROM {LABELLED}")
 def filt_is_null(t):
-    df = labelled_documents(t)
-    known, unknown = df.filter(F.col("quality").isNotNull()), df.filter(F.col("quality").isNull())
-    return known.select("doc_id", F.lit(False).alias("missing")).unionByName(
-        unknown.select("doc_id", F.lit(True).alias("missing"))
-    )
+    return labelled_documents(t).select("doc_id", F.col("quality").isNull().alias("missing"))
 
 
 @query("""SELECT doc_id, contains(text, 'the') AS has_the, starts_with(text, 'The') AS starts_the,

@@ -18,6 +18,9 @@ from riskframe.operators.ordered import positions
 #: Measured keys up to which one-row-per-key statistics are broadcast (a few MB).
 BROADCAST_KEYS = 50_000
 
+#: Levels of which all pairs may be formed.
+PAIRED_LEVELS = 2_000
+
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
 
 
@@ -123,10 +126,14 @@ def pairs_of_levels(df: DataFrame, key: str, stat: Column, name: str) -> DataFra
     """All ordered pairs of the few levels of ``key`` with the difference of their statistic.
 
     The table is reduced to one row with one statistic per level; the pairs come from exploding
-    that row twice, so the expansion depends on the number of levels only.
+    that row twice, so the expansion depends on the number of levels only. More than ``PAIRED_LEVELS``
+    levels fail the job before they are gathered.
     """
     stats = df.filter(F.col(key).isNotNull()).groupBy(key).agg(stat.alias("__s"))
-    row = stats.agg(F.map_from_entries(F.collect_list(F.struct(key, "__s"))).alias("m"))
+    few = stats.limit(PAIRED_LEVELS + 1)  # one more than allowed tells
+    row = few.agg(F.map_from_entries(F.collect_list(F.struct(key, "__s"))).alias("m"))
+    many = F.raise_error(F.lit(f"more than {PAIRED_LEVELS} levels of {key} to pair"))
+    row = row.select(F.when(F.size("m") > PAIRED_LEVELS, many).otherwise(F.col("m")).alias("m"))
     a = row.select("m", F.explode("m").alias("level_a", "stat_a"))
     b = a.select("level_a", "stat_a", F.explode("m").alias("level_b", "stat_b"))
     return b.select("level_a", "level_b", (F.col("stat_a") - F.col("stat_b")).alias(name))

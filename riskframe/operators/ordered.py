@@ -29,8 +29,9 @@ from pyspark.sql.types import TimestampNTZType
 SLICE = "__slice"
 #: Sampled rows per slice; more gives evener slices.
 ROWS_PER_SLICE = 32
-#: Upper bound on slices: keeps the sample, the literal array and the carry tables small.
-MAX_SLICES = 4096
+#: Rows a slice is meant to hold at most, and an upper bound on slices, which keeps the sample, the
+#: literal array and the carry tables small.
+SLICE_ROWS, MAX_SLICES = 4_000_000, 16_384
 #: Hot keys up to which a scan of the list beats a binary search.
 LINEAR_KEYS = 16
 
@@ -63,17 +64,18 @@ def sort_sample(rows: list) -> list:
     return sorted((r["key"] for r in rows), key=lambda k: [place(v) for v in k])
 
 
-def split_points(df: DataFrame, keys: Sequence[str | Column], slices: int | None = None) -> list:
+def split_points(df: DataFrame, keys: Sequence[str | Column], slices: int | None = None, least: int = 0) -> list:
     """Ascending key tuples that cut ``df`` into slices of similar size.
 
-    An empty list means the table has fewer rows than the sample, so one slice is enough.
-    Only the sample, about ``slices * ROWS_PER_SLICE`` rows, reaches the driver.
+    Unless ``slices`` says how many, there are enough for the tasks, for slices of ``SLICE_ROWS`` rows
+    and for ``least``. An empty list means the table has fewer rows than the sample, so one slice is
+    enough. Only the sample, about ``slices * ROWS_PER_SLICE`` rows, reaches the driver.
     """
-    slices = slices or slice_count(df)
-    size = slices * ROWS_PER_SLICE
     # each row is drawn by itself, so the sample needs no sort and no single task
     rows = df.select(order_struct(keys).alias("key"))
     total = rows.count()
+    slices = slices or min(MAX_SLICES, max(least, slice_count(df), -(-total // SLICE_ROWS)))
+    size = slices * ROWS_PER_SLICE
     if total <= size:
         return []
     sample = sort_sample(rows.sample(fraction=size / total, seed=7).collect())
@@ -320,17 +322,18 @@ def longest_streak(
 
 
 def value_ranks(
-    df: DataFrame, value: str, by: Sequence[str] = (), **cut
+    df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None, **cut
 ) -> DataFrame:
     """One row per distinct value: count, rows strictly below, rows at or below, and group size.
 
-    Equal values are combined before anything is ordered, so ties cost one row each.
+    Equal values are combined before anything is ordered, so ties cost one row each. With ``weight``
+    a row stands for that many.
     """
     rows = df.filter(F.col(value).isNotNull())
     if "points" not in cut:
         # drawn from the rows, not from their counts: no aggregate runs for the sample
         cut = {"points": split_points(rows, [*by, value], cut.get("slices"))}
-    counts = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
+    counts = rows.groupBy(*by, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("cnt"))
     carried = with_carry(
         counts, by, [value],
         {"__before": F.sum("cnt"), "__all": F.sum("cnt")},
@@ -362,10 +365,10 @@ def ecdf(df: DataFrame, value: str, by: Sequence[str] = (), **cut) -> DataFrame:
 
 
 def average_ranks(
-    df: DataFrame, value: str, by: Sequence[str] = (), **cut
+    df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None, **cut
 ) -> DataFrame:
     """1-based rank per distinct value, ties sharing their mean rank."""
-    ranks = value_ranks(df, value, by, **cut)
+    ranks = value_ranks(df, value, by, weight, **cut)
     return ranks.select(
         *by, value, "cnt", (F.col("below") + (F.col("cnt") + 1) / F.lit(2.0)).alias("avg_rank")
     )

@@ -22,7 +22,6 @@ from riskframe.operators.ordered import (
     SLICE,
     Slices,
     null_safe_join,
-    slice_count,
     split_points,
 )
 
@@ -68,7 +67,7 @@ def exact_quantiles(
         if clean.agg(F.approx_count_distinct("__v", 0.02)).first()[0] <= buffer_values:
             return _built_in(clean, probs, by)
     # slices are there to be skipped, so finer than the tasks need
-    points = split_points(clean, [*by, "__v"], slices or max(MIN_SLICES, slice_count(clean)))
+    points = split_points(clean, [*by, "__v"], slices, MIN_SLICES)
     return _by_slices(clean, probs, Slices(clean, by, ["__v"], points), method)
 
 

@@ -13,6 +13,7 @@ from riskframe.functions.bins import equal_width
 from riskframe.operators.joins import group_join
 from riskframe.operators.ordered import average_ranks
 from riskframe.operators.quantiles import LINEAR, exact_quantiles
+from riskframe.session import materialize
 
 
 # ------------------------------------------------------------------ histograms
@@ -134,15 +135,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation with average ranks for ties.
 
-    Rank tables hold one row per distinct value; the rows are reduced to counts per (x, y) before
-    they meet them, and the coefficient is the weighted Pearson r of the ranks.
+    The rows are reduced to counts per (x, y) once. Rank tables, one row per distinct value, come from
+    these, and the coefficient is the weighted Pearson r of the ranks.
     """
-    both = df.select(x, y).na.drop()
-    cells = both.groupBy(x, y).agg(F.count(F.lit(1)).alias("w"))
-    rx = average_ranks(both, x).select(x, F.col("avg_rank").alias("rx"))
-    ry = average_ranks(both, y).select(y, F.col("avg_rank").alias("ry"))
+    cells = materialize(df.select(x, y).na.drop().groupBy(x, y).agg(F.count(F.lit(1)).alias("w")), "rank-cells")
+    rx = average_ranks(cells, x, weight="w").select(x, F.col("avg_rank").alias("rx"))
+    ry = average_ranks(cells, y, weight="w").select(y, F.col("avg_rank").alias("ry"))
     # centre the ranks (their mean is (n + 1) / 2) to keep the sums small
-    c = both.agg((F.count(F.lit(1)) + 1) / 2.0).scalar()
+    c = cells.agg((F.sum("w") + 1) / 2.0).scalar()
     # one value may hold many cells: zeros of a column, say
     ranked = group_join(group_join(cells, rx, [x]), ry, [y]).select("w", (F.col("rx") - c).alias("a"), (F.col("ry") - c).alias("b"))
     w, a, b = F.col("w"), F.col("a"), F.col("b")

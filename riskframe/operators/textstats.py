@@ -21,11 +21,12 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
 def char_counts(df: DataFrame, text: str) -> DataFrame:
     """Characters of all texts, from distinct tokens weighted by their counts.
 
-    Only tokens are taken apart into characters, not texts; the separators themselves are counted
-    from the number of pieces per text.
+    Only tokens are taken apart into characters, not texts. A piece that is not the first of its text
+    follows a separator, so one pass over the texts counts these as well.
     """
-    inside = token_counts(df, text).select(F.explode(F.split("token", "")).alias("token"), "cnt")
-    inside = inside.filter("token <> ''").groupBy("token").agg(F.sum("cnt").alias("cnt"))
-    spaces = df.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).alias("cnt"))
-    spaces = spaces.filter("cnt > 0").select(F.lit(" ").alias("token"), "cnt")
-    return inside.unionByName(spaces)
+    pieces = df.filter(F.col(text).isNotNull()).select(F.posexplode(F.split(text, " ")).alias("place", "token"))
+    tokens = pieces.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"), F.count_if(F.col("place") > 0).alias("after"))
+    letters = F.transform(F.split("token", ""), lambda c: F.struct(c.alias("token"), F.col("cnt").alias("cnt")))
+    blank = F.struct(F.lit(" ").alias("token"), F.col("after").alias("cnt"))
+    parts = tokens.select(F.inline(F.array_append(letters, blank)))
+    return parts.filter("token <> '' and cnt > 0").groupBy("token").agg(F.sum("cnt").alias("cnt"))

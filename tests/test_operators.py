@@ -161,10 +161,10 @@ def test_all_close(spark):
 
 # ------------------------------------------------------------------ aggregates and reshape
 def test_most_common_takes_the_first_seen(spark):
-    words = "DECLINE APPROVE DECLINE DECLINE APPROVE APPROVE DECLINE".split()
+    words = ["kiln", "oven", "kiln", "forge", "oven", "kiln"]
     df = spark.createDataFrame(list(enumerate(words)), "i int, w string")
-    assert tuple(G.most_common(df, "w", "i").first()) == ("DECLINE", 4)
-    assert tuple(G.least_common(df, "w", "i").first()) == ("APPROVE", 3)
+    assert tuple(G.most_common(df, "w", "i").first()) == ("kiln", 3)
+    assert tuple(G.least_common(df, "w", "i").first()) == ("forge", 1)
     tie = spark.createDataFrame(list(enumerate(["b", "a", "a", "b"])), "i int, w string")
     assert G.most_common(tie, "w", "i").first()[0] == "b"
 
@@ -329,3 +329,18 @@ def test_logistic_fit_separates(spark):
     df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, rng.random(500) < p)], "x double, y int")
     fit = {r.term: r.coefficient for r in S.logistic_fit(df, ["x"], "y").collect()}
     assert fit["x"] == pytest.approx(2, abs=0.5)
+
+
+def test_unfolding_gives_the_folded_cells_back(spark):
+    df = spark.range(23).select("id", (F.col("id") * 1.5).alias("v"))
+    wide = C.fold_rows(df, ["id"], "v", 4)
+    flat = C.unfold_rows(wide, "row", [f"c{i}" for i in range(4)])
+    assert sorted((r.pos, r.value) for r in flat.collect() if r.value is not None) == [(i, i * 1.5) for i in range(23)]
+
+
+def test_too_many_levels_are_not_paired(spark, monkeypatch):
+    df = spark.range(6).select((F.col("id") % 3).alias("k"), "id")
+    assert J.pairs_of_levels(df, "k", F.sum("id"), "d").count() == 9
+    monkeypatch.setattr(J, "PAIRED_LEVELS", 2)
+    with pytest.raises(Exception, match="more than 2 levels"):
+        J.pairs_of_levels(df, "k", F.sum("id"), "d").collect()

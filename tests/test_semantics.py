@@ -49,11 +49,11 @@ def test_ties_share_their_mean_rank(spark):
 
 
 def test_named_groups_and_back_references(spark):
-    df = spark.createDataFrame([("balance:15000 4111222233334444",)], "s string")
+    df = spark.createDataFrame([("term=36m; plate KX-204-LM",)], "s string")
     row = df.select(
-        F.regexp_extract("s", r"(?<name>\w+):(?<value>\d+)", 2), F.regexp_replace("s", r"\d{12}(\d{4})", r"************$1")
+        F.regexp_extract("s", r"(?<key>[a-z]+)=(?<months>\d+)m", 2), F.regexp_replace("s", r"([A-Z]{2})-\d{3}-([A-Z]{2})", "$2/$1")
     ).first()
-    assert row[0] == "15000" and row[1].endswith("************4444")
+    assert row[0] == "36" and row[1] == "term=36m; plate LM/KX"
 
 
 def test_json_round_trip(spark, tmp_path):
