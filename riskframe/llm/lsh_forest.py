@@ -2,13 +2,13 @@
 
 A document's set holds its distinct word shingles. Equal sets are one class from the start. Each
 tree of the forest orders the classes by its own sequence of MinHash values; classes that agree in
-the first ``depth`` values of a tree are a region of it. Two sets of similarity s share a region of at least one tree
-but for a chance of (1 - s^depth)^trees; ``shape`` takes as many trees as ``MISS`` asks for at the
-similarity wanted. Before texts are compared, a pair must agree in as many values as all but
-``MISS`` of such pairs do.
+the first ``depth`` values of a tree are a region of it. Two sets of similarity s share a region of
+at least one tree but for a chance of (1 - s^depth)^trees; ``shape`` takes as many trees as ``MISS``
+asks for at the similarity wanted. Before texts are compared, a pair must agree in as many values as
+all but ``MISS`` of such pairs do.
 
 1. *Neighbours.* The rows of all trees are range partitioned in their order, whatever a region holds,
-   and cut into blocks of at most ``BLOCK`` neighbours. All pairs of a block are estimated. A block
+   and cut into blocks of at most ``block`` neighbours. All pairs of a block are estimated. A block
    with few likely pairs yields them all; a crowded one yields a spanning forest of its likeliest
    pairs, so a group of copies yields links in proportion to its members. A large region thereby is
    compared at the depth at which its neighbours agree, the others at the least depth.
@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,27 +48,50 @@ from riskframe.session import materialize, ship_package
 
 #: Chance that a pair at the similarity wanted shares no region, and that it fails the estimate.
 MISS = 1e-7
-#: Classes of a block, pairs for each of them beyond which it is crowded, and rows of a partition.
-BLOCK, CROWDED, PARTITION_ROWS = 512, 4, 200_000
-#: Members that a block is compared with at a time, and pairs aimed at for a cell of the grid.
-SIDE, CELL_PAIRS = 4096, 4000
 #: MinHash values of which a row of a tree carries one byte each.
 SKETCH = 64
 
 
-def shape(similarity: float, depth: int) -> tuple[int, int, int]:
-    """Trees, and the values of a sketch and of a signature in which a likely pair agrees."""
-    trees = max(math.ceil(math.log(MISS) / math.log1p(-(similarity**depth))), -(-SKETCH // depth))
+@dataclass(frozen=True)
+class Shape:
+    """What the forest looks like, and how large its pieces of work are."""
+
+    part: int
+    whole: int
+    #: trees, values that a region shares, and values in which sketches and signatures of likely pairs agree
+    trees: int
+    depth: int
+    in_sketch: int
+    in_signature: int
+    #: classes of a block, pairs for each of them beyond which it is crowded, rows of a partition
+    block: int = 512
+    crowded: int = 4
+    partition_rows: int = 200_000
+    #: members that a block is compared with at a time, pairs aimed at for a cell of the grid
+    side: int = 4096
+    cell_pairs: int = 2000
+
+    @property
+    def values(self) -> int:
+        return self.trees * self.depth
+
+
+def shape(similarity: tuple[int, int] = (80, 100), depth: int = 4, **pieces: int) -> Shape:
+    part, whole = similarity
+    if not 0 < part < whole:
+        raise ValueError("the similarity lies between 0 and 1")
+    s = part / whole
+    trees = max(math.ceil(math.log(MISS) / math.log1p(-(s**depth))), -(-SKETCH // depth))
 
     def least(n: int) -> int:
         below, k = 0.0, 0
         while True:
-            below += math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k)
+            below += math.comb(n, k) * s**k * (1 - s) ** (n - k)
             if below > MISS:
                 return k
             k += 1
 
-    return trees, least(SKETCH), least(trees * depth)
+    return Shape(part, whole, trees, depth, least(SKETCH), least(trees * depth), **pieces)
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -126,8 +150,9 @@ def sketches(documents: DataFrame, shingle: int, values: int, key: str) -> DataF
     return materialize(chosen.mapInArrow(run, f"`{key}` {kind}, row long, cls binary, n long, sig binary, text string"), "forest-sketches")
 
 
-def forest_rows(classes: DataFrame, trees: int, depth: int) -> DataFrame:
+def forest_rows(classes: DataFrame, shape: Shape) -> DataFrame:
     """A row of each tree for each class: (tree, region, path, id, n, sketch)."""
+    trees, depth = shape.trees, shape.depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -168,19 +193,19 @@ def spanning(u: np.ndarray, v: np.ndarray, weight: np.ndarray, n: int) -> np.nda
         _settle(labels, u[picked], v[picked])
 
 
-def neighbours(region, n, sketch, least: int, similarity: tuple[int, int]) -> tuple[np.ndarray, ...]:
+def neighbours(region, n, sketch, shape: Shape) -> tuple[np.ndarray, ...]:
     """Likely pairs (i, j, agreeing values) of sorted rows, and the rows whose regions stay open."""
-    part, whole = similarity
+    part, whole, block = shape.part, shape.whole, shape.block
     rows = len(region)
     new = np.r_[True, region[1:] != region[:-1]]
     heads = np.flatnonzero(new)
     ends = np.r_[heads[1:], rows]
     of = np.cumsum(new) - 1
     offset = np.arange(rows) - heads[of]
-    block_end = np.minimum(heads[of] + (offset // BLOCK + 1) * BLOCK, ends[of])
+    block_end = np.minimum(heads[of] + (offset // block + 1) * block, ends[of])
     found = []
     active = np.arange(rows)
-    for d in range(1, BLOCK):
+    for d in range(1, block):
         active = active[active + d < block_end[active]]
         if not len(active):
             break
@@ -190,24 +215,24 @@ def neighbours(region, n, sketch, least: int, similarity: tuple[int, int]) -> tu
             fits = whole * np.minimum(n[i], n[j]) >= part * np.maximum(n[i], n[j])
             i, j = i[fits], j[fits]
             agree = (sketch[i] == sketch[j]).sum(axis=1)
-            likely = agree >= least
+            likely = agree >= shape.in_sketch
             found.append((i[likely], j[likely], agree[likely]))
     i, j, agree = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
     # crowded blocks keep a spanning forest; they, cut regions and those at the borders stay open
-    begin = np.arange(rows) - offset % BLOCK
+    begin = np.arange(rows) - offset % block
     likely = np.bincount(begin[i], minlength=rows)[begin] if len(i) else np.zeros(rows, np.int64)
-    crowded = likely > CROWDED * (block_end - begin)
-    open_ = (of == 0) | (of == of[-1]) | (ends - heads > BLOCK)[of] | np.bincount(of, weights=crowded, minlength=len(heads)).astype(bool)[of]
+    crowded = likely > shape.crowded * (block_end - begin)
+    open_ = (of == 0) | (of == of[-1]) | (ends - heads > block)[of] | np.bincount(of, weights=crowded, minlength=len(heads)).astype(bool)[of]
     many = crowded[i]
     picked = spanning(i[many], j[many], agree[many], rows)
     keep = np.r_[np.flatnonzero(~many), np.flatnonzero(many)[picked]]
     return i[keep], j[keep], agree[keep], np.flatnonzero(open_)
 
 
-def candidates(classes: DataFrame, trees: int, depth: int, least: int, similarity: tuple[int, int]) -> DataFrame:
+def candidates(classes: DataFrame, shape: Shape) -> DataFrame:
     """Likely pairs (a, b, agree), and open rows (tree, region, a): the two kinds tell apart by ``b``."""
     spark = classes.sparkSession
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() * trees // PARTITION_ROWS))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() * shape.trees // shape.partition_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if len(b)]
@@ -215,7 +240,7 @@ def candidates(classes: DataFrame, trees: int, depth: int, least: int, similarit
             return
         table = pa.Table.from_batches(parts).combine_chunks()
         tree, region, ids, n = (table.column(c).to_numpy() for c in ("tree", "region", "id", "n"))
-        i, j, agree, open_ = neighbours(region, n, _fixed(table.column("sketch"), np.uint8, SKETCH), least, similarity)
+        i, j, agree, open_ = neighbours(region, n, _fixed(table.column("sketch"), np.uint8, SKETCH), shape)
         a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
         names = ["tree", "region", "a", "b", "agree"]
         none = pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int64())
@@ -225,26 +250,33 @@ def candidates(classes: DataFrame, trees: int, depth: int, least: int, similarit
         yield pa.RecordBatch.from_arrays(columns, names)
 
     order = ["region", "path", "id"]
-    rows = forest_rows(classes, trees, depth).repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    rows = forest_rows(classes, shape).repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     return materialize(rows.mapInArrow(run, "tree int, region long, a long, b long, agree int"), "forest-candidates")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, shape: Shape) -> DataFrame:
     """Those pairs (a, b) whose shingle sets are similar; ``texts`` has (row, text)."""
-    part, whole = similarity
     pairs = materialize(pairs.select("a", "b"), "forest-pairs")
-    side = max(1, math.isqrt(-(-pairs.count() // CELL_PAIRS)))
+    side = max(1, math.isqrt(-(-pairs.count() // shape.cell_pairs)))
     cell = F.pmod(F.xxhash64("a"), F.lit(side)) * F.lit(side) + F.pmod(F.xxhash64("b", F.lit(1)), F.lit(side))
     pairs = pairs.withColumn("cell", cell)
     nodes = materialize(pairs.select("cell", F.col("a").alias("row")).unionByName(pairs.select("cell", F.col("b").alias("row"))).distinct(), "forest-nodes")
 
+    def similar(one: int, two: int, both: int) -> bool:
+        return shape.whole * both >= shape.part * (one + two - both)
+
     def check(pairs_: pa.Table, texts_: pa.Table) -> pa.Table:
-        sets = {r: shingle_set(t, shingle) for r, t in zip(texts_.column("row").to_pylist(), texts_.column("text").to_pylist())}
+        of = {r: i for i, r in enumerate(texts_.column("row").to_pylist())}
+        text = texts_.column("text")
+        hashes = [shingle_hashes((t.as_py() or "").encode("utf-8", "replace"), shingle) for t in text]
         out = []
         for a, b in zip(pairs_.column("a").to_pylist(), pairs_.column("b").to_pylist()):
-            both = len(sets[a] & sets[b])
-            if whole * both >= part * (len(sets[a]) + len(sets[b]) - both):
-                out.append((a, b))
+            x, y = hashes[of[a]], hashes[of[b]]
+            # hashes of 8 bytes rule most out; the words themselves decide on the others
+            if similar(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))):
+                x, y = (shingle_set(text[of[r]].as_py(), shingle) for r in (a, b))
+                if similar(len(x), len(y), len(x & y)):
+                    out.append((a, b))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     needed = nodes.join(texts, "row")
@@ -262,15 +294,15 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return labelled(labelled(pairs, roots, "a", "__la"), roots, "b", "__lb").where("__la <> __lb").select("a", "b")
 
 
-def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, trees: int, depth: int, least: int, similarity: tuple[int, int], each: int | None) -> DataFrame:
+def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, shape: Shape, each: int | None) -> DataFrame:
     """Likely pairs (a, b) in open regions whose ends are in different components."""
-    part, whole = similarity
+    part, whole = shape.part, shape.whole
     rows = labelled(opened.select("tree", "region", F.col("a").alias("id")), roots, "id", "label")
     sizes = rows.groupBy("region", "label").count()
     mixed = sizes.groupBy("region").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("members"))
     mixed = mixed.where(F.col("members") > F.col("top.count")).select(
         "region", F.col("top.label").alias("most"),
-        F.ceil((F.col("members") - F.col("top.count")) / BLOCK).alias("lefts"), F.ceil(F.col("members") / SIDE).alias("rights"),
+        F.ceil((F.col("members") - F.col("top.count")) / shape.block).alias("lefts"), F.ceil(F.col("members") / shape.side).alias("rights"),
     )
     rows = rows.join(materialize(mixed, "forest-mixed"), "region").join(classes.select("id", "n", "sig"), "id")
     to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -279,7 +311,7 @@ def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, trees: int, de
     right = rows.withColumn("r", own("rights")).withColumn("l", to("lefts")).withColumn("left", F.lit(False))
 
     def match(table: pa.Table) -> pa.Table:
-        sig = _fixed(table.column("sig").combine_chunks(), np.uint32, trees * depth)
+        sig = _fixed(table.column("sig").combine_chunks(), np.uint32, shape.values)
         ids, n, label, tree = (table.column(c).to_numpy() for c in ("id", "n", "label", "tree"))
         is_left = table.column("left").to_numpy(zero_copy_only=False)
         mine, other = np.flatnonzero(is_left), np.flatnonzero(~is_left)
@@ -289,8 +321,8 @@ def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, trees: int, de
             same = sig[j] == sig[i]
             agree = same.sum(axis=1)
             # the first tree in whose region both are takes the pair up
-            first = same.reshape(len(j), trees, depth).all(axis=2)[:, : tree[i]].any(axis=1) if tree[i] else np.zeros(len(j), bool)
-            good = (agree >= least) & ~first
+            first = same.reshape(len(j), shape.trees, shape.depth).all(axis=2)[:, : tree[i]].any(axis=1) if tree[i] else np.zeros(len(j), bool)
+            good = (agree >= shape.in_signature) & ~first
             j, agree = j[good], agree[good]
             if each is not None:
                 j = j[np.lexsort((ids[j], -agree))[:each]]
@@ -302,41 +334,37 @@ def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, trees: int, de
     return groups.applyInArrow(match, "a long, b long").distinct()
 
 
-def near_duplicates(documents: DataFrame, shingle: int = 2, similarity: tuple[int, int] = (80, 100), depth: int = 4, key: str = "doc_id") -> DataFrame:
+def near_duplicates(documents: DataFrame, shingle: int = 2, shape: Shape = shape(), key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id, kept): documents link if their shingle sets have an
-    intersection of at least ``similarity`` (part, whole) of their union.
+    intersection of at least the share ``shape`` was made for of their union.
 
     ``component_id`` is the smallest id that links lead to, ``kept`` tells that it is the own one.
     """
-    part, whole = similarity
-    if not 0 < part < whole:
-        raise ValueError("the similarity lies between 0 and 1")
     ship_package(documents.sparkSession)
-    trees, in_sketch, in_signature = shape(part / whole, depth)
-    prints = sketches(documents, shingle, trees * depth, key)
+    prints = sketches(documents, shingle, shape.values, key)
     classes = materialize(
         prints.where("n > 0").groupBy("cls").agg(F.min("row").alias("id"), F.min(key).alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig")),
         "forest-classes",
     )
     texts = prints.select("row", "text")
-    found = candidates(classes, trees, depth, in_sketch, similarity)
+    found = candidates(classes, shape)
     likely = materialize(found.where("b is not null").groupBy("a", "b").agg(F.first("agree").alias("agree")), "forest-likely")
     both = likely.unionByName(likely.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
     best = both.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = confirm(best, texts, shingle, similarity)
+    links = confirm(best, texts, shingle, shape)
     roots = components(links)
 
-    links = links.unionByName(confirm(apart(likely.join(best, ["a", "b"], "left_anti"), roots), texts, shingle, similarity))
+    links = links.unionByName(confirm(apart(likely.join(best, ["a", "b"], "left_anti"), roots), texts, shingle, shape))
     roots = components(links)
 
     tested = likely.select("a", "b")
     opened = found.where("b is null")
     for each in (2, None):
-        pairs = rest(opened, classes, roots, trees, depth, in_signature, similarity, each)
+        pairs = rest(opened, classes, roots, shape, each)
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "forest-rest")
         if pairs.take(1):
-            links = links.unionByName(confirm(pairs, texts, shingle, similarity))
+            links = links.unionByName(confirm(pairs, texts, shingle, shape))
             roots = components(links)
             tested = tested.unionByName(pairs)
 

@@ -96,7 +96,7 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, similarity=(80, 100))
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, shape=lsh_forest.shape((80, 100)))
 
 
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
