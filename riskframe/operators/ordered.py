@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
@@ -71,14 +71,21 @@ def split_points(df: DataFrame, keys: Sequence[str | Column], slices: int | None
     and for ``least``. An empty list means the table has fewer rows than the sample, so one slice is
     enough. Only the sample, about ``slices * ROWS_PER_SLICE`` rows, reaches the driver.
     """
-    # each row is drawn by itself, so the sample needs no sort and no single task
     rows = df.select(order_struct(keys).alias("key"))
-    total = rows.count()
-    slices = slices or min(MAX_SLICES, max(least, slice_count(df), -(-total // SLICE_ROWS)))
-    size = slices * ROWS_PER_SLICE
-    if total <= size:
+    wanted = slices or min(MAX_SLICES, max(least, slice_count(df)))
+    # one pass counts the rows and keeps those with the least draws, a bounded number per task
+    seen = Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    sample = counted.withColumn("draw", F.rand(7)).orderBy("draw").limit(wanted * ROWS_PER_SLICE).select("key").collect()
+    total = seen.get["n"]
+    if total <= wanted * ROWS_PER_SLICE:
         return []
-    sample = sort_sample(rows.sample(fraction=size / total, seed=7).collect())
+    many = min(MAX_SLICES, -(-total // SLICE_ROWS))
+    if slices is None and many > wanted:
+        # a larger sample is drawn row by row: no sort and no single task
+        wanted = many
+        sample = rows.sample(fraction=wanted * ROWS_PER_SLICE / total, seed=7).collect()
+    slices, sample = wanted, sort_sample(sample)
     step = max(1, len(sample) // slices)
     picked = [sample[i] for i in range(step, len(sample), step)]
     return [p for i, p in enumerate(picked) if i == 0 or p != picked[i - 1]]
