@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from riskframe.session import materialize, ship_package
 
 #: Bytes of text counted at a time.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 #: Counts aimed at for a task that compares sources, and cells of its tables.
 TASK_COUNTS, CELLS = 200_000, 1 << 20
 
@@ -103,7 +103,7 @@ def count_terms(texts: list[bytes], groups: np.ndarray) -> Iterator[tuple[list[b
         width *= 2
 
 
-def term_counts(documents: DataFrame) -> DataFrame:
+def term_counts(documents: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
     """(lang, source, term, n, docs): occurrences, and documents with the term, of each group."""
     ship_package(documents.sparkSession)
     names = ("lang", "source", "term", "n", "docs")
@@ -111,20 +111,20 @@ def term_counts(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, sources = (batch.column(i).to_pylist() for i in (0, 1))
-            data = [t.encode("utf-8", "replace") for t in batch.column(2).to_pylist()]
-            order = sorted(range(len(data)), key=lambda i: (langs[i], sources[i]))
+            lengths = pc.binary_length(batch.column(2)).to_pylist()
+            order = sorted(range(len(lengths)), key=lambda i: (langs[i], sources[i]))
             at = 0
             while at < len(order):
                 end, size = at, 0
-                while end < len(order) and (end == at or size + len(data[order[end]]) < CHUNK_BYTES):
-                    size += len(data[order[end]])
+                while end < len(order) and (end == at or size + lengths[order[end]] < chunk):
+                    size += lengths[order[end]]
                     end += 1
                 part = order[at:end]
                 keys = sorted({(langs[i], sources[i]) for i in part})
                 number = {k: j for j, k in enumerate(keys)}
                 groups = np.array([number[langs[i], sources[i]] for i in part])
                 both = [pa.array(x, pa.string()) for x in zip(*keys)]
-                for terms, group, n, docs in count_terms([data[i] for i in part], groups):
+                for terms, group, n, docs in count_terms([t.encode("utf-8", "replace") for t in batch.column(2).take(pa.array(part)).to_pylist()], groups):
                     of = pa.array(group)
                     columns = [both[0].take(of), both[1].take(of), pa.array(terms, pa.string()), pa.array(n), pa.array(docs)]
                     yield pa.RecordBatch.from_arrays(columns, names)
@@ -141,7 +141,7 @@ def _probability(count: Column, total: Column, terms: Column, scale: int, alpha:
     return F.lit(1) + share.cast("long")
 
 
-def _compare(lang: str, table: pa.Table, scale: int, alpha: int) -> pa.Table:
+def _compare(lang: str, table: pa.Table, scale: int, alpha: int, most: int) -> pa.Table:
     """Sums of f over some kept terms for all ordered pairs of a language's sources."""
     terms = table.column("term")
     heads = table.filter(pc.is_null(terms))
@@ -160,7 +160,7 @@ def _compare(lang: str, table: pa.Table, scale: int, alpha: int) -> pa.Table:
     code, column, count = code[order], column[order], count[order]
     below = total + alpha * int(heads.column("terms")[0].as_py())
     sums = np.zeros((len(sources), len(sources)), np.int64)
-    step = max(1, CELLS // max(1, len(sources)))
+    step = max(1, most // max(1, len(sources)))
     high, low = 10**5, scale // 10**5
     for first in range(0, len(coded.dictionary), step):
         a, b = np.searchsorted(code, (first, first + step))
@@ -184,7 +184,10 @@ def _compare(lang: str, table: pa.Table, scale: int, alpha: int) -> pa.Table:
     )
 
 
-def divergence(documents: DataFrame, min_docs: int = 3, scale: int = 10**9, alpha: int = 1, top: int = 200) -> DataFrame:
+def divergence(
+    documents: DataFrame, min_docs: int = 3, scale: int = 10**9, alpha: int = 1, top: int = 200,
+    chunk: int = CHUNK_BYTES, task_counts: int = TASK_COUNTS, cells: int = CELLS,
+) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` has every other source of the language
     with the sum of f against it, part ``term`` the ``top`` terms that the source has more often
     than its language, each part ranked by value within its group.
@@ -193,7 +196,7 @@ def divergence(documents: DataFrame, min_docs: int = 3, scale: int = 10**9, alph
         raise ValueError("scale is a multiple of 100,000 up to 1,000,000,000")
     of_term = Window.partitionBy("lang", "term")
     kept = materialize(
-        term_counts(documents)
+        term_counts(documents, chunk)
         .withColumn("all_docs", F.sum("docs").over(of_term))
         .withColumn("in_lang", F.sum("n").over(of_term))
         .withColumn("leads", (F.col("source") == F.min("source").over(of_term)).cast("long"))
@@ -212,13 +215,13 @@ def divergence(documents: DataFrame, min_docs: int = 3, scale: int = 10**9, alph
     )
 
     # pairs of sources
-    buckets = max(1, -(-kept.count() // TASK_COUNTS))
+    buckets = max(1, -(-kept.count() // task_counts))
     parted = kept.select("lang", F.pmod(F.xxhash64("term"), F.lit(buckets)).alias("bucket"), "source", "term", "n", F.lit(0).cast("long").alias("terms"))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))).alias("bucket")
     heads = totals.where("terms > 0").select("lang", each, "source", F.lit(None).cast("string").alias("term"), F.col("total").alias("n"), "terms")
 
     def compare(key, table):
-        return _compare(key[0].as_py(), table, scale, alpha)
+        return _compare(key[0].as_py(), table, scale, alpha, cells)
 
     sums = parted.unionByName(heads).groupBy("lang", "bucket").applyInArrow(compare, "lang string, source string, item string, value long")
     sums = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
