@@ -11,7 +11,7 @@ its own.
 Catches become runs when the sequence is closed. Within a block's length of either end the first and
 last word that still repeat at the distance are looked up; a catch inside a run of a smaller period
 that divides its own is no square of its own; what remains are maximal runs by their smallest
-period. Suffixes are compared by 64-bit names built by doubling; the words of every run are then
+period. Suffixes are compared by 64-bit names built by doubling; the words of every catch are then
 compared themselves, so names only ever propose.
 
 A run has at least ``exponent`` periods and ``least`` words. Periods beyond a document's length over
@@ -138,12 +138,15 @@ class Catcher:
             end = high + repeats(codes, high, period, ahead, 1) + period
             long = end - start >= self.exponent * period
             start, end, period = start[long], end[long], period[long]
-            # the words between them, which so far repeat by name only
-            at = spread(start, end - start - period)
-            same = codes[at] == codes[at + np.repeat(period, end - start - period)]
-            cuts = np.cumsum(end - start - period) - (end - start - period)
-            true = np.logical_and.reduceat(same, cuts) if len(cuts) else np.zeros(0, bool)
-            true &= ~inside(runs, start, end, period)
+            # the words between them, which so far repeat by name only: stretches that truly repeat
+            length = end - start - period
+            at, of = spread(start, length), np.repeat(np.arange(len(start)), length)
+            same = codes[at] == codes[at + period[of]]
+            border = np.r_[True, of[1:] != of[:-1]] if len(of) else np.zeros(0, bool)
+            heads = np.flatnonzero(same & (border | ~np.r_[False, same[:-1]]))
+            tails = np.flatnonzero(same & np.r_[(border | ~same)[1:], True])
+            start, end, period = at[heads], at[tails] + 1 + period[of[heads]], period[of[heads]]
+            true = (end - start >= self.exponent * period) & ~inside(runs, start, end, period)
             runs = np.concatenate([runs, np.stack([start, end, period], axis=1)[true]])
             runs = runs[np.lexsort((runs[:, 2], runs[:, 0]))]
         return tuple(runs.T)
