@@ -17,8 +17,9 @@ all but ``MISS`` of such pairs do.
    that are not connected yet.
 3. *The rest, exactly.* Crowded regions, and those that were cut, come back if they hold several
    components. All their pairs of members in different components are estimated, members outside the
-   largest component in blocks against all members; likely ones are confirmed, two for each member
-   and tree first, then all that are left. A pair is taken up by the first tree whose region has it.
+   largest component in blocks against all members, and likely ones compared by the hashes of their
+   shingles; similar ones are confirmed, two for each member and tree first, then all that are left.
+   A pair is taken up by the first tree whose region has it.
 
 So each pair above the similarity is confirmed, connected by confirmed pairs, or missed with
 probability below 2 * MISS, whatever sizes regions have. Only row counts reach the driver.
@@ -294,8 +295,17 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return labelled(labelled(pairs, roots, "a", "__la"), roots, "b", "__lb").where("__la <> __lb").select("a", "b")
 
 
-def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, shape: Shape, each: int | None) -> DataFrame:
-    """Likely pairs (a, b) in open regions whose ends are in different components."""
+def shared_counts(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members of a sorted set each other set has."""
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    flat = np.concatenate(others)
+    there = one[np.searchsorted(one, flat).clip(0, len(one) - 1)] == flat
+    return np.add.reduceat(there.astype(np.int64), np.cumsum(sizes) - sizes)
+
+
+def rest(opened: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, shape: Shape, each: int | None) -> DataFrame:
+    """Pairs (a, b) in open regions whose ends are in different components and whose sets, by the
+    hashes of their shingles, are similar; with ``each`` no more than that for each left member."""
     part, whole = shape.part, shape.whole
     rows = labelled(opened.select("tree", "region", F.col("a").alias("id")), roots, "id", "label")
     sizes = rows.groupBy("region", "label").count()
@@ -305,6 +315,7 @@ def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, shape: Shape,
         F.ceil((F.col("members") - F.col("top.count")) / shape.block).alias("lefts"), F.ceil(F.col("members") / shape.side).alias("rights"),
     )
     rows = rows.join(materialize(mixed, "forest-mixed"), "region").join(classes.select("id", "n", "sig"), "id")
+    rows = rows.join(texts.withColumnRenamed("row", "id"), "id")
     to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     left = rows.where(F.col("label") != F.col("most")).withColumn("l", own("lefts")).withColumn("r", to("rights")).withColumn("left", F.lit(True))
@@ -315,6 +326,13 @@ def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, shape: Shape,
         ids, n, label, tree = (table.column(c).to_numpy() for c in ("id", "n", "label", "tree"))
         is_left = table.column("left").to_numpy(zero_copy_only=False)
         mine, other = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+        text, known = table.column("text"), {}
+
+        def hashes(i: int) -> np.ndarray:
+            if i not in known:
+                known[i] = shingle_hashes((text[i].as_py() or "").encode("utf-8", "replace"), shingle)
+            return known[i]
+
         out = []
         for i in mine.tolist():
             j = other[(label[other] != label[i]) & (whole * np.minimum(n[other], n[i]) >= part * np.maximum(n[other], n[i]))]
@@ -324,13 +342,18 @@ def rest(opened: DataFrame, classes: DataFrame, roots: DataFrame, shape: Shape,
             first = same.reshape(len(j), shape.trees, shape.depth).all(axis=2)[:, : tree[i]].any(axis=1) if tree[i] else np.zeros(len(j), bool)
             good = (agree >= shape.in_signature) & ~first
             j, agree = j[good], agree[good]
+            if not len(j):
+                continue
+            both = shared_counts(hashes(i), [hashes(x) for x in j.tolist()])
+            linked = whole * both >= part * (n[i] + n[j] - both)
+            j, agree = j[linked], agree[linked]
             if each is not None:
                 j = j[np.lexsort((ids[j], -agree))[:each]]
             out.append(np.stack([np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])], axis=1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    groups = left.unionByName(right).select("region", "l", "r", "left", "tree", "id", "n", "sig", "label").groupBy("region", "l", "r")
+    groups = left.unionByName(right).select("region", "l", "r", "left", "tree", "id", "n", "sig", "label", "text").groupBy("region", "l", "r")
     return groups.applyInArrow(match, "a long, b long").distinct()
 
 
@@ -361,7 +384,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 2, shape: Shape = shape
     tested = likely.select("a", "b")
     opened = found.where("b is null")
     for each in (2, None):
-        pairs = rest(opened, classes, roots, shape, each)
+        pairs = rest(opened, classes, texts, roots, shingle, shape, each)
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "forest-rest")
         if pairs.take(1):
             links = links.unionByName(confirm(pairs, texts, shingle, shape))
