@@ -2,7 +2,8 @@
 
 Encoding follows the tokenizer file: NFC, white space to blanks, lower case, a split into words,
 byte symbols, merges by rank with an end-of-word mark. All of these act on runs between ASCII white
-space alone, so a text is a stream of such runs.
+space alone, so a text is a stream of such runs. Runs beyond Latin letters are normalised and split
+by the tokenizers library, whose Unicode tables are those that count.
 
 *Lookahead.* Merges apply in order of rank. Two continuations of the same prefix can differ left of
 where they part only through a chain of merges of growing rank: one merge takes or leaves the symbol
@@ -28,9 +29,9 @@ import codecs
 import hashlib
 import json
 import re
-import unicodedata
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,11 @@ from riskframe.session import ship_package
 CACHED_BYTES, CACHED_RUNS = 40, 400_000
 #: Bytes of text handled at a time.
 PIECE = 1 << 20
+#: Tokens decoded and digested at a time.
+STEP = 1 << 14
 # White space and letter classes of the tokenizer's patterns, by Unicode.
 BLANKS = "\t-\r \x85\xa0  -     　"
+LATIN_END = "ɐ"
 LATIN = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼½¾]|[^{BLANKS}a-zªµºß-öø-ɏ0-9²³¹¼½¾]+"
 )
@@ -70,14 +74,15 @@ class Model:
             raise ValueError("not a lower-casing word-end BPE tokenizer file")
         vocab, self.mark = model["vocab"], model["end_of_word_suffix"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.letters_only = any(x.isalpha() and x.isascii() for x in self.special)
+        self.path, self.library = path, None
         self.split_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        pattern = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")["pattern"]["Regex"]
-        self.pattern = pattern.replace(r"\s", BLANKS)
         self.names = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for name, i in {**vocab, **self.special}.items():
             self.names[i] = name
         letters = byte_letters()
         self.letters = str.maketrans({chr(b): letters[b] for b in range(256)})
+        self.plain = str.maketrans({letters[b]: chr(b) for b in range(256)})
         self.inner = [vocab[x] for x in letters]
         self.final = [vocab[x + self.mark] for x in letters]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
@@ -149,7 +154,7 @@ def word_tokens(model: Model, word: bytes) -> Iterable[int]:
 def split_run(model: Model, run: bytes) -> list:
     """The words of a run between ASCII white space, as bytes; a special token as its id."""
     text = run.decode("utf-8", "replace")
-    if "<|" not in text:
+    if not any(special in text for special in model.special):
         return split_text(model, text)
     out, at = [], 0
     for found in model.split_special.finditer(text):
@@ -162,16 +167,22 @@ def split_text(model: Model, text: str) -> list:
     """The words of a text without special tokens, as bytes."""
     if not text:
         return []
-    if text.isascii():
-        words = LATIN.findall(text.lower())
-    elif max(text) < "ɐ" and "İ" not in text:
-        words = LATIN.findall(unicodedata.normalize("NFC", text).lower())
-    else:
-        import regex
+    plain = text.lower() if text.isascii() or max(text) < LATIN_END and "İ" not in text else None
+    # some capitals below the end have small letters above it
+    if plain is not None and max(plain) < LATIN_END:
+        return [w.encode() for w in LATIN.findall(plain)]
+    return library_words(model, text)
+
+
+def library_words(model: Model, text: str) -> list[bytes]:
+    """The words of any text by the tokenizer file's own normaliser and splitter, whose Unicode tables
+    decide what a letter is."""
+    if model.library is None:
+        from tokenizers import Tokenizer
 
-        # character by character: a final sigma is not special here
-        words = regex.findall(model.pattern, "".join(c.lower() for c in unicodedata.normalize("NFC", text)))
-    return [w.encode() for w in words]
+        model.library = Tokenizer.from_file(model.path)
+    words = model.library.pre_tokenizer.pre_tokenize_str(model.library.normalizer.normalize_str(text))
+    return [w.translate(model.plain).encode("latin-1") for w, _ in words]
 
 
 class Runs(dict):
@@ -189,7 +200,7 @@ class Runs(dict):
     def __missing__(self, run: bytes) -> bytes:
         ids = self.old.get(run)
         if ids is None:
-            if run.isalpha():
+            if run.isalpha() and not self.model.letters_only:
                 words = [run.lower()]
             else:
                 words = split_run(self.model, run)
@@ -208,14 +219,25 @@ class Runs(dict):
             return self[word]
         return array(self.kind, self.tokens(self.model, word)).tobytes()
 
-    def encode(self, text: bytes) -> np.ndarray:
-        """Token ids of a text."""
+    def stream(self, text: bytes) -> Iterator[np.ndarray]:
+        """Token ids of a text, some at a time."""
         if len(self) > CACHED_RUNS:
             self.old = dict(self)
             self.clear()
-        if len(text) <= PIECE:
-            return np.frombuffer(b"".join(map(self.__getitem__, text.split())), dtype=self.type)
-        return np.concatenate([np.frombuffer(b"".join(map(self.__getitem__, p.split())), dtype=self.type) for p in pieces(text)])
+        for piece in pieces(text):
+            if len(piece) <= 2 * PIECE:
+                yield np.frombuffer(b"".join(map(self.__getitem__, piece.split())), dtype=self.type)
+                continue
+            for run in piece.split():
+                for word in split_run(self.model, run):
+                    tokens = iter([word] if isinstance(word, int) else self.tokens(self.model, word))
+                    while some := list(islice(tokens, STEP)):
+                        yield np.array(some, dtype=self.type)
+
+    def encode(self, text: bytes) -> np.ndarray:
+        """Token ids of a text."""
+        parts = list(self.stream(text))
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def pieces(data: bytes, size: int = PIECE) -> Iterator[bytes]:
@@ -278,10 +300,6 @@ def runs_at(path: str) -> Runs:
     return _RUNS[path]
 
 
-#: Tokens decoded and digested at a time.
-STEP = 1 << 14
-
-
 def encode_decode(documents: DataFrame, path: str, key: str = "doc_id", ids: bool = False) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256), with the token ids themselves if ``ids``.
 
@@ -300,20 +318,21 @@ def encode_decode(documents: DataFrame, path: str, key: str = "doc_id", ids: boo
                 part = batch.slice(at, 512)
                 rows, arrays = [], []
                 for text in part.column(1):
-                    tokens = runs.encode((text.as_py() or "").encode("utf-8", "replace"))
-                    digest, decoded = hashlib.sha256(), hashlib.sha256()
+                    digest, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
                     decoder.reset()
-                    for i in range(0, len(tokens), STEP):
-                        some = tokens[i : i + STEP]
-                        digest.update((" " * (i > 0) + " ".join(numbers[some].tolist())).encode())
-                        decoded.update(decoder.feed(some).encode())
-                    decoded.update(decoder.feed(tokens[:0], last=True).encode())
-                    rows.append((len(tokens), digest.hexdigest(), decoded.hexdigest()))
-                    if ids:
-                        arrays.append(tokens)
+                    for tokens in runs.stream((text.as_py() or "").encode("utf-8", "replace")):
+                        for i in range(0, len(tokens), STEP):
+                            some = tokens[i : i + STEP]
+                            digest.update((" " * (n > 0) + " ".join(numbers[some].tolist())).encode())
+                            decoded.update(decoder.feed(some).encode())
+                            n += len(some)
+                        if ids:
+                            arrays.append(tokens)
+                    decoded.update(decoder.feed(np.zeros(0, runs.type), last=True).encode())
+                    rows.append((n, digest.hexdigest(), decoded.hexdigest()))
                 columns = [part.column(0), *(pa.array(x) for x in zip(*rows))]
                 if ids:
-                    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+                    ends = np.cumsum([0, *(r[0] for r in rows)], dtype=np.int32)
                     flat = np.concatenate(arrays).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
                 yield pa.RecordBatch.from_arrays(columns, names)

@@ -140,7 +140,8 @@ class LibraryRuns(bpe.Runs):
 
     def __missing__(self, run: bytes) -> bytes:
         text = run.decode("utf-8", "replace")
-        if not run.isascii() and max(text) > "ɏ" or "<|" in text:
+        beyond = not run.isascii() and max(text.lower()) >= bpe.LATIN_END
+        if beyond or any(special in text for special in self.model.special):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype=self.type).tobytes()
         return super().__missing__(run)
