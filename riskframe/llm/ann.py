@@ -10,8 +10,8 @@ are recomputed from the original vectors in double precision, component by compo
 heaps merge the tiles. The result is exact; the index is only the quantised blocks.
 
 Defined results: a query never finds rows of its own id; vectors that are null, empty, zero, hold a
-null or non-finite number, have a null id, or another length than the most common one take no part;
-of rows with the same id the smallest vector counts; ties go to the smaller id; fewer candidates
+null or non-finite number or have a null id take no part; queries meet vectors of their own length; of
+rows with the same id and length the smallest vector counts; ties go to the smaller id; fewer candidates
 than k give fewer rows; an empty table gives none. Other columns are not read.
 """
 
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from riskframe.llm import blocks
 
@@ -58,16 +57,13 @@ def nearest(
     """(query_id, rank, vec_id, score): the k rows of ``vectors`` with the largest inner product
     for every row of ``queries``."""
     candidates = blocks.usable(vectors, key, vector, zero=False)
-    width = blocks.common_length(candidates)
-    fit = F.size("v") == width
     fields = "kind string, vectors binary, int8 binary, norms binary"
-    c, n_c = blocks.pack(candidates.where(fit), blocks.CANDIDATE_ROWS, width, quantise, fields)
-    wanted = blocks.usable(queries, key, vector, zero=False).where(fit)
-    q, n_q = blocks.pack(wanted, blocks.QUERY_ROWS, width, quantise, fields)
+    c, n_c = blocks.pack(candidates, blocks.CANDIDATE_ROWS, quantise, fields)
+    q, n_q = blocks.pack(blocks.usable(queries, key, vector, zero=False), blocks.QUERY_ROWS, quantise, fields)
 
     def load(row: dict):
         ids = np.frombuffer(row["ids"], dtype=np.int64)
-        read = lambda name, kind: np.frombuffer(row[name], dtype=kind).reshape(-1, width)
+        read = lambda name, kind: np.frombuffer(row[name], dtype=kind).reshape(len(ids), -1)
         return ids, read("vectors", row["kind"]).astype(np.float64), read("int8", np.int8), np.frombuffer(row["norms"]).reshape(4, -1)
 
     def tile(a: dict, b: dict):

@@ -1,6 +1,7 @@
 """Vectors in packed blocks, tiles of query blocks against candidate blocks, merging by heaps.
 
-A block is one row: its vectors' ids and numbers as binary columns, a bounded number of vectors. A
+A block is one row: the ids and numbers of vectors of one length as binary columns, a bounded number
+of them. A
 tile is one query block with one candidate block; tiles are dealt by their pair of block numbers,
 so a task holds one tile at a time whatever the size of the table. A tile returns one row per query
 with its best candidates, and a streaming heap merges the rows of a query.
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.session import ship_package
+from riskframe.session import materialize, ship_package
 
 QUERY_ROWS, CANDIDATE_ROWS = 512, 2048
 
@@ -30,50 +31,47 @@ def usable(vectors: DataFrame, key: str, vector: str, zero: bool) -> DataFrame:
     return chosen if zero else chosen.where(F.exists("v", lambda x: x != 0))
 
 
-def common_length(vectors: DataFrame) -> int:
-    """The most common length of ``v`` (the larger of equals); 0 for an empty table."""
-    best = vectors.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return best["d"] if best else 0
+def pack(vectors: DataFrame, rows: int, encode: Callable[[np.ndarray], dict], fields: str, extra: str = "") -> tuple[DataFrame, DataFrame]:
+    """One row per block: length d, block, ids, and what ``encode`` makes of the block's matrix; and the
+    number of blocks for each length.
 
-
-def pack(vectors: DataFrame, rows: int, width: int, encode: Callable[[np.ndarray], dict], fields: str, extra: str = "") -> tuple[DataFrame, int]:
-    """One row per block: block, ids, and what ``encode`` makes of the block's matrix.
-
-    ``fields`` are the columns that ``encode`` returns. ``extra`` names a long column of
-    ``vectors`` that travels along. Of rows with the same id the one with the smallest vector stays.
+    Only vectors of one length meet in a block. ``fields`` are the columns that ``encode`` returns.
+    ``extra`` names a long column of ``vectors`` that travels along. Of rows with the same id and
+    length the one with the smallest vector stays.
     """
     ship_package(vectors.sparkSession)
-    blocks = max(1, -(-vectors.count() // rows))
-    chosen = vectors.select("id", "v", *([extra] if extra else [])).withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    )
+    sized = vectors.select("id", "v", F.size("v").alias("d"), *([extra] if extra else []))
+    # one row per length, written so that its size is known when it is joined
+    sizes = materialize(sized.groupBy("d").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("blocks")), "block-sizes")
+    chosen = sized.join(sizes, "d").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks")
 
     def run(key, table):
         ids = table.column("id").to_numpy()
         column = table.column("v").combine_chunks()
-        matrix = column.flatten().to_numpy().reshape(len(ids), width)
+        matrix = column.flatten().to_numpy().reshape(len(ids), key[0].as_py())
         order = np.argsort(ids, kind="stable")
         if len(ids) > 1 and (ids[order][1:] == ids[order][:-1]).any():
             order = np.lexsort((*matrix.T[::-1], ids))
             order = order[np.r_[True, ids[order][1:] != ids[order][:-1]]]
-        out = {"block": pa.scalar(key[0].as_py(), pa.int32()), "ids": ids[order].tobytes()}
+        out = {"d": pa.scalar(key[0].as_py(), pa.int32()), "block": pa.scalar(key[1].as_py(), pa.int32()), "ids": ids[order].tobytes()}
         out |= encode(np.ascontiguousarray(matrix[order]))
         if extra:
             out[extra] = table.column(extra).to_numpy()[order].tobytes()
-        return pa.table({k: pa.array([v.as_py() if isinstance(v, pa.Scalar) else v], pa.int32() if k == "block" else None) for k, v in out.items()})
+        return pa.table({k: pa.array([v.as_py() if isinstance(v, pa.Scalar) else v], pa.int32() if k in ("d", "block") else None) for k, v in out.items()})
 
-    schema = f"block int, ids binary, {fields}" + (f", {extra} binary" if extra else "")
-    return chosen.groupBy("block").applyInArrow(run, schema), blocks
+    schema = f"d int, block int, ids binary, {fields}" + (f", {extra} binary" if extra else "")
+    return chosen.groupBy("d", "block").applyInArrow(run, schema), sizes
 
 
-def tiles(queries: DataFrame, candidates: DataFrame, q_blocks: int, c_blocks: int, tile: Callable, score: str) -> DataFrame:
+def tiles(queries: DataFrame, candidates: DataFrame, q_sizes: DataFrame, c_sizes: DataFrame, tile: Callable, score: str) -> DataFrame:
     """(query_id, ids, scores): what ``tile(query block, candidate block)`` finds in every tile.
 
-    A query block goes to each candidate block and the other way round: a stated query set against
-    all rows, in blocks.
+    A query block goes to each candidate block of its length and the other way round: a stated query
+    set against all rows, in blocks.
     """
-    left = queries.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))).withColumnRenamed("block", "q")
-    right = candidates.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).withColumnRenamed("block", "c")
+    each = lambda df, sizes, name: df.join(sizes, "d").withColumn(name, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    left = each(queries, c_sizes, "c").withColumnRenamed("block", "q")
+    right = each(candidates, q_sizes, "q").withColumnRenamed("block", "c")
     kind = pa.float64() if score == "double" else pa.int64()
     schema = pa.schema([("query_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("scores", pa.list_(kind))])
 
@@ -93,7 +91,7 @@ def tiles(queries: DataFrame, candidates: DataFrame, q_blocks: int, c_blocks: in
             schema=schema,
         )
 
-    return left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(
+    return left.groupBy("d", "q", "c").cogroup(right.groupBy("d", "q", "c")).applyInArrow(
         run, f"query_id long, ids array<long>, scores array<{score}>"
     )
 

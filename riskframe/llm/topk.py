@@ -11,8 +11,8 @@ by another node. Row blocks hold a part of every list.
    below the cutoff is dropped; the others are resolved exactly in integers, and heaps merge.
 
 Defined results: components are ``floor(64 * x)``; a query never finds rows of its own id; vectors
-that are null, empty, hold a null or non-finite number, have a null id, or another length than the
-most common one take no part, zero vectors do; of rows with the same id the smallest vector counts;
+that are null, empty, hold a null or non-finite number or have a null id take no part, zero vectors do;
+queries meet vectors of their own length; of rows with the same id and length the smallest vector counts;
 ties go to the smaller id; an empty table gives no rows. A score beyond a long raises an error.
 """
 
@@ -52,21 +52,21 @@ def top_k(
         "id", F.transform("v", lambda x: F.floor(x.cast("double") * 64)).alias("v")
     )
     candidates = whole(blocks.usable(vectors, key, vector, zero=True))
-    width = blocks.common_length(candidates)
-    fit = F.size("v") == width
     fields = "kind string, vectors binary"
-    c, n_c = blocks.pack(candidates.where(fit), blocks.CANDIDATE_ROWS, width, encode, fields)
-    wanted = whole(blocks.usable(queries, key, vector, zero=True)).where(fit)
-    q, n_q = blocks.pack(wanted, blocks.QUERY_ROWS, width, encode, fields)
-    cuts = np.linspace(0, width, min(lists, max(1, width)) + 1).astype(int)
-    groups = list(zip(cuts[:-1], cuts[1:]))
+    c, n_c = blocks.pack(candidates, blocks.CANDIDATE_ROWS, encode, fields)
+    wanted = whole(blocks.usable(queries, key, vector, zero=True))
+    q, n_q = blocks.pack(wanted, blocks.QUERY_ROWS, encode, fields)
+
+    def groups_of(width: int) -> list[tuple[int, int]]:
+        cuts = np.linspace(0, width, min(lists, width) + 1).astype(int).tolist()
+        return list(zip(cuts[:-1], cuts[1:]))
 
     def load(a: dict, b: dict):
         ids = [np.frombuffer(x["ids"], dtype=np.int64) for x in (a, b)]
-        x, y = (np.frombuffer(r["vectors"], dtype=r["kind"]).reshape(-1, width) for r in (a, b))
+        x, y = (np.frombuffer(r["vectors"], dtype=r["kind"]).reshape(len(i), -1) for r, i in zip((a, b), ids))
         place = np.searchsorted(ids[1], ids[0]).clip(0, len(ids[1]) - 1)
         own = np.flatnonzero(ids[1][place] == ids[0])
-        parts = [partial(x[:, s:e], y[:, s:e]) for s, e in groups]
+        parts = [partial(x[:, s:e], y[:, s:e]) for s, e in groups_of(x.shape[1])]
         partial(x[:1], y[:1])  # the whole sum must fit as well
         return *ids, x, y, parts, (own, place[own])
 
@@ -100,7 +100,7 @@ def top_k(
         free = cutoff == np.iinfo(np.int64).min  # fewer than k candidates at all: everything counts
         share = cutoff / len(parts)
         any_, upper = np.zeros((len(qi), len(ci)), dtype=bool), np.zeros((len(qi), len(ci)))
-        for (s, e), p in zip(groups, parts):
+        for (s, e), p in zip(groups_of(x.shape[1]), parts):
             enough = p >= np.floor(share)
             any_ |= enough
             norms = [np.sqrt((z[:, s:e].astype(np.float64) ** 2).sum(axis=1)) for z in (x, y)]
@@ -116,5 +116,5 @@ def top_k(
     gathered = blocks.merge(blocks.tiles(q, c, n_q, n_c, gather, "long"), k, "long")
     safe = materialize(gathered.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("cutoff")), "cutoffs")
     informed = wanted.join(safe, "id", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(-(2**63)).cast("long")))
-    q, n_q = blocks.pack(informed, blocks.QUERY_ROWS, width, encode, fields, extra="cutoff")
+    q, n_q = blocks.pack(informed, blocks.QUERY_ROWS, encode, fields, extra="cutoff")
     return blocks.merge(blocks.tiles(q, c, n_q, n_c, collect, "long"), k, "long")

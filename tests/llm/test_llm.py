@@ -78,6 +78,23 @@ def test_nearest_is_exact(spark, monkeypatch, whole):
     assert find(df.where("vec_id = -1"), df.where("vec_id = -1")).count() == 0
 
 
+@pytest.mark.parametrize("find", [topk.top_k, ann.nearest])
+def test_vectors_of_two_lengths_meet_their_own(spark, find):
+    rng = np.random.default_rng(4)
+    data = [(i, rng.normal(size=4 if i % 2 else 8).tolist()) for i in range(120)] + [(200, [1.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = rows(find(df, df.where("vec_id % 20 < 2 or vec_id = 200"), k=3))
+    sizes = {i: len(v) for i, v in data}
+    assert all(sizes[r["query_id"]] == sizes[r["vec_id"]] for r in got)
+    # the only vector of its length finds none
+    assert collections.Counter(r["query_id"] for r in got) == {q: 3 for q in sizes if q % 20 < 2 and q < 200}
+    scores = {i: [int(np.floor(64 * x)) for x in v] if find is topk.top_k else v for i, v in data}
+    for r in got:
+        assert r["score"] == pytest.approx(sum(a * b for a, b in zip(scores[r["query_id"]], scores[r["vec_id"]])))
+        better = [i for i in scores if i != r["query_id"] and sizes[i] == sizes[r["query_id"]] and sum(a * b for a, b in zip(scores[r["query_id"]], scores[i])) > r["score"] + 1e-9]
+        assert len(better) < r["rank"]
+
+
 # ---------------------------------------------------------------- tokens
 def test_blocks_round_trip():
     rng = np.random.default_rng(0)
@@ -109,6 +126,30 @@ def test_encoding_is_the_librarys():
         assert decoder.feed(ids[:2]) + decoder.feed(ids[2:], last=True) == tok.decode(want, skip_special_tokens=False)
 
 
+def test_every_letter_is_split_as_the_library_does():
+    # the planes that have letters of scripts, alone and inside a word; capitals whose small letters lie elsewhere are among them
+    path, tok = queries.tokenizer_path(), library()
+    both = bpe.Runs(bpe.model_at(path)), token_files.LibraryRuns(path)
+    points = [c for c in [*range(0x3000), *range(0xA000, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x17000), *range(0x18D00, 0x20000), *range(0x20000, 0x110000, 1999)]]
+    for at in range(0, len(points), 20_000):
+        texts = [form.format(chr(c)) for c in points[at : at + 20_000] for form in ("{}", "a{}b")]
+        for text, encoded in zip(texts, tok.encode_batch(texts, add_special_tokens=False)):
+            for runs in both:
+                assert runs.encode(text.encode()).tolist() == encoded.ids, ascii(text)
+    for text in ("Əhməd Ɔman Ɛwe", "İSTANBUL ΟΔΟΣ", "x\u1c89y \U00010940"):
+        assert all(runs.encode(text.encode()).tolist() == tok.encode(text, add_special_tokens=False).ids for runs in both)
+
+
+def test_long_words_come_piece_by_piece(monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE", 1000)
+    monkeypatch.setattr(bpe, "STEP", 64)
+    runs, tok = bpe.Runs(bpe.model_at(queries.tokenizer_path())), library()
+    for text in ("intheand" * 2000 + " the " + "é!9" * 900, "the end " * 1000, "<|endoftext|>ab" * 400, ""):
+        parts = list(runs.stream(text.encode()))
+        assert np.concatenate(parts).tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert len(parts) > 4 or not text
+
+
 def test_many_special_tokens_in_one_run():
     tok, runs = library(), bpe.Runs(bpe.model_at(queries.tokenizer_path()))
     for text in ("<|endoftext|>" * 5000, "It's<|endoftext|>é<|x" * 3000, "<|endoftext|>a" * 2 + "<|"):
