@@ -14,7 +14,9 @@ Built-in expressions only. The steps:
    number, drawn by inversion from a hash of (seed, node, source), given what earlier sources took.
    Shares are exact at every node, and leaves sum to the quotas.
 4. A shard takes a consecutive, hence disjoint, range of each source's draws, and orders its pieces
-   by a hash.
+   by a hash. What a document contributes is read off its shards.
+
+The depth of the tree follows from the words: a shard holds ``SHARD_WORDS`` at most.
 
 Defined results: a null text has size 0; the null source is a source of its own, after all others;
 empty documents and sources are never taken; repeated rows are separate documents; an empty table
@@ -33,8 +35,10 @@ WORDS = r"[^\x20\x09-\x0D]+"
 BLOCKS, MAX_BLOCK = 256, 16384
 #: Documents per bin of the word axis.
 BIN = 4096
-#: Sources up to which their plan is broadcast; a row takes under 1 kB.
-BROADCAST_SOURCES = 10_000
+#: Shards there are at least, as a power of two, and words a shard is meant to hold at most.
+LEAST_DEPTH, SHARD_WORDS = 4, 1 << 25
+#: Numbers in the plan of all sources (one for each shard, a few more) up to which it is broadcast.
+BROADCAST_NUMBERS = 1_000_000
 #: Multipliers of the block permutation: primes, so one that does not divide n is coprime to it.
 PRIMES = (2654435761, 2246822519, 3266489917, 668265263, 374761393)
 
@@ -137,7 +141,7 @@ def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
     return nodes
 
 
-def plan_mix(sizes: DataFrame, weights=(5, 2, 1), cap: float = 3.0, depth: int = 4, seed: int = 9) -> DataFrame:
+def plan_mix(sizes: DataFrame, weights=(5, 2, 1), cap: float = 3.0, depth: int = LEAST_DEPTH, seed: int = 9) -> DataFrame:
     """One row per source: target, block size, number of blocks, quota, permutation, and ``ends``,
     the running quotas of the shards."""
     plan = (
@@ -166,12 +170,13 @@ def plan_mix(sizes: DataFrame, weights=(5, 2, 1), cap: float = 3.0, depth: int =
 
 
 def mix(
-    documents: DataFrame, weights=(5, 2, 1), cap: float = 3.0, depth: int = 4, seed: int = 9, key: str = "doc_id"
+    documents: DataFrame, weights=(5, 2, 1), cap: float = 3.0, depth: int | None = None, seed: int = 9, key: str = "doc_id"
 ) -> DataFrame:
-    """Every document with its size, source_size, target, taken words, and ``pieces``.
+    """Every document with its size, source_size, target, taken words, ``shards`` and ``pieces``.
 
     A piece is (shard, order, epoch, first, words): ``words`` words from the one numbered ``first``
-    (0-based) go to ``shard``, in place ``order``. ``row`` tells rows of the same key apart.
+    (0-based) go to ``shard``, in place ``order``. ``shards`` has (shard, words) in order of shards, and
+    ``taken`` is their sum. ``row`` tells rows of the same key apart.
     """
     sizes = materialize(
         documents.select(
@@ -182,8 +187,11 @@ def mix(
         ),
         "mix-sizes",
     )
+    if depth is None:
+        words = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        depth = max(LEAST_DEPTH, (-(-words // SHARD_WORDS) - 1).bit_length())
     plan = materialize(plan_mix(sizes, weights, cap, depth, seed), "mix-plan")
-    small = plan.count() <= BROADCAST_SOURCES
+    small = plan.count() * ((1 << depth) + 16) <= BROADCAST_NUMBERS
     plan = F.broadcast(plan) if small else plan
     docs = sizes.withColumnRenamed("source", "own")
     binned = docs.join(plan, F.col("own").eqNullSafe(F.col("source"))).withColumn(
@@ -197,7 +205,14 @@ def mix(
     laid = laid.withColumn("at", F.col("before") + F.col("inside"))
 
     rank = lambda b: F.pmod(b * F.col("factor") + F.col("shift"), F.col("blocks"))
-    shard = lambda d: F.size(F.filter("ends", lambda e: e <= d))
+
+
+    def shard(d: Column) -> Column:
+        """How many of the 2^depth running quotas lie at or below draw ``d``, by binary search."""
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(depth))]) if depth else F.array().cast("array<int>")
+        # the last of them is the quota itself, which no draw reaches
+        return F.aggregate(steps, F.lit(0), lambda at, n: F.when(F.get("ends", at + n - 1) <= d, at + n).otherwise(at))
+
     touched = F.expr("case when size > 0 then sequence(at div block, (at + size - 1) div block) else array() end")
 
     def drawn(b: Column) -> Column:
@@ -219,14 +234,21 @@ def mix(
             ),
         )
 
-    return laid.withColumn("pieces", F.flatten(F.transform(touched, drawn))).select(
+    held = F.array_sort(F.array_distinct(F.transform("pieces", lambda p: p["shard"])))
+    total = lambda pieces: F.aggregate(pieces, F.lit(0).cast("long"), lambda s, p: s + p["words"])
+    by_shard = F.transform(
+        held, lambda h: F.struct(h.alias("shard"), total(F.filter("pieces", lambda p: p["shard"] == h)).alias("words"))
+    )
+    laid = laid.withColumn("pieces", F.flatten(F.transform(touched, drawn))).withColumn("shards", by_shard)
+    return laid.select(
         F.col("doc").alias(key),
         F.col("own").alias("source"),
         "row",
         "size",
         "source_size",
         "target",
-        F.aggregate("pieces", F.lit(0).cast("long"), lambda s, p: s + p["words"]).alias("taken"),
+        total(F.col("shards")).alias("taken"),
+        "shards",
         "pieces",
     )
 

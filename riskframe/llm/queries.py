@@ -67,7 +67,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    parts = F.transform("shards", lambda s: F.concat_ws(":", s["shard"], s["words"]))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.array_join(parts, ",").alias("shards"))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

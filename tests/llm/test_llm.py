@@ -516,3 +516,50 @@ def test_pipeline_mixes_repeated_rows_as_often_as_drawn(spark):
     taken = mixing.mix(docs, weights=(5, 2, 1), cap=3).groupBy("source").agg(F.sum("taken").alias("n"))
     got = P.mixed(spark, docs, "").groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n"))
     assert {(r.source, r.n) for r in got.collect()} == {(r.source, r.n) for r in taken.collect() if r.n}
+
+
+def test_shards_hold_every_draw_once(spark):
+    data = [(i, " ".join(["w"] * random.randint(0, 90)), random.choice(["a", "a", "a", "b", None])) for i in range(700)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    sizes = docs.select("source", mixing.word_count(F.col("text")).alias("size"))
+    plan = {r.source: r for r in mixing.plan_mix(sizes, depth=3).collect()}
+    out = mixing.mix(docs, depth=3).collect()
+    draws = collections.defaultdict(lambda: collections.defaultdict(int))
+    for r in out:
+        spans = sorted((p.epoch, p.first, p.first + p.words) for p in r.pieces)
+        # pieces of one epoch do not overlap, and lie inside the document
+        assert all(a[0] < b[0] or a[2] <= b[1] for a, b in zip(spans, spans[1:])) and all(0 <= a < b <= r.size for _, a, b in spans)
+        assert r.taken == sum(p.words for p in r.pieces)
+        assert [(s.shard, s.words) for s in r.shards] == sorted(
+            (k, sum(p.words for p in r.pieces if p.shard == k)) for k in {p.shard for p in r.pieces}
+        )
+        for p in r.pieces:
+            draws[r.source][p.shard, p.epoch, p.order] += p.words
+    for source, row in plan.items():
+        tail = row.source_size - (row.blocks - 1) * row.block
+        found = draws[source]
+        # each draw is one whole block, in one shard; only the last block may be shorter
+        assert len(found) == row.quota == row.ends[-1] and set(found.values()) <= {row.block, tail}
+        assert len({order for _, _, order in found}) == len(found)
+        per_shard = collections.Counter(shard for shard, _, _ in found)
+        assert [per_shard[k] for k in range(8)] == np.diff([0, *row.ends]).tolist()
+        # a block comes again only when all others had their turn
+        per_epoch = collections.Counter(epoch for _, epoch, _ in found)
+        assert [per_epoch[e] for e in sorted(per_epoch)] == [row.blocks] * (row.quota // row.blocks) + [row.quota % row.blocks] * (row.quota % row.blocks > 0)
+        assert sum(found.values()) == sum(r.taken for r in out if r.source == source)
+
+
+def test_depth_follows_the_words(spark, monkeypatch):
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.lit("a b c d e f g h i j").alias("text"), F.lit("s").alias("source"))
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 10)
+    deep = mixing.mix(docs).select(F.explode("pieces.shard").alias("s")).agg(F.max("s")).first()[0]
+    assert 32 <= deep < 64
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 1 << 25)
+    assert mixing.mix(docs).select(F.explode("pieces.shard").alias("s")).agg(F.max("s")).first()[0] < 16
+    # the pipeline writes its rows shard by shard
+    import corpus_pipeline as P
+
+    out = P.mixed(spark, docs.withColumn("n_chars", F.length("text")).withColumn("lang", F.lit("en")), "")
+    assert out.agg(F.sum(mixing.word_count(F.col("text")))).first()[0] == mixing.mix(docs).agg(F.sum("taken")).first()[0]
+    order = [r.doc_id for r in out.coalesce(1).collect()]
+    assert sorted(order) != order
