@@ -72,7 +72,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that is taken whole keeps its text as it is; of another one the words of its drawn
     blocks are joined by blanks. Of rows that repeat id, text and source each drawn copy comes out as
-    often as it was drawn, with the other columns of the least.
+    often as it was drawn, with the other columns of the least. Rows come out shard by shard, in the
+    shuffled order of the shard; a document with pieces in several shards goes to the first of them.
     """
     taken = mixing.mix(docs, weights=(5, 2, 1), cap=3).where("taken > 0")
     epochs = taken.select(
@@ -82,9 +83,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     parts = epochs.withColumn("__parts", F.array_sort(F.transform(
         F.filter("pieces", lambda p: p["epoch"] == F.col("__epoch")),
         lambda p: F.struct(p["first"].alias("first"), p["words"].alias("words")),
+    ))).withColumn("__place", F.array_min(F.transform(
+        F.filter("pieces", lambda p: p["epoch"] == F.col("__epoch")),
+        lambda p: F.struct(p["shard"].alias("shard"), p["order"].alias("order")),
     ))).withColumn("__n", F.aggregate("__parts", F.lit(0).cast("long"), lambda s, p: s + p["words"]))
-    what = ["__row", "__source", "__epoch", "__parts", (F.col("__n") == F.col("size")).alias("__whole")]
-    parts = saved(parts.select(*what).groupBy("__row", "__source", "__epoch", "__parts", "__whole").agg(F.count(F.lit(1)).alias("__times")), "mixed")
+    what = ["__row", "__source", "__epoch", "__parts", (F.col("__n") == F.col("size")).alias("__whole"), F.col("__place.shard").alias("__shard")]
+    grouped = parts.select(*what, F.col("__place.order").alias("__order")).groupBy("__row", "__source", "__epoch", "__parts", "__whole", "__shard")
+    parts = saved(grouped.agg(F.count(F.lit(1)).alias("__times"), F.min("__order").alias("__order")), "mixed")
     rows = docs.withColumn("__row", F.xxhash64(F.lit(9), "doc_id", "text")).withColumn("__source", F.col("source").cast("string"))
     repeated = rows.groupBy("__row", "__source").count().where("count > 1").select(F.col("__row").alias("__r"), F.col("__source").alias("__s"))
     repeated = saved(repeated, "mixed-repeated")
@@ -104,7 +109,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice(F.col("__words"), (p["first"] + 1).cast("int"), p["words"].cast("int")))), " ")
     rows = rows.withColumn("__words", F.when(~F.col("__whole"), words))
     rows = rows.withColumn("text", F.when(F.col("__whole"), F.col("text")).otherwise(cut))
-    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.repartition("__shard").sortWithinPartitions("__shard", "__order", "__row").select(docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
