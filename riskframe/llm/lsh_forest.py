@@ -303,10 +303,9 @@ def shared_counts(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat(there.astype(np.int64), np.cumsum(sizes) - sizes)
 
 
-def rest(opened: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, shape: Shape, each: int | None) -> DataFrame:
-    """Pairs (a, b) in open regions whose ends are in different components and whose sets, by the
-    hashes of their shingles, are similar; with ``each`` no more than that for each left member."""
-    part, whole = shape.part, shape.whole
+def mixed_rows(opened: DataFrame, roots: DataFrame, shape: Shape) -> DataFrame:
+    """The rows of open regions that hold several components: (tree, region, id, label, most, lefts,
+    rights) with the label of most members and the numbers of blocks to compare."""
     rows = labelled(opened.select("tree", "region", F.col("a").alias("id")), roots, "id", "label")
     sizes = rows.groupBy("region", "label").count()
     mixed = sizes.groupBy("region").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("members"))
@@ -314,8 +313,32 @@ def rest(opened: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFra
         "region", F.col("top.label").alias("most"),
         F.ceil((F.col("members") - F.col("top.count")) / shape.block).alias("lefts"), F.ceil(F.col("members") / shape.side).alias("rights"),
     )
-    rows = rows.join(materialize(mixed, "forest-mixed"), "region").join(classes.select("id", "n", "sig"), "id")
-    rows = rows.join(texts.withColumnRenamed("row", "id"), "id")
+    return materialize(rows.join(materialize(mixed, "forest-mixed"), "region"), "forest-open")
+
+
+def sets_of(ids: DataFrame, texts: DataFrame, shingle: int, shape: Shape) -> DataFrame:
+    """(id, n, sig, hashes) of some classes: their shingle hashes, sorted, and signatures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes((t.as_py() or "").encode("utf-8", "replace"), shingle) for t in batch.column(1)]
+            columns = [
+                batch.column(0), pa.array(list(map(len, sets)), pa.int64()),
+                pa.array([signature(x, shape.values).tobytes() for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "sig", "hashes"])
+
+    # written, so that its size tells how to join it
+    ids = materialize(ids.select(F.col("id").alias("row")).distinct(), "forest-open-ids")
+    wanted = texts.join(ids, "row", "left_semi").select("row", "text")
+    return materialize(wanted.mapInArrow(run, "id long, n long, sig binary, hashes binary"), "forest-open-sets")
+
+
+def rest(rows: DataFrame, sets: DataFrame, shape: Shape, each: int | None) -> DataFrame:
+    """Pairs (a, b) of ``mixed_rows`` in different components whose sets, by the hashes of their
+    shingles, are similar; with ``each`` no more than that for each left member."""
+    part, whole = shape.part, shape.whole
+    rows = rows.join(sets, "id")
     to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     left = rows.where(F.col("label") != F.col("most")).withColumn("l", own("lefts")).withColumn("r", to("rights")).withColumn("left", F.lit(True))
@@ -326,13 +349,7 @@ def rest(opened: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFra
         ids, n, label, tree = (table.column(c).to_numpy() for c in ("id", "n", "label", "tree"))
         is_left = table.column("left").to_numpy(zero_copy_only=False)
         mine, other = np.flatnonzero(is_left), np.flatnonzero(~is_left)
-        text, known = table.column("text"), {}
-
-        def hashes(i: int) -> np.ndarray:
-            if i not in known:
-                known[i] = shingle_hashes((text[i].as_py() or "").encode("utf-8", "replace"), shingle)
-            return known[i]
-
+        known = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes")]
         out = []
         for i in mine.tolist():
             j = other[(label[other] != label[i]) & (whole * np.minimum(n[other], n[i]) >= part * np.maximum(n[other], n[i]))]
@@ -344,7 +361,7 @@ def rest(opened: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFra
             j, agree = j[good], agree[good]
             if not len(j):
                 continue
-            both = shared_counts(hashes(i), [hashes(x) for x in j.tolist()])
+            both = shared_counts(known[i], [known[x] for x in j.tolist()])
             linked = whole * both >= part * (n[i] + n[j] - both)
             j, agree = j[linked], agree[linked]
             if each is not None:
@@ -353,7 +370,7 @@ def rest(opened: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFra
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    groups = left.unionByName(right).select("region", "l", "r", "left", "tree", "id", "n", "sig", "label", "text").groupBy("region", "l", "r")
+    groups = left.unionByName(right).select("region", "l", "r", "left", "tree", "id", "n", "sig", "label", "hashes").groupBy("region", "l", "r")
     return groups.applyInArrow(match, "a long, b long").distinct()
 
 
@@ -382,9 +399,12 @@ def near_duplicates(documents: DataFrame, shingle: int = 2, shape: Shape = shape
     roots = components(links)
 
     tested = likely.select("a", "b")
-    opened = found.where("b is null")
+    opened, sets = found.where("b is null"), None
     for each in (2, None):
-        pairs = rest(opened, classes, texts, roots, shingle, shape, each)
+        rows = mixed_rows(opened, roots, shape)
+        if sets is None:  # later rounds have rows of the same classes
+            sets = sets_of(rows, texts, shingle, shape)
+        pairs = rest(rows, sets, shape, each)
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "forest-rest")
         if pairs.take(1):
             links = links.unionByName(confirm(pairs, texts, shingle, shape))
