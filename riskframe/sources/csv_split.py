@@ -56,35 +56,42 @@ class Records:
             self.at_header = first and self.names is not None
         quotes = pc.count_substring(lines, self.quote).to_numpy(zero_copy_only=False)
         after = ((np.cumsum(quotes) + self.inside) & 1).astype(bool)
-        before = np.r_[self.inside, after[:-1]]
-        apart = np.flatnonzero(before | after)
-        out = []
-        for i, line, inside in zip(apart.tolist(), lines.take(pa.array(apart)).to_pylist(), after[apart].tolist()):
-            if not before[i]:
-                self.pending, self.begun = [line], True
-                continue
-            self.pending.append(line)
-            if not inside:
-                out.append((i, "\n".join(self.pending), WHOLE if self.begun else CONTINUED))
-                self.pending, self.begun = [], False
+        begins = np.flatnonzero(~np.r_[self.inside, after[:-1]])
+        head = int(begins[0]) if len(begins) else len(lines)
+        if head:  # the record before goes on here
+            self.pending.append(joined(lines.slice(0, head), [0, head])[0].as_py())
         self.inside = bool(after[-1])
-        single = ~(before | after)
-        if self.at_header:
-            # the header is the first record, whether it is one line or several
-            alone = np.flatnonzero(single & (pc.utf8_length(pc.utf8_rtrim(lines, "\r")).to_numpy(zero_copy_only=False) > 0))
-            place = min([*alone[:1].tolist(), *(i for i, _, _ in out[:1])], default=None)
-            if place is not None:
-                text = out.pop(0)[1] if out and out[0][0] == place else lines[place].as_py()
-                single[place] = False
-                self.at_header = False
-                found = next(csv.reader([text.removesuffix("\r")], delimiter=self.sep, quotechar=self.quote))
-                if found != list(self.names):
-                    raise ValueError(f"header {found} where {list(self.names)} was expected")
-        yield lines if single.all() else lines.filter(pa.array(single)), WHOLE, number
-        for kind in (WHOLE, CONTINUED):
-            texts = [t for _, t, k in out if k == kind]
-            if texts:
-                yield pa.array(texts, pa.string()), kind, number
+        if not len(begins):
+            if not self.inside:
+                yield from self.close()
+            return
+        yield from self.close()
+        ends = np.r_[begins[1:], len(lines)]
+        if self.inside:
+            self.pending, self.begun = [joined(lines.slice(begins[-1]), [0, len(lines) - begins[-1]])[0].as_py()], True
+            begins, ends = begins[:-1], ends[:-1]
+        if len(begins):
+            part = lines.slice(head, ends[-1] - head)
+            records = part if len(part) == len(begins) else joined(part, np.r_[begins, ends[-1]] - head)
+            yield from self.out(records, WHOLE)
+
+    def out(self, texts: pa.Array, kind: int) -> Iterator[tuple[pa.Array, int, int]]:
+        if self.at_header and kind == WHOLE:
+            # the first record that is not empty
+            place = next((i for i, t in enumerate(texts) if t.as_py().strip("\r")), None)
+            if place is None:
+                return
+            found = next(csv.reader([texts[place].as_py().removesuffix("\r")], delimiter=self.sep, quotechar=self.quote))
+            if found != list(self.names):
+                raise ValueError(f"header {found} where {list(self.names)} was expected")
+            self.at_header, texts = False, texts.slice(place + 1)
+        yield texts, kind, self.range
+
+    def close(self) -> Iterator[tuple[pa.Array, int, int]]:
+        """The record that goes on from an earlier batch or range ends."""
+        if self.pending:
+            yield from self.out(pa.array(["\n".join(self.pending)], pa.string()), WHOLE if self.begun else CONTINUED)
+        self.pending, self.begun = [], False
 
     def end(self) -> Iterator[tuple[pa.Array, int, int]]:
         """What is left of the range's last record, if it goes on in the next range."""
@@ -93,9 +100,14 @@ class Records:
         self.pending = []
 
 
+def joined(lines: pa.Array, cuts) -> pa.Array:
+    """Lines from one cut to the next as one text each."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.asarray(cuts, np.int32)), lines), "\n")
+
+
 def _ranges(lines: DataFrame, quote: str) -> DataFrame:
     """(path, start, number, odd, cut) of the ranges of all files."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote)))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(quote)))
     counted = lines.groupBy("path", "start").agg(F.sum(quotes).alias("quotes"))
     before = F.sum("quotes").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     odd = F.coalesce(before % 2 == 1, F.lit(False))
