@@ -3,8 +3,8 @@
 The examples are a bounded sample of the labelled rows, ``MAX_EXAMPLES`` by a hash of the id. Terms
 are the words and word prefixes in at least ``LEAST`` distinct toxic texts of the sample whose presence
 goes with the label beyond the largest chi-square that chance gives among so many (twice the logarithm
-of their number), with an odds ratio above 1; the strongest ``MAX_TERMS``. All of these counts are of
-distinct texts. Document frequencies of the terms are counted over all documents.
+of their number), with an odds ratio above 1. All of these counts are of distinct texts, and all such
+terms are kept: the sample alone bounds them. Document frequencies of the terms are counted over all documents.
 
 The index numbers the examples in blocks and keeps, for every term, postings by block and the
 largest weight in each block. A search adds these maxima to an upper bound per block, visits blocks
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from riskframe.session import materialize, ship_package
 
-#: Bounds of the fitted model: labelled rows, terms, and examples per block of the index.
-MAX_EXAMPLES, MAX_TERMS, BLOCK = 20_000, 4096, 64
+#: Bound of the fitted model, labelled rows, and examples per block of the index.
+MAX_EXAMPLES, BLOCK = 20_000, 64
 #: Tokens that a task remembers, and bytes of text whose tokens it looks for together.
 CACHED, CHUNK_BYTES = 300_000, 1 << 20
 WORD = re.compile(r"[^\W\d_]+")
@@ -255,8 +255,6 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
         per_term.where(both & (a + b < n) & (a >= LEAST))
         .withColumn("chi", chi)
         .where((F.col("chi") >= 2 * float(np.log(tested))) & (a * (clean - b) > b * (toxic - a)))
-        .orderBy(F.desc("chi"), "term")
-        .limit(MAX_TERMS)
     )
     terms = sorted(r.term for r in strong.collect())
     numbers = {t: i for i, t in enumerate(terms)}
@@ -295,7 +293,7 @@ def score(documents: DataFrame, scorer: Scorer, key: str = "doc_id", threshold:
     """(key, held_out, score, predicted, neighbours) for every document."""
     spark = documents.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(scorer)  # bounded by MAX_EXAMPLES and MAX_TERMS
+    shared = spark.sparkContext.broadcast(scorer)  # bounded by the texts of MAX_EXAMPLES rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -376,6 +376,21 @@ def test_rare_toxic_words_are_terms(spark):
     assert got == {9000: 1, 9001: 0}
 
 
+def test_many_rare_terms_are_all_kept(spark):
+    # 650 words, each in 3 of 1,950 toxic texts: with their prefixes 4,550 terms
+    letters = "bcdfghjklm"
+    rare = [a + b + c + "q" + "rstuvw" for a in letters for b in letters for c in letters][:650]
+    ids = [i for i in range(20_200) if zlib.crc32(str(i).encode()) % 4 != 2][:15_000]
+    toxic = {i: rare[n // 3] for n, i in enumerate(ids[:1950])}
+    data = [(i, f"{toxic.get(i, 'fir')} oak elm {i}") for i in ids]
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int")
+    scorer = toxicity.fit(spark.createDataFrame(data, "doc_id long, text string"), labels)
+    assert {t for w in rare for t in toxicity.terms_of(w)} <= set(scorer.terms)
+    asked = spark.createDataFrame([(50_000 + k, f"elm {w}") for k, w in enumerate(rare)] + [(60_000, "oak elm")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["predicted"], bool(r["neighbours"])) for r in rows(toxicity.score(asked, scorer))}
+    assert got.pop(60_000) == (0, False) and set(got.values()) == {(1, True)}
+
+
 @pytest.mark.parametrize("share, copies", [(6, 0), (1, 3000)])
 def test_terms_at_skewed_rates(spark, share, copies):
     # six in ten texts toxic; one in ten, with many copies of one more toxic text
