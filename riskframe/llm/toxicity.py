@@ -144,10 +144,15 @@ class Index:
         order = order[bound[order] > 0]
         best, score = np.zeros(0, np.int64), np.zeros(0)
         slot = np.zeros(self.blocks, dtype=np.int64)
-        for i in range(0, len(order), 16):
-            some = order[i : i + 16]
-            if len(score) == k and bound[some[0]] * (1 + 1e-9) < score[-1]:
-                break
+        # a few blocks give a floor, below which the bounds of most others lie; these are visited together
+        at_once, done = 16, 0
+        while done < len(order):
+            some = order[done : done + at_once]
+            if len(score) == k:
+                some = some[bound[some] * (1 + 1e-9) >= score[-1]]
+                if not len(some):
+                    break
+            done, at_once = done + at_once, 512
             low, high = (self.begin[terms][:, some + d].ravel() for d in (0, 1))
             n = high - low
             at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
