@@ -7,6 +7,7 @@ from riskframe.operators import columns as C
 from riskframe.operators import reshape as R
 from riskframe.operators.ordered import positions
 from riskframe.operators.stats import correlation_matrix
+from riskframe.session import materialize
 
 STATUS = ["F", "O", "P"]
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -79,10 +80,14 @@ def resh_transpose(t):
 
 
 @query("""SELECT pos // 4 AS row, """ + ", ".join(f"max(value) FILTER (WHERE pos % 4 = {i}) AS c{i}" for i in range(4))
-       + """ FROM
+       + """, max(value) FILTER (WHERE pos % 4 = 1) AS back1 FROM
           (SELECT value, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events) GROUP BY 1""")
 def resh_fold(t):
-    return C.fold_rows(t.events.select("event_id", "value"), ["event_id"], "value", 4)
+    wide = materialize(C.fold_rows(t.events.select("event_id", "value"), ["event_id"], "value", 4), "folded")
+    # and back: the flattened positions must give the same cells again
+    flat = C.unfold_rows(wide, "row", [f"c{i}" for i in range(4)])
+    second = flat.filter(F.pmod("pos", F.lit(4)) == 1).select(F.floor(F.col("pos") / 4).alias("row"), F.col("value").alias("back1"))
+    return wide.join(second, "row")
 
 
 @query("""WITH n AS (SELECT count(*) AS n FROM supplier), p AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS pos FROM supplier)

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from riskframe.catalog import QUERIES, Tables
 from riskframe.operators import aggregate as G
 from riskframe.operators import columns as C
 from riskframe.operators import joins as J
@@ -338,6 +339,15 @@ def test_unfolding_gives_the_folded_cells_back(spark):
     assert sorted((r.pos, r.value) for r in flat.collect() if r.value is not None) == [(i, i * 1.5) for i in range(23)]
 
 
+def test_resh_fold_carries_the_cells_read_back_from_the_flat_positions(spark, tmp_path):
+    values = [None if i % 7 == 5 else i * 1.5 for i in range(22)]
+    spark.createDataFrame([(100 - i, values[21 - i]) for i in range(22)], "event_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    out = QUERIES["resh_fold"].run(Tables(spark, str(tmp_path)))
+    assert out.columns == ["row", "c0", "c1", "c2", "c3", "back1"]
+    padded = [*values, None, None]
+    assert sorted(map(tuple, out.collect())) == [(i, *padded[4 * i : 4 * i + 4], padded[4 * i + 1]) for i in range(6)]
+
+
 def test_too_many_levels_are_not_paired(spark, monkeypatch):
     df = spark.range(6).select((F.col("id") % 3).alias("k"), "id")
     assert J.pairs_of_levels(df, "k", F.sum("id"), "d").count() == 9
