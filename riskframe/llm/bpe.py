@@ -52,6 +52,8 @@ LATIN_END = "ɐ"
 LATIN = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼½¾]|[^{BLANKS}a-zªµºß-öø-ɏ0-9²³¹¼½¾]+"
 )
+#: The same for bytes of a lower-case ASCII run, which holds no white space.
+ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 def byte_letters() -> list[str]:
@@ -74,6 +76,7 @@ class Model:
             raise ValueError("not a lower-casing word-end BPE tokenizer file")
         vocab, self.mark = model["vocab"], model["end_of_word_suffix"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.special_bytes = re.compile(b"|".join(re.escape(x.encode()) for x in self.special) or rb"(?!)")
         self.letters_only = any(x.isalpha() and x.isascii() for x in self.special)
         self.path, self.library = path, None
         self.split_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
@@ -200,18 +203,23 @@ class Runs(dict):
     def __missing__(self, run: bytes) -> bytes:
         ids = self.old.get(run)
         if ids is None:
-            if run.isalpha() and not self.model.letters_only:
-                words = [run.lower()]
-            else:
-                words = split_run(self.model, run)
-            if len(words) == 1:
-                ids = self.word(words[0], run)
-            else:
-                ids = b"".join([self.word(w, run) for w in words])
+            ids = self.fresh(run)
         if len(run) <= CACHED_BYTES:
             self[run] = ids
         return ids
 
+    def fresh(self, run: bytes) -> bytes:
+        """The ids of a run that the cache does not hold."""
+        if run.isalpha() and not self.model.letters_only:
+            return self.word(run.lower(), run)
+        if run.isascii() and not self.model.special_bytes.search(run):
+            words = ASCII.findall(run.lower())
+        else:
+            words = split_run(self.model, run)
+        if len(words) == 1:
+            return self.word(words[0], run)
+        return b"".join([self.word(w, run) for w in words])
+
     def word(self, word: bytes | int, run: bytes) -> bytes:
         if isinstance(word, int):
             return array(self.kind, [word]).tobytes()
@@ -219,11 +227,15 @@ class Runs(dict):
             return self[word]
         return array(self.kind, self.tokens(self.model, word)).tobytes()
 
-    def stream(self, text: bytes) -> Iterator[np.ndarray]:
-        """Token ids of a text, some at a time."""
+    def renew(self) -> None:
+        """Begin another generation if this one is full."""
         if len(self) > CACHED_RUNS:
             self.old = dict(self)
             self.clear()
+
+    def stream(self, text: bytes) -> Iterator[np.ndarray]:
+        """Token ids of a text, some at a time."""
+        self.renew()
         for piece in pieces(text):
             if len(piece) <= 2 * PIECE:
                 yield np.frombuffer(b"".join(map(self.__getitem__, piece.split())), dtype=self.type)

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ BLOCK = 128
 PERCENTILES = (0.75, 0.9, 0.97, 1.0)
 #: Ids after which a segment is closed.
 SEGMENT = 1 << 18
+#: Bytes of text encoded together.
+PART = 16 << 20
 #: Segments up to which their positions, 16 bytes each, are broadcast.
 BROADCAST_SEGMENTS = 100_000
 HEAD = struct.Struct("<4sIQQ")
@@ -134,22 +137,44 @@ class LibraryRuns(bpe.Runs):
         merges = self.tokenizer.model
 
         def tokens(model, word):
-            return [t.id for t in merges.tokenize(word.decode("latin-1").translate(model.letters))]
+            # ASCII letters and digits stand for themselves
+            name = word.decode("ascii") if word.isalnum() else word.decode("latin-1").translate(model.letters)
+            return [t.id for t in merges.tokenize(name)]
 
         super().__init__(bpe.model_at(path), tokens)
 
-    def __missing__(self, run: bytes) -> bytes:
-        text = run.decode("utf-8", "replace")
-        beyond = not run.isascii() and max(text.lower()) >= bpe.LATIN_END
-        if beyond or any(special in text for special in self.model.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+    def fresh(self, run: bytes) -> bytes:
+        special = self.model.special_bytes.search(run)
+        if special or not run.isascii() and max(run.decode("utf-8", "replace").lower()) >= bpe.LATIN_END:
+            ids = self.tokenizer.encode(run.decode("utf-8", "replace"), add_special_tokens=False).ids
             return np.array(ids, dtype=self.type).tobytes()
-        return super().__missing__(run)
+        return super().fresh(run)
 
 
 _LIBRARY: dict[str, LibraryRuns] = {}
 
 
+def parts_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``PART`` bytes; a text longer than that is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(batch):
+        n = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART, "right")) - at)
+        yield batch.slice(at, n)
+        at += n
+
+
+def encode_texts(runs: bpe.Runs, texts: pa.Array) -> pa.Array:
+    """Packed ids of each text. A run that the texts share is looked up once; Arrow puts the ids together."""
+    if len(texts) == 1:
+        return pa.array([runs.encode((texts[0].as_py() or "").encode("utf-8", "replace")).tobytes()], pa.binary())
+    runs.renew()
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words = split.flatten().dictionary_encode()
+    ids = pa.array(list(map(runs.__getitem__, words.dictionary.cast(pa.binary()).to_pylist())), pa.binary())
+    return pc.binary_join(pa.ListArray.from_arrays(split.offsets, ids.take(words.indices)), b"")
+
+
 def tokenise(documents: DataFrame, path: str, end: int, key: str = "doc_id") -> DataFrame:
     """(key, tie, ids): packed little-endian ids of every document with ``end`` appended."""
     chosen = documents.select(key, F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
@@ -160,10 +185,9 @@ def tokenise(documents: DataFrame, path: str, end: int, key: str = "doc_id") ->
         runs = _LIBRARY[path]
         stop = np.array([end], dtype=runs.type).tobytes()
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                ids = [runs.encode((t.as_py() or "").encode("utf-8", "replace")).tobytes() + stop for t in part.column(2)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], [key, "tie", "ids"])
+            for part in parts_of(batch, 2):
+                ids = pc.binary_join_element_wise(encode_texts(runs, part.column(2)), stop, b"")
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids], [key, "tie", "ids"])
 
     kind = chosen.schema[key].dataType.simpleString()
     return chosen.mapInArrow(run, f"`{key}` {kind}, tie long, ids binary")

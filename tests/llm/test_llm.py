@@ -578,3 +578,21 @@ def test_depth_follows_the_words(spark, monkeypatch):
     assert out.agg(F.sum(mixing.word_count(F.col("text")))).first()[0] == mixing.mix(docs).agg(F.sum("taken")).first()[0]
     order = [r.doc_id for r in out.coalesce(1).collect()]
     assert sorted(order) != order
+
+
+def test_texts_encoded_together_have_the_ids_of_the_library(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    library = Tokenizer.from_file(path)
+    texts = [None, "", " \t\x0b\x0c\r\n ", "  Foo, foo's\x1cBAR\x85don't 12 ", "<|endoftext|>x a<|startoftext|>", "Ⱥb İx K ǅ été é 日本 ß\x00\x7f", "foo " * 50, "x" * 300]
+    runs = token_files.LibraryRuns(path)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for part in (10, 1 << 20):
+        monkeypatch.setattr(token_files, "PART", part)
+        batch = pa.RecordBatch.from_arrays([pa.array([*texts, *texts])], ["text"])
+        parts = list(token_files.parts_of(batch.slice(3), 0))
+        assert sum(map(len, parts)) == 13 and (len(parts) > 5) == (part == 10)
+        ids = [np.frombuffer(x, runs.type).tolist() for p in parts for x in token_files.encode_texts(runs, p.column(0)).to_pylist()]
+        assert ids == [*want, *want][3:]
