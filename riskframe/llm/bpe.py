@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from riskframe.session import ship_package
 
 #: Bytes of a run that the cache takes, and runs in each of its two generations.
-CACHED_BYTES, CACHED_RUNS = 40, 400_000
+CACHED_BYTES, CACHED_RUNS = 40, 100_000
 #: Bytes of text handled at a time.
 PIECE = 1 << 20
 #: Tokens decoded and digested at a time.
@@ -296,7 +296,6 @@ class Decoder:
 
 
 _MODELS: dict[str, Model] = {}
-_RUNS: dict[str, Runs] = {}
 
 
 def model_at(path: str) -> Model:
@@ -305,13 +304,6 @@ def model_at(path: str) -> Model:
     return _MODELS[path]
 
 
-def runs_at(path: str) -> Runs:
-    """This worker's cache for a tokenizer file."""
-    if path not in _RUNS:
-        _RUNS[path] = Runs(model_at(path))
-    return _RUNS[path]
-
-
 def encode_decode(documents: DataFrame, path: str, key: str = "doc_id", ids: bool = False) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256), with the token ids themselves if ``ids``.
 
@@ -322,7 +314,8 @@ def encode_decode(documents: DataFrame, path: str, key: str = "doc_id", ids: boo
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = runs_at(path)
+        # of this task: the worker lives on through stages that have no use for it
+        runs = Runs(model_at(path))
         decoder = Decoder(runs.model)
         numbers = np.array([str(i) for i in range(len(runs.model.names))], dtype=object)
         for batch in batches:

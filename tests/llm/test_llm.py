@@ -596,3 +596,19 @@ def test_texts_encoded_together_have_the_ids_of_the_library(monkeypatch):
         assert sum(map(len, parts)) == 13 and (len(parts) > 5) == (part == 10)
         ids = [np.frombuffer(x, runs.type).tolist() for p in parts for x in token_files.encode_texts(runs, p.column(0)).to_pylist()]
         assert ids == [*want, *want][3:]
+
+
+def test_a_worker_keeps_no_cache_of_runs_after_its_task(spark):
+    import gc
+
+    docs = spark.range(64).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("w"), F.hex("id")).alias("text"))
+    assert bpe.encode_decode(docs, queries.tokenizer_path()).agg(F.sum("n_tokens")).first()[0] > 0
+
+    def held(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            n = sum(type(x).__name__ == "Runs" for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int64())], ["n"])
+
+    assert docs.select("doc_id").mapInArrow(held, "n long").agg(F.max("n")).first()[0] == 0
