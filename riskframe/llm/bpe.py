@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.session import ship_package
+from riskframe.session import frugal, ship_package
 
 #: Bytes of a run that the cache takes, and runs in each of its two generations.
 CACHED_BYTES, CACHED_RUNS = 40, 100_000
@@ -318,30 +318,28 @@ def encode_decode(documents: DataFrame, path: str, key: str = "doc_id", ids: boo
         runs = Runs(model_at(path))
         decoder = Decoder(runs.model)
         numbers = np.array([str(i) for i in range(len(runs.model.names))], dtype=object)
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                rows, arrays = [], []
-                for text in part.column(1):
-                    digest, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
-                    decoder.reset()
-                    for tokens in runs.stream((text.as_py() or "").encode("utf-8", "replace")):
-                        for i in range(0, len(tokens), STEP):
-                            some = tokens[i : i + STEP]
-                            digest.update((" " * (n > 0) + " ".join(numbers[some].tolist())).encode())
-                            decoded.update(decoder.feed(some).encode())
-                            n += len(some)
-                        if ids:
-                            arrays.append(tokens)
-                    decoded.update(decoder.feed(np.zeros(0, runs.type), last=True).encode())
-                    rows.append((n, digest.hexdigest(), decoded.hexdigest()))
-                columns = [part.column(0), *(pa.array(x) for x in zip(*rows))]
-                if ids:
-                    ends = np.cumsum([0, *(r[0] for r in rows)], dtype=np.int32)
-                    flat = np.concatenate(arrays).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for part in batches:
+            rows, arrays = [], []
+            for text in part.column(1):
+                digest, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
+                decoder.reset()
+                for tokens in runs.stream((text.as_py() or "").encode("utf-8", "replace")):
+                    for i in range(0, len(tokens), STEP):
+                        some = tokens[i : i + STEP]
+                        digest.update((" " * (n > 0) + " ".join(numbers[some].tolist())).encode())
+                        decoded.update(decoder.feed(some).encode())
+                        n += len(some)
+                    if ids:
+                        arrays.append(tokens)
+                decoded.update(decoder.feed(np.zeros(0, runs.type), last=True).encode())
+                rows.append((n, digest.hexdigest(), decoded.hexdigest()))
+            columns = [part.column(0), *(pa.array(x) for x in zip(*rows))]
+            if ids:
+                ends = np.cumsum([0, *(r[0] for r in rows)], dtype=np.int32)
+                flat = np.concatenate(arrays).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = chosen.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(frugal(run), schema)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.session import materialize, ship_package
+from riskframe.session import frugal, materialize, ship_package
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns. Possessive digits start at a run's first digit, which finds the
@@ -148,7 +148,7 @@ def scan(documents: DataFrame, key: str) -> DataFrame:
 
     chosen = documents.select(key, F.xxhash64(key, "text").alias("row"), F.col("text").cast("string").alias("text"))
     schema = f"`{key}` {chosen.schema[key].dataType.simpleString()}, row long, " + ", ".join(f"n_{k} long" for k in KINDS)
-    return chosen.mapInArrow(run, schema + ", base string, seen array<struct<context: string, start: long, end: long, name: string, seed: boolean>>")
+    return chosen.mapInArrow(frugal(run), schema + ", base string, seen array<struct<context: string, start: long, end: long, name: string, seed: boolean>>")
 
 
 def count_contexts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def count_contexts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                     counts = Counter()
         yield out()
 
-    found = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "context string, n long")
+    found = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(frugal(run), "context string, n long")
     found = found.groupBy("context").agg(F.sum("n").alias("total"))
     return wanted.join(found, "context", "left").select("context", F.coalesce("total", F.lit(0)).alias("total"))
 
@@ -287,4 +287,4 @@ def redact(documents: DataFrame, key: str = "doc_id") -> DataFrame:
             columns = [pa.array(texts, batch.schema.field(i).type) if i == at else batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]))
 
-    return marked.mapInArrow(run, documents.schema)
+    return marked.mapInArrow(frugal(run), documents.schema)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.session import materialize, ship_package
+from riskframe.session import frugal, materialize, ship_package
 
 #: Members of a node pair beyond which it is split by a Spark job rather than in a task.
 TASK_MEMBERS = 200_000
@@ -72,7 +72,7 @@ def fingerprints(documents: DataFrame, shingle: int = 3, seed: int = 42, key: st
             yield pa.RecordBatch.from_arrays([batch.column(0), column], [key, "fp"])
 
     chosen = documents.select(key, F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(run, f"`{key}` {chosen.schema[key].dataType.simpleString()}, fp long")
+    return chosen.mapInArrow(frugal(run), f"`{key}` {chosen.schema[key].dataType.simpleString()}, fp long")
 
 
 def _deal(classes: DataFrame, distance: int, limit: int) -> DataFrame:
@@ -234,7 +234,7 @@ def links(classes: DataFrame, distance: int = 3, limit: int = TASK_MEMBERS) -> D
         apart = a != b
         yield pa.RecordBatch.from_arrays([pa.array(a[apart]), pa.array(b[apart])], ["a", "b"])
 
-    return tasks.repartition(partitions, "task").mapInArrow(run, "a long, b long").distinct()
+    return tasks.repartition(partitions, "task").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.session import materialize, ship_package
+from riskframe.session import frugal, materialize, ship_package
 
 #: Bound of the fitted model, labelled rows, and examples per block of the index.
 MAX_EXAMPLES, BLOCK = 20_000, 64
@@ -247,7 +247,7 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
     distinct = materialize(sample.select("text", "y").distinct(), "toxicity-texts")
     witnesses = {r.y: r["count"] for r in distinct.groupBy("y").count().collect()}
     clean, toxic = witnesses.get(0, 0), witnesses.get(1, 0)
-    per_term = distinct.mapInArrow(words, "term string, clean long, toxic long")
+    per_term = distinct.mapInArrow(frugal(words), "term string, clean long, toxic long")
     per_term = materialize(per_term.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-terms")
     n = clean + toxic
     # of one label alone nothing can be learnt
@@ -273,7 +273,7 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
         seen[-1] = total
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
 
-    counted = texts.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = texts.select("text").mapInArrow(frugal(frequencies), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     df = {r.term: r.n for r in counted.collect()}
     idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
 
@@ -286,9 +286,9 @@ def fit(documents: DataFrame, labels: DataFrame, k: int = 15, key: str = "doc_id
             yield pa.RecordBatch.from_arrays(columns, ["doc", "y", "terms", "counts"])
 
     kind = sample.schema["doc"].dataType.simpleString()
-    vecs = sample.select("doc", "y", "text").mapInArrow(vectors, f"doc {kind}, y int, terms array<int>, counts array<int>")
+    vecs = sample.select("doc", "y", "text").mapInArrow(frugal(vectors), f"doc {kind}, y int, terms array<int>, counts array<int>")
     rows = [(r.doc, r.y, tuple(zip(r.terms, r.counts))) for r in vecs.where(F.size("terms") > 0).collect()]
-    bare = distinct.select(F.lit(None).cast(kind).alias("doc"), "y", "text").mapInArrow(vectors, f"doc {kind}, y int, terms array<int>, counts array<int>")
+    bare = distinct.select(F.lit(None).cast(kind).alias("doc"), "y", "text").mapInArrow(frugal(vectors), f"doc {kind}, y int, terms array<int>, counts array<int>")
     bare = {r.y: r["count"] for r in bare.where(F.size("terms") == 0).groupBy("y").count().collect()}
     without = [bare.get(y, 0) for y in (0, 1)]
     return Scorer(terms, idf, rows, tuple(without), k)
@@ -319,4 +319,4 @@ def score(documents: DataFrame, scorer: Scorer, key: str = "doc_id", threshold:
 
     chosen = documents.select(key, held_out(F.col(key)).alias("held_out"), F.col("text").cast("string").alias("text"))
     kind = chosen.schema[key].dataType.simpleString()
-    return chosen.mapInArrow(run, f"`{key}` {kind}, held_out boolean, score double, predicted int, neighbours array<long>")
+    return chosen.mapInArrow(frugal(run), f"`{key}` {kind}, held_out boolean, score double, predicted int, neighbours array<long>")

@@ -1,12 +1,15 @@
-"""Session defaults, the shared work folder and shipping of the package to executors."""
+"""Session defaults, the shared work folder, shipping of the package and memory of Python workers."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the library relies on. Everything else is left to the cluster.
@@ -95,3 +98,29 @@ def ship_package(spark: SparkSession) -> None:
                     archive.write(full, os.path.relpath(full, os.path.dirname(here)))
     spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)
+
+
+#: Rows of text that a task handles at a time.
+ROWS = 512
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # no glibc
+        pass
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow`` over batches of at most ``ROWS`` rows, after which the worker gives back
+    what is free. Workers live on through the stages that follow, beside the executor's own memory."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batch.slice(at, ROWS) for batch in batches for at in range(0, len(batch), ROWS))
+        finally:
+            release()
+
+    return lean

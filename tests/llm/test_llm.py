@@ -612,3 +612,36 @@ def test_a_worker_keeps_no_cache_of_runs_after_its_task(spark):
             yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int64())], ["n"])
 
     assert docs.select("doc_id").mapInArrow(held, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_stages_work_on_a_few_rows_at_a_time_and_give_memory_back(spark, monkeypatch):
+    import os
+    import resource
+
+    import pyarrow as pa
+
+    from riskframe import session
+
+    docs = spark.createDataFrame([(i, f"mail a{i}@b.org now", "en", "s", 9) for i in range(9)], "doc_id long, text string, lang string, source string, n_chars int")
+    made, given = [], []
+    original = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **k: made.append(f) or original(self, f, *a, **k))
+    monkeypatch.setattr(session, "ROWS", 4)
+    monkeypatch.setattr(session, "release", lambda: given.append(1))
+    bpe.encode_decode(docs, queries.tokenizer_path(), ids=True), simhash.fingerprints(docs), pii.scan(docs, "doc_id")
+    texts, keys = pa.array([f"mail a{i}@b.org now" for i in range(9)]), pa.array(range(9), pa.int64())
+    for f, columns in zip(made, ([keys, texts], [keys, texts], [keys, keys, texts]), strict=True):
+        batch = pa.RecordBatch.from_arrays(columns, [str(i) for i in range(len(columns))])
+        out = list(f(iter([batch, batch.slice(0, 0), batch.slice(5)])))
+        assert [len(x) for x in out] == [4, 4, 1, 4]
+        assert [k for x in out for k in x.column(0).to_pylist()] == [*range(9), *range(5, 9)]
+    assert len(given) == 3
+    monkeypatch.undo()
+
+    resident = lambda: int(open("/proc/self/statm").read().split()[1]) * resource.getpagesize()
+    held = [os.urandom(1000) for _ in range(200_000)]
+    few = held[::1000]
+    del held
+    before = resident()
+    session.release()
+    assert before - resident() > 100_000_000 and len(few) == 200
